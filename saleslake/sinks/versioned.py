@@ -1,0 +1,164 @@
+"""Tables replaced as a whole or by partition, where readers see one version at a time.
+
+Plain Parquet has no MERGE, and a table cannot be overwritten while it is read. So a
+change is written as a new version: new files go to ``<root>/v<n>``, a catalog table
+``<name>_v<n>`` lists them together with the partitions that did not change (at the
+places where they already are), and the view ``<name>`` is then pointed at it. That
+last step is one catalog operation. It carries the version number and the caller's
+properties, such as how far the sources were read, so that data and bookkeeping
+cannot disagree after a failure.
+
+On a catalog with MERGE (Iceberg, Delta) use :func:`merge_statement` instead.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from saleslake.sources import files
+
+_VERSION = "saleslake.version"
+
+
+@dataclass(frozen=True)
+class VersionedTable:
+    spark: SparkSession
+    name: str
+    root: str
+    partition_by: str | None = None
+    sort_by: str | None = None
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def properties(self) -> dict[str, str]:
+        if not self.exists():
+            return {}
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
+
+    def version(self) -> int:
+        """Number of the current version; 0 before the first one."""
+        return int(self.properties().get(_VERSION, 0))
+
+    def publish(
+        self,
+        rows: DataFrame,
+        replaced: Collection[str] | None = None,
+        properties: Mapping[str, str] | None = None,
+    ) -> int:
+        """Make ``rows`` the contents and return the new version.
+
+        With ``replaced``, the rows are the new contents of those partitions only and
+        every other partition stays where it is, unread and uncopied.
+        """
+        current = self.version()
+        new = current + 1
+        self._write(rows, new)
+        self._register(rows, new, current, replaced)
+        listed = {_VERSION: str(new), **(properties or {})}
+        pairs = ", ".join(f"'{key}' = '{value}'" for key, value in listed.items())
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ({pairs}) "
+            f"AS SELECT * FROM {self._table(new)}"
+        )
+        return new
+
+    def expire(self, keep: int = 2) -> list[int]:
+        """Forget all but the newest ``keep`` versions and remove files only they used."""
+        current = self.version()
+        kept = range(max(1, current - keep + 1), current + 1)
+        old = [v for v in range(1, kept.start) if self.spark.catalog.tableExists(self._table(v))]
+        if self.partition_by is None:
+            for version in old:
+                self.spark.sql(f"DROP TABLE {self._table(version)}")
+                files.delete(self.spark, self._path(version))
+            return old
+        in_use = {place for version in kept for place in self._partitions(version).values()}
+        for version in old:
+            unused = set(self._partitions(version).values()) - in_use
+            self.spark.sql(f"DROP TABLE {self._table(version)}")
+            for place in unused:
+                files.delete(self.spark, place)
+        return old
+
+    def _table(self, version: int) -> str:
+        return f"{self.name}_v{version}"
+
+    def _path(self, version: int) -> str:
+        return f"{self.root.rstrip('/')}/v{version}"
+
+    def _write(self, rows: DataFrame, version: int) -> None:
+        if self.partition_by is None:
+            rows = rows.hint("rebalance")
+            sort = [self.sort_by] if self.sort_by else []
+        else:
+            # One task per partition value, or several for a large one: without this every
+            # task writes a small file into every partition.
+            rows = rows.hint("rebalance", self.partition_by)
+            sort = [self.partition_by, *([self.sort_by] if self.sort_by else [])]
+        if sort:
+            # Sorted files have narrow min/max ranges, so a key range reads few row groups.
+            rows = rows.sortWithinPartitions(*sort)
+        writer = rows.write.mode("overwrite")
+        if self.partition_by is not None:
+            writer = writer.partitionBy(self.partition_by)
+        writer.parquet(self._path(version))
+
+    def _register(
+        self, rows: DataFrame, version: int, current: int, replaced: Collection[str] | None
+    ) -> None:
+        table = self._table(version)
+        ordered = [f for f in rows.schema if f.name != self.partition_by]
+        ordered += [f for f in rows.schema if f.name == self.partition_by]
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered)
+        layout = "" if self.partition_by is None else f"PARTITIONED BY ({self.partition_by})"
+        # A leftover of a run that failed before its swap; the files are not touched.
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.sql(
+            f"CREATE TABLE {table} ({ddl}) USING parquet {layout} LOCATION '{self._path(version)}'"
+        )
+        if self.partition_by is None:
+            return
+        self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        if replaced is None or current == 0:
+            return
+        kept = {v: p for v, p in self._partitions(current).items() if v not in set(replaced)}
+        if kept:
+            clauses = " ".join(
+                f"PARTITION ({self.partition_by} = '{value}') LOCATION '{place}'"
+                for value, place in kept.items()
+            )
+            self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {clauses}")
+
+    def _partitions(self, version: int) -> dict[str, str]:
+        """Partition value -> folder, one short catalog call per partition."""
+        table = self._table(version)
+        prefix = f"{self.partition_by}="
+        values = [
+            row["partition"].removeprefix(prefix)
+            for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect()
+        ]
+        return {value: self._location(table, value) for value in values}
+
+    def _location(self, table: str, value: str) -> str:
+        described = self.spark.sql(
+            f"SHOW TABLE EXTENDED IN {table.rpartition('.')[0]} LIKE '{table.rpartition('.')[2]}' "
+            f"PARTITION ({self.partition_by} = '{value}')"
+        ).first()
+        return re.search(r"Location: (.*)", described["information"]).group(1).strip()
+
+
+def merge_statement(target: str, batch: str, key: Sequence[str]) -> str:
+    """The upsert as MERGE, for a catalog whose tables support it."""
+    on = " AND ".join(f"t.`{k}` = b.`{k}`" for k in key)
+    return (
+        f"MERGE INTO {target} t USING {batch} b ON {on} "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
