@@ -24,6 +24,7 @@ from saleslake.session import write_out
 from saleslake.sinks import bronze
 from saleslake.sinks.names import table_name
 from saleslake.sinks.versioned import VersionedTable
+from saleslake.sources import files
 from saleslake.sources.landing import latest_file, manifest, pending_files, read_landing
 from saleslake.sources.registry import Registry, Source
 
@@ -37,11 +38,17 @@ _FACT_VERSION = "saleslake.fact_version"
 
 @dataclass(frozen=True)
 class Lake:
-    """A lake under one root folder. ``suffix`` keeps namespaces of several lakes apart."""
+    """A lake under one root folder. ``suffix`` keeps namespaces of several lakes apart.
+
+    ``period`` is the date pattern of the fact's partitions, the unit that an upsert
+    rewrites: months by default, ``yyyy-MM-dd`` where one day fills many files. It is
+    chosen once for a lake.
+    """
 
     spark: SparkSession
     root: str
     suffix: str = ""
+    period: str = "yyyy-MM"
 
     def namespace(self, layer: str) -> str:
         return f"{layer}{self.suffix}"
@@ -63,9 +70,9 @@ class Lake:
         return self
 
     def silver(self, model: str) -> VersionedTable:
-        by_month = models.MONTH if model == "fact_sales" else None
+        by_period = models.PERIOD if model == "fact_sales" else None
         return VersionedTable(
-            self.spark, self.table("silver", model), self.path("silver", model), by_month, sort_by=KEY
+            self.spark, self.table("silver", model), self.path("silver", model), by_period, sort_by=KEY
         )
 
     def gold(self) -> VersionedTable:
@@ -90,8 +97,8 @@ class Lake:
 def ingest_latest(lake: Lake, root: str, prefix: str, run_ts: datetime, feed: str | None = None) -> str | None:
     """Append the newest landing object; None when bronze holds it already."""
     newest = latest_file(lake.spark, root, prefix)
-    files = manifest(lake.spark, root, prefix).where(F.col("path") == newest["path"])
-    return _ingest(lake, files, feed or prefix, run_ts)
+    listed = manifest(lake.spark, root, prefix).where(F.col("path") == newest["path"])
+    return _ingest(lake, listed, feed or prefix, run_ts)
 
 
 def ingest_pending(lake: Lake, root: str, prefix: str, run_ts: datetime, feed: str | None = None) -> str | None:
@@ -99,17 +106,18 @@ def ingest_pending(lake: Lake, root: str, prefix: str, run_ts: datetime, feed: s
     return _ingest(lake, manifest(lake.spark, root, prefix), feed or prefix, run_ts)
 
 
-def _ingest(lake: Lake, files: DataFrame, feed: str, run_ts: datetime) -> str | None:
+def _ingest(lake: Lake, listed: DataFrame, feed: str, run_ts: datetime) -> str | None:
     table = lake.table("bronze", feed)
-    oldest = files.agg(F.min("received_at")).first()[0]
+    oldest = listed.agg(F.min("received_at")).first()[0]
     if oldest is None:
         return None
     loaded = bronze.files_loaded_since(lake.spark.table(table), oldest.astimezone() - CLOCK_MARGIN)
     # File names only, as many as Spark's own file index keeps on the driver to read them.
-    paths = [row["path"] for row in pending_files(files, loaded).select("path").collect()]
+    paths = [row["path"] for row in pending_files(listed, loaded).select("path").collect()]
     if not paths:
         return None
-    rows = read_landing(lake.spark, paths, FEEDS[feed], multi_line=True)
+    # An array in one object is read by one task; spread its rows before they are written.
+    rows = read_landing(lake.spark, paths, FEEDS[feed], multi_line=True).hint("rebalance")
     return bronze.append_batch(rows, table, run_ts)
 
 
@@ -140,26 +148,33 @@ def build_dimension(lake: Lake, model: str) -> int:
 
 
 def build_fact(lake: Lake) -> int:
-    """Upsert the new sales; only months that gain, lose or change a sale are written."""
+    """Upsert the new sales; only periods that gain, lose or change a sale are written."""
     target = lake.silver("fact_sales")
     new = _new_rows(lake, target, "sales")
     if new is None:
         return target.version()
     rows, last = new
-    version = target.version() + 1
-    batch = models.fact_sales(rows, newest_by=(bronze.BATCH,)).withColumn(models.MONTH, models.month_of())
-    batch = write_out(batch, lake.path("silver", "fact_sales", "batch", f"v{version}"))
-    place = F.to_date("transaction_date").alias(models.DAY)
-    touched = batch.select(place, models.MONTH)
-    if target.exists():
-        candidates = within_key_range(target.read(), batch, KEY)
-        touched = touched.unionByName(rows_replaced(candidates, batch, KEY).select(place, models.MONTH))
-    touched = write_out(touched.distinct(), _touched_path(lake, version))
+    read_to = {_READ_TO: last}
+    batch = models.with_period(models.fact_sales(rows, newest_by=(bronze.BATCH,)), lake.period)
     if not target.exists():
-        return target.publish(batch, properties={_READ_TO: last})
-    months = [row[0] for row in touched.select(models.MONTH).distinct().collect()]
-    current = target.read().where(F.col(models.MONTH).isin(months))
-    return target.publish(merge_batch(current, batch, KEY), replaced=months, properties={_READ_TO: last})
+        return target.publish(batch, properties=read_to)
+    version = target.version() + 1
+    staged = lake.path("silver", "fact_sales", "batch", f"v{version}")
+    batch = write_out(batch, staged)
+    replaced = rows_replaced(within_key_range(target.read(), batch, KEY), batch, KEY)
+    place = [F.to_date("transaction_date").alias(models.DAY), models.PERIOD]
+    touched = batch.select(*place).unionByName(replaced.select(*place)).distinct()
+    touched = write_out(touched, _touched_path(lake, version))
+    periods = _periods(touched)
+    current = target.read().where(F.col(models.PERIOD).isin(periods))
+    target.publish(merge_batch(current, batch, KEY), replaced=periods, properties=read_to)
+    files.delete(lake.spark, staged)
+    return version
+
+
+def _periods(touched: DataFrame) -> list[str]:
+    """Partition values, at most one per month or day of the calendar."""
+    return [row[0] for row in touched.select(models.PERIOD).distinct().collect()]
 
 
 def _touched_path(lake: Lake, version: int) -> str:
@@ -194,12 +209,21 @@ def build_gold(lake: Lake) -> int:
     else:
         paths = [_touched_path(lake, v) for v in range(built + 1, version + 1)]
         touched = lake.spark.read.parquet(*paths)
-        months = [row[0] for row in touched.select(models.MONTH).distinct().collect()]
-        changed = fact.read().where(F.col(models.MONTH).isin(months))
+        changed = fact.read().where(F.col(models.PERIOD).isin(_periods(touched)))
         rows = models.refreshed_summary(gold.read(), changed, touched)
     return gold.publish(rows, properties={_FACT_VERSION: str(version)})
 
 
+def expire(lake: Lake, keep: int = 2) -> None:
+    """Remove versions that readers no longer need, and the change lists gold has read."""
+    for model in (*models.DIMENSIONS, "fact_sales"):
+        lake.silver(model).expire(keep)
+    gold = lake.gold()
+    gold.expire(keep)
+    for version in range(1, int(gold.properties().get(_FACT_VERSION, 0)) + 1):
+        files.delete(lake.spark, _touched_path(lake, version))
+
+
 def run(lake: Lake, layers: Collection[str] = LAYERS) -> None:
     """Build the chosen layers in their order."""
     unknown = set(layers) - set(LAYERS)

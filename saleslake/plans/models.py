@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,9 +25,9 @@ DIMENSIONS: dict[str, tuple[str, ...]] = {
     "dim_employee": ("id", "first_name", "last_name"),
     "dim_product": ("id", "name"),
 }
-MONTH = "sales_month"
+PERIOD = "sales_period"
 DAY = "sales_date"
-NO_MONTH = "unknown"
+NO_PERIOD = "unknown"
 
 
 def dimension(rows: DataFrame, model: str, newest_by: Sequence[str] = ()) -> DataFrame:
@@ -56,9 +56,10 @@ def fact_sales(rows: DataFrame, newest_by: Sequence[str] = ("loaded_at",)) -> Da
     return latest_per_key(parsed, KEY, order).select(*FACT_COLUMNS)
 
 
-def month_of(column: str = "transaction_date") -> Column:
-    """Partition of a sale. Undated sales have a partition of their own."""
-    return F.coalesce(F.date_format(column, "yyyy-MM"), F.lit(NO_MONTH))
+def with_period(fact: DataFrame, pattern: str) -> DataFrame:
+    """Add the partition of each sale. Undated sales have a partition of their own."""
+    period = F.coalesce(F.date_format("transaction_date", pattern), F.lit(NO_PERIOD))
+    return fact.withColumn(PERIOD, period)
 
 
 def daily_sales_summary(fact: DataFrame) -> DataFrame:

@@ -80,6 +80,8 @@ class VersionedTable:
                 self.spark.sql(f"DROP TABLE {self._table(version)}")
                 files.delete(self.spark, self._path(version))
             return old
+        if not old:
+            return old
         in_use = {place for version in kept for place in self._partitions(version).values()}
         for version in old:
             unused = set(self._partitions(version).values()) - in_use
@@ -129,7 +131,7 @@ class VersionedTable:
         self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
         if replaced is None or current == 0:
             return
-        kept = {v: p for v, p in self._partitions(current).items() if v not in set(replaced)}
+        kept = self._partitions(current, skip=replaced)
         if kept:
             clauses = " ".join(
                 f"PARTITION ({self.partition_by} = '{value}') LOCATION '{place}'"
@@ -137,15 +139,15 @@ class VersionedTable:
             )
             self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {clauses}")
 
-    def _partitions(self, version: int) -> dict[str, str]:
-        """Partition value -> folder, one short catalog call per partition."""
+    def _partitions(self, version: int, skip: Collection[str] = ()) -> dict[str, str]:
+        """Partition value -> folder, one short catalog call per partition not skipped."""
         table = self._table(version)
         prefix = f"{self.partition_by}="
         values = [
             row["partition"].removeprefix(prefix)
             for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect()
         ]
-        return {value: self._location(table, value) for value in values}
+        return {value: self._location(table, value) for value in values if value not in set(skip)}
 
     def _location(self, table: str, value: str) -> str:
         described = self.spark.sql(

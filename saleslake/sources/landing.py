@@ -8,8 +8,9 @@ JSON array each. Dated folders, ``ingest_date=YYYY-MM-DD/part-*``, as written by
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,20 +79,38 @@ def read_landing(
     cannot change type between batches. A value that does not fit becomes NULL and
     the record's text is kept in ``_corrupt_record``.
     """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    whole_arrays = fmt == "json" and multi_line
     reader = (
-        spark.read.schema(with_corrupt(schema))
+        spark.read.schema(with_corrupt(_as_text(schema) if whole_arrays else schema))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
         .option("multiLine", multi_line)
     )
-    paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "json":
-        rows = reader.json(paths)
+        rows = with_received_at(reader.json(paths))
     elif fmt == "csv":
-        rows = reader.option("header", True).option("enforceSchema", False).csv(paths)
+        rows = with_received_at(reader.option("header", True).option("enforceSchema", False).csv(paths))
     else:
         raise ValueError(f"unsupported landing format: {fmt!r}")
-    return with_received_at(rows)
+    return _typed(rows, schema) if whole_arrays else rows
+
+
+def _as_text(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(field.name, T.StringType(), True) for field in schema])
+
+
+def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns read as text, cast to their types.
+
+    To the reader an array is one record: a single value of a wrong type would attach
+    the text of the whole file to each of its rows. Casting afterwards keeps the text
+    of the bad element alone.
+    """
+    cast = {field.name: F.col(field.name).try_cast(field.dataType) for field in schema}
+    misfits = [F.col(name).isNotNull() & value.isNull() for name, value in cast.items()]
+    text = F.when(reduce(Column.__or__, misfits), F.to_json(F.struct(*cast)))
+    return rows.withColumns({CORRUPT: F.coalesce(CORRUPT, text), **cast})
 
 
 def read_latest(spark: SparkSession, root: str, prefix: str, schema: T.StructType) -> DataFrame:

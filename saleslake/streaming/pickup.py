@@ -20,6 +20,8 @@ def landing_stream(lake: Lake, feed: str, root: str, max_files: int) -> DataFram
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
+        # A day that lands again removes its former files, perhaps between two tries.
+        .option("ignoreMissingFiles", True)
         # Files older than this, seen from the newest one, are passed over.
         .option("maxFileAge", "365d")
         .json(root)

@@ -1,0 +1,97 @@
+"""Every query against its SQL on the same tables, and its plan."""
+
+from __future__ import annotations
+
+import oracle
+import pytest
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.001"
+QUERIES, SQL = entry.queries(), entry.oracle_sql()
+
+# Row counts on the smallest tables, counted independently beforehand.
+KNOWN_ROWS = {
+    "daily_sales_summary": 1084,
+    "fact_sales": 4599,
+    "fact_sales_incremental": 4599,
+    "dim_customer": 150,
+    "dim_employee": 10,
+    "dim_product": 200,
+    "sales_enriched": 4599,
+    "latest_batch": 2,
+    "undo_last_batch": 5998,
+    "head_150": 150,
+    "dq_unique": 1161,
+    "dq_not_null": 14,
+    "dq_non_positive_amount": 11,
+    "freshness": 1,
+    "bronze_sales": 6000,
+    "seed_customer": 150,
+}
+
+
+@pytest.fixture(scope="module")
+def con():
+    return oracle.connect(SF)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_sql(spark, con, name):
+    frame = QUERIES[name](spark, SF).cache()
+    oracle.assert_same(frame, con, SQL[name])
+    if name in KNOWN_ROWS:
+        assert frame.count() == KNOWN_ROWS[name]
+    frame.unpersist()
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() == 1084
+
+
+def plan_of(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"lake_fact_sales", "lake_daily_sales", "stream_pickup"}))
+def test_no_row_passes_through_python(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    assert "Python" not in plan and "Pandas" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_summary_scans_only_what_it_needs(spark):
+    plan = QUERIES["daily_sales_summary"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "l_comment" not in plan and "l_tax" not in plan and "o_totalprice" not in plan
+
+
+def test_amount_check_is_pushed_to_the_scan(spark):
+    assert "LessThanOrEqual(c_acctbal" in plan_of(QUERIES["dq_non_positive_amount"](spark, SF))
+
+
+def test_head_is_a_top_k(spark):
+    from saleslake.plans import trial_tables as trial
+    from saleslake.sinks.warehouse import first_rows
+
+    assert "TakeOrderedAndProject" in plan_of(first_rows(trial.lines(spark, SF), ["id"]))
+
+
+def test_upsert_of_two_deduplicated_sides_needs_no_further_shuffle(spark):
+    from saleslake.operators.upsert import latest_per_key, merge_batch
+    from saleslake.plans import trial_tables as trial
+
+    rows = trial.lines(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        old = latest_per_key(rows.where("loaded_at < '1999-01-01'"), "id", trial.LINE_ORDER)
+        new = latest_per_key(rows.where("loaded_at >= '1999-01-01'"), "id", trial.LINE_ORDER)
+        plan = plan_of(merge_batch(old, new, "id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one exchange per aggregate: target, batch in the join, batch in the union
+    assert plan.count("Exchange hashpartitioning(id") == 3
+    assert plan.count("PushedFilters: [IsNotNull(l_shipdate), LessThan(l_shipdate") == 1
