@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleslake.functions.stamp import as_utc
 from saleslake.operators.quality import (
     BRONZE_DEFAULT,
     RAW_SALES,
@@ -108,9 +109,12 @@ def ingest_pending(lake: Lake, root: str, prefix: str, run_ts: datetime, feed: s
 
 def _ingest(lake: Lake, listed: DataFrame, feed: str, run_ts: datetime) -> str | None:
     table = lake.table("bronze", feed)
-    oldest = listed.agg(F.min("received_at")).first()[0]
+    oldest, newest = listed.agg(F.min("received_at"), F.max("received_at")).first()
     if oldest is None:
         return None
+    if newest.astimezone() > as_utc(run_ts) + CLOCK_MARGIN:
+        # Which partitions can hold a file is told from the two times.
+        raise ValueError(f"a run at {run_ts} cannot load a file received at {newest}")
     loaded = bronze.files_loaded_since(lake.spark.table(table), oldest.astimezone() - CLOCK_MARGIN)
     # File names only, as many as Spark's own file index keeps on the driver to read them.
     paths = [row["path"] for row in pending_files(listed, loaded).select("path").collect()]

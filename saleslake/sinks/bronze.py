@@ -32,7 +32,12 @@ class OutOfOrderBatch(ValueError):
 
 def batch_id(run_ts: datetime, part: int = 0) -> str:
     """Name of a load run. ``part`` counts the pieces of a run that loads in several."""
-    return f"{as_utc(run_ts):%Y%m%dT%H%M%S}-{part:09d}"
+    return f"{as_utc(run_ts):%Y%m%dT%H%M%S}{part_name(part)}"
+
+
+def part_name(part: int) -> str:
+    """How the name of a batch ends that is this piece of its run."""
+    return f"-{part:09d}"
 
 
 def create_bronze(spark: SparkSession, table: str, schema: T.StructType) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleslake.functions.stamp import with_received_at
-from saleslake.plans.lake import CLOCK_MARGIN, Lake
+from saleslake.plans.lake import Lake
 from saleslake.schemas import CORRUPT, FEEDS, with_corrupt
 from saleslake.sinks import bronze
 
@@ -34,14 +34,14 @@ def pick_up(
 ) -> None:
     """Append all files that arrived since the last call, then stop.
 
-    The stream's checkpoint, in the lake's own folder, remembers the files. A piece that
-    was appended just before a failure is offered again by the next call; its files are
-    then found in bronze and it is skipped, so every file is loaded once.
+    The stream's checkpoint, in the lake's own folder, remembers the files and numbers
+    the pieces. A piece that was appended just before a failure comes again under its
+    number; it is then found in bronze and skipped, so every file is loaded once.
     """
     table = lake.table("bronze", feed)
 
     def append(piece: DataFrame, number: int) -> None:
-        if not _loaded(lake, table, piece):
+        if not _loaded(lake, table, piece, number):
             bronze.append_batch(piece, table, run_ts, part=number)
 
     (
@@ -56,11 +56,14 @@ def pick_up(
     lake.spark.catalog.refreshTable(table)
 
 
-def _loaded(lake: Lake, table: str, piece: DataFrame) -> bool:
-    """Whether bronze holds this piece. It does wholly or not at all, so one file tells."""
+def _loaded(lake: Lake, table: str, piece: DataFrame, number: int) -> bool:
+    """Whether bronze holds this piece. It does wholly or not at all, so one file tells.
+
+    Only partitions of pieces with this number are looked at, which is one per stream.
+    """
     one = piece.select("source_file", "received_at").first()
     if one is None:
         return True
-    since = one["received_at"].astimezone() - CLOCK_MARGIN
     same = (F.col("source_file") == one["source_file"]) & (F.col("received_at") == F.lit(one["received_at"]))
-    return not bronze.files_loaded_since(lake.spark.table(table), since).where(same).isEmpty()
+    pieces = lake.spark.table(table).where(F.col(bronze.BATCH).endswith(bronze.part_name(number)))
+    return not pieces.where(same).isEmpty()

@@ -192,6 +192,11 @@ def test_ingest_of_a_missing_prefix_fails(lake, named, clock):
         lakes.ingest_latest(lake, str(named), "nothing", next(clock), feed="sales")
 
 
+def test_ingest_refuses_a_run_before_its_files(lake, named, clock):
+    with pytest.raises(ValueError, match="cannot load a file"):
+        lakes.ingest_pending(lake, str(named), "sales", next(clock) - timedelta(days=9))
+
+
 def batch(spark, ids):
     frame = spark.createDataFrame([(i,) for i in ids], "id long")
     nothing = {f.name: F.lit(None).cast(f.dataType) for f in FEEDS["sales"] if f.name != "id"}
