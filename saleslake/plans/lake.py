@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -21,7 +22,7 @@ from saleslake.operators.quality import (
 from saleslake.operators.upsert import merge_batch, rows_replaced, within_key_range
 from saleslake.plans import models
 from saleslake.schemas import CONTRACT, FEEDS, KEY
-from saleslake.session import write_out
+from saleslake.session import frame_bytes, size_shuffles, write_out
 from saleslake.sinks import bronze
 from saleslake.sinks.names import table_name
 from saleslake.sinks.versioned import VersionedTable
@@ -135,8 +136,10 @@ def _new_rows(lake: Lake, target: VersionedTable, feed: str) -> tuple[DataFrame,
     read_to = target.properties().get(_READ_TO, "")
     if last is None or last <= read_to:
         return None
-    rows = lake.spark.table(table)
-    return rows.where((F.col(bronze.BATCH) > read_to) & (F.col(bronze.BATCH) <= last)), last
+    runs = bronze.batches_between(lake.spark, table, read_to, last)
+    rows = lake.spark.table(table).where(F.col(bronze.BATCH).isin(runs))
+    size_shuffles(lake.spark, frame_bytes(rows))
+    return rows, last
 
 
 def build_dimension(lake: Lake, model: str) -> int:
@@ -171,6 +174,7 @@ def build_fact(lake: Lake) -> int:
     touched = write_out(touched, _touched_path(lake, version))
     periods = _periods(touched)
     current = target.read().where(F.col(models.PERIOD).isin(periods))
+    size_shuffles(lake.spark, frame_bytes(current) + frame_bytes(batch))
     target.publish(merge_batch(current, batch, KEY), replaced=periods, properties=read_to)
     files.delete(lake.spark, staged)
     return version
@@ -187,9 +191,12 @@ def _touched_path(lake: Lake, version: int) -> str:
 
 
 def build_silver(lake: Lake) -> None:
-    for model in models.DIMENSIONS:
-        build_dimension(lake, model)
-    build_fact(lake)
+    """Build the silver models side by side: no model reads another."""
+    with ThreadPoolExecutor(max_workers=len(models.DIMENSIONS) + 1) as pool:
+        steps = [pool.submit(build_fact, lake)]
+        steps += [pool.submit(build_dimension, lake, model) for model in models.DIMENSIONS]
+    for step in steps:
+        step.result()
 
 
 # --- gold -----------------------------------------------------------------------------
@@ -209,11 +216,13 @@ def build_gold(lake: Lake) -> int:
     if built == version:
         return gold.version()
     if not gold.exists():
+        size_shuffles(lake.spark, files.total_bytes(lake.spark, lake.path("silver", "fact_sales")))
         rows = models.daily_sales_summary(fact.read())
     else:
         paths = [_touched_path(lake, v) for v in range(built + 1, version + 1)]
         touched = lake.spark.read.parquet(*paths)
         changed = fact.read().where(F.col(models.PERIOD).isin(_periods(touched)))
+        size_shuffles(lake.spark, frame_bytes(changed))
         rows = models.refreshed_summary(gold.read(), changed, touched)
     return gold.publish(rows, properties={_FACT_VERSION: str(version)})
 

@@ -13,6 +13,7 @@ from saleslake.operators.upsert import latest_per_key
 from saleslake.plans.models import FACT_COLUMNS
 from saleslake.schemas import MONEY
 from saleslake.session import size_shuffles
+from saleslake.sources.files import total_bytes
 
 ORDER = "order_key"
 LINE_ORDER = ("loaded_at", "product_id", "employee_id", "amount_paid")
@@ -24,7 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def prepare(spark: SparkSession, sf_dir: str) -> None:
     """Fit the number of shuffle partitions to the size of the sales."""
-    size_shuffles(spark, f"{sf_dir}/lineitem.parquet", f"{sf_dir}/orders.parquet")
+    paths = (f"{sf_dir}/lineitem.parquet", f"{sf_dir}/orders.parquet")
+    size_shuffles(spark, sum(total_bytes(spark, path) for path in paths))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

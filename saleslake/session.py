@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import math
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslake.sources.files import total_bytes
-
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 # Columnar files grow when they become shuffle rows.
 ROW_EXPANSION = 3
@@ -49,18 +50,22 @@ def shuffle_partitions_for(input_bytes: int) -> int:
     return max(1, min(wanted, MAX_SHUFFLE_PARTITIONS))
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` to what these inputs need; never lower it.
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to what the input needs; never lower it.
 
     Adaptive execution merges partitions that turn out small but cannot split an
     ordinary aggregate's partitions, so the starting number has to fit the input.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = shuffle_partitions_for(sum(total_bytes(spark, path) for path in paths))
+    wanted = max(current, shuffle_partitions_for(input_bytes))
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-        return wanted
-    return current
+    return wanted
+
+
+def frame_bytes(frame: DataFrame) -> int:
+    """The optimizer's size of a frame: file sizes after partition pruning."""
+    return int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -74,10 +79,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="saleslake-")
+        base = _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _local_base() -> str:
+    """One temporary folder per process, removed when it ends."""
+    base = tempfile.mkdtemp(prefix="saleslake-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
 def write_out(frame: DataFrame, path: str) -> DataFrame:
     """Write a frame as Parquet and read it back.
 

@@ -56,6 +56,12 @@ def _batches(spark: SparkSession, table: str) -> DataFrame:
     )
 
 
+def batches_between(spark: SparkSession, table: str, after: str, last: str) -> list[str]:
+    """The runs later than ``after``, up to ``last``."""
+    names = _batches(spark, table).where((F.col(BATCH) > after) & (F.col(BATCH) <= last))
+    return [row[BATCH] for row in names.collect()]
+
+
 def newest_batch(spark: SparkSession, table: str) -> str | None:
     """The last load run; None when there is none."""
     if not spark.catalog.tableExists(table):

@@ -131,7 +131,8 @@ class VersionedTable:
         self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
         if replaced is None or current == 0:
             return
-        kept = self._partitions(current, skip=replaced)
+        listed = self._partition_values(current)
+        kept = self._partitions(current, only=set(listed) - set(replaced))
         if kept:
             clauses = " ".join(
                 f"PARTITION ({self.partition_by} = '{value}') LOCATION '{place}'"
@@ -139,15 +140,16 @@ class VersionedTable:
             )
             self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {clauses}")
 
-    def _partitions(self, version: int, skip: Collection[str] = ()) -> dict[str, str]:
-        """Partition value -> folder, one short catalog call per partition not skipped."""
-        table = self._table(version)
+    def _partition_values(self, version: int) -> list[str]:
         prefix = f"{self.partition_by}="
-        values = [
-            row["partition"].removeprefix(prefix)
-            for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect()
-        ]
-        return {value: self._location(table, value) for value in values if value not in set(skip)}
+        listed = self.spark.sql(f"SHOW PARTITIONS {self._table(version)}").collect()
+        return [row["partition"].removeprefix(prefix) for row in listed]
+
+    def _partitions(self, version: int, only: Collection[str] | None = None) -> dict[str, str]:
+        """Partition value -> folder, one short catalog call per partition asked for."""
+        values = self._partition_values(version)
+        wanted = set(values if only is None else only)
+        return {v: self._location(self._table(version), v) for v in values if v in wanted}
 
     def _location(self, table: str, value: str) -> str:
         described = self.spark.sql(

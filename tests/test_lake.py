@@ -426,9 +426,23 @@ def test_shuffles_are_sized_by_input_and_never_lowered(spark, tmp_path):
     assert session.shuffle_partitions_for(10 * 2**30) == 240
     assert session.shuffle_partitions_for(10**14) == session.MAX_SHUFFLE_PARTITIONS
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    put(tmp_path, "x", "abc")
-    assert session.size_shuffles(spark, str(tmp_path)) == int(before)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    spark.range(100_000).write.parquet(str(tmp_path / "x"))
+    size = session.frame_bytes(spark.read.parquet(str(tmp_path / "x")))
+    assert size == sum(f.stat().st_size for f in (tmp_path / "x").glob("part-*"))
+    try:
+        assert session.size_shuffles(spark, size) == int(before)
+        assert session.size_shuffles(spark, 2 * 2**30) == 48
+        assert session.size_shuffles(spark, 0) == 48
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_pruned_partitions_are_what_is_measured(spark, lake, clock):
+    load(spark, lake, [sale(i, 1.0, f"2024-0{1 + i % 6}-01") for i in range(12)], next(clock))
+    lakes.build_silver(lake)
+    fact = lake.silver("fact_sales").read()
+    one, two = (session.frame_bytes(fact.where(F.col("sales_period").isin(p))) for p in (["2024-01"], ["2024-01", "2024-02"]))
+    assert 0 < one < two < 100_000
 
 
 def test_work_dir_is_the_shared_folder(spark):
