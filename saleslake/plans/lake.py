@@ -10,7 +10,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.functions.stamp import as_utc
+from saleslake.functions.stamp import as_utc, with_loaded_at
 from saleslake.operators.quality import (
     BRONZE_DEFAULT,
     RAW_SALES,
@@ -26,8 +26,9 @@ from saleslake.session import frame_bytes, size_shuffles, write_out
 from saleslake.sinks import bronze
 from saleslake.sinks.names import table_name
 from saleslake.sinks.versioned import VersionedTable
+from saleslake.sinks.warehouse import SAMPLE_ROWS, first_rows
 from saleslake.sources import files
-from saleslake.sources.landing import latest_file, manifest, pending_files, read_landing
+from saleslake.sources.landing import latest_file, manifest, pending_files, read_landing, read_latest
 from saleslake.sources.registry import Registry, Source
 
 # How far the clocks of the store and of the driver may differ.
@@ -126,6 +127,16 @@ def _ingest(lake: Lake, listed: DataFrame, feed: str, run_ts: datetime) -> str |
     return bronze.append_batch(rows, table, run_ts)
 
 
+def latest_sample(lake: Lake, root: str, prefix: str, run_ts: datetime, n: int = SAMPLE_ROWS) -> DataFrame:
+    """The first rows of the newest landing object, dated and stamped, for a warehouse.
+
+    Send them with :func:`saleslake.sinks.warehouse.write_warehouse`.
+    """
+    rows = models.with_transaction_time(read_latest(lake.spark, root, prefix, FEEDS["sales"]))
+    order = [field.name for field in FEEDS["sales"]]
+    return first_rows(with_loaded_at(rows, run_ts), order, n)
+
+
 # --- silver ---------------------------------------------------------------------------
 
 

@@ -467,3 +467,11 @@ def test_warehouse_sample_and_mode(spark):
     warehouse.write_warehouse(Frame(), "jdbc:x", "sales")
     warehouse.write_warehouse(Frame(), "jdbc:x", "sales", overwrite=True, properties={"user": "u"})
     assert asked == [("jdbc:x", "sales", "append", {}), ("jdbc:x", "sales", "overwrite", {"user": "u"})]
+
+
+def test_latest_sample_is_dated_stamped_and_limited(lake, tmp_path, clock):
+    put(tmp_path / "in", "sales_1.json", [sale(i, day="7/21/2024") for i in range(400, 0, -1)])
+    rows = lakes.latest_sample(lake, str(tmp_path / "in"), "sales", next(clock)).collect()
+    assert [r.id for r in rows] == list(range(1, 151))
+    assert {str(r.transaction_date) for r in rows} == {"2024-07-21 00:00:00"}
+    assert len({r.loaded_at for r in rows}) == 1
