@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import functools
 import math
-import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from saleslake.sources.files import temporary_folder
+
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 # Columnar files grow when they become shuffle rows.
 ROW_EXPANSION = 3
@@ -71,7 +70,7 @@ def frame_bytes(frame: DataFrame) -> int:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables, in the folder the cluster shares.
 
-    The place is ``spark.checkpoint.dir``. Only a local session may go without it and
+    It is removed when the application ends. The place is ``spark.checkpoint.dir``. Only a local session may go without it and
     then gets a temporary folder; on a cluster a machine-local folder would lose data
     with its executor, so that is refused.
     """
@@ -79,16 +78,8 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_base()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-@functools.cache
-def _local_base() -> str:
-    """One temporary folder per process, removed when it ends."""
-    base = tempfile.mkdtemp(prefix="saleslake-")
-    atexit.register(shutil.rmtree, base, ignore_errors=True)
-    return base
+        base = tempfile.gettempdir()
+    return temporary_folder(spark, f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
 
 
 def write_out(frame: DataFrame, path: str) -> DataFrame:

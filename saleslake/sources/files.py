@@ -15,6 +15,14 @@ def exists(spark: SparkSession, uri: str) -> bool:
     return fs.exists(path)
 
 
+def temporary_folder(spark: SparkSession, uri: str) -> str:
+    """Make a folder that is removed when the application ends."""
+    path, fs = _resolve(spark, uri)
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return uri
+
+
 def delete(spark: SparkSession, uri: str) -> bool:
     """Remove a file or a whole folder; False when there was nothing."""
     path, fs = _resolve(spark, uri)
