@@ -36,6 +36,7 @@ CLOCK_MARGIN = timedelta(days=1)
 LAYERS = ("silver", "gold")
 _FEED_OF = {"dim_customer": "customer", "dim_employee": "employee", "dim_product": "product"}
 _READ_TO = "saleslake.read_to_batch"
+_BUCKETS = "saleslake.buckets"
 _FACT_VERSION = "saleslake.fact_version"
 
 
@@ -44,14 +45,17 @@ class Lake:
     """A lake under one root folder. ``suffix`` keeps namespaces of several lakes apart.
 
     ``period`` is the date pattern of the fact's partitions, the unit that an upsert
-    rewrites: months by default, ``yyyy-MM-dd`` where one day fills many files. It is
-    chosen once for a lake.
+    rewrites: months by default, ``yyyy-MM-dd`` where one day fills many files.
+    ``buckets`` is the same for dimensions: into how many parts, by key, a dimension is
+    split; an upsert rewrites the parts that hold a key of its batch. Both are chosen
+    once for a lake.
     """
 
     spark: SparkSession
     root: str
     suffix: str = ""
     period: str = "yyyy-MM"
+    buckets: int = 1
 
     def namespace(self, layer: str) -> str:
         return f"{layer}{self.suffix}"
@@ -73,9 +77,9 @@ class Lake:
         return self
 
     def silver(self, model: str) -> VersionedTable:
-        by_period = models.PERIOD if model == "fact_sales" else None
+        split_by = models.PERIOD if model == "fact_sales" else models.BUCKET
         return VersionedTable(
-            self.spark, self.table("silver", model), self.path("silver", model), by_period, sort_by=KEY
+            self.spark, self.table("silver", model), self.path("silver", model), split_by, sort_by=KEY
         )
 
     def gold(self) -> VersionedTable:
@@ -153,6 +157,20 @@ def _new_rows(lake: Lake, target: VersionedTable, feed: str) -> tuple[DataFrame,
     return rows, last
 
 
+def _upsert(
+    lake: Lake, target: VersionedTable, batch: DataFrame, parts: list[str], properties: dict[str, str]
+) -> int:
+    """Write the given partitions of the target again, with the batch merged in."""
+    current = target.read().where(F.col(target.partition_by).isin(parts))
+    size_shuffles(lake.spark, frame_bytes(current) + frame_bytes(batch))
+    return target.publish(merge_batch(current, batch, KEY), replaced=parts, properties=properties)
+
+
+def _values(rows: DataFrame, column: str) -> list[str]:
+    """Partition values: at most one per month or day of the calendar, or per bucket."""
+    return [row[0] for row in rows.select(column).distinct().collect()]
+
+
 def build_dimension(lake: Lake, model: str) -> int:
     """Upsert the new rows of a dimension; return its version."""
     target = lake.silver(model)
@@ -160,9 +178,17 @@ def build_dimension(lake: Lake, model: str) -> int:
     if new is None:
         return target.version()
     rows, last = new
-    batch = models.dimension(rows, model, newest_by=(bronze.BATCH,))
-    merged = merge_batch(target.read(), batch, KEY) if target.exists() else batch
-    return target.publish(merged, properties={_READ_TO: last})
+    properties = {_READ_TO: last, _BUCKETS: str(lake.buckets)}
+    batch = models.with_bucket(models.dimension(rows, model, newest_by=(bronze.BATCH,)), lake.buckets)
+    if not target.exists():
+        return target.publish(batch, properties=properties)
+    if target.properties()[_BUCKETS] != str(lake.buckets):
+        raise ValueError(f"{target.name} has {target.properties()[_BUCKETS]} buckets, not {lake.buckets}")
+    staged = lake.path("silver", model, "batch")
+    batch = write_out(batch, staged)
+    version = _upsert(lake, target, batch, _values(batch, models.BUCKET), properties)
+    files.delete(lake.spark, staged)
+    return version
 
 
 def build_fact(lake: Lake) -> int:
@@ -177,25 +203,17 @@ def build_fact(lake: Lake) -> int:
     if not target.exists():
         return target.publish(batch, properties=read_to)
     version = target.version() + 1
-    staged = lake.path("silver", "fact_sales", "batch", f"v{version}")
+    staged = lake.path("silver", "fact_sales", "batch")
     batch = write_out(batch, staged)
     replaced = rows_replaced(within_key_range(target.read(), batch, KEY), batch, KEY)
     place = [F.to_date("transaction_date").alias(models.DAY), models.PERIOD]
     touched = batch.select(*place).unionByName(replaced.select(*place)).distinct()
     touched = write_out(touched, _touched_path(lake, version))
-    periods = _periods(touched)
-    current = target.read().where(F.col(models.PERIOD).isin(periods))
-    size_shuffles(lake.spark, frame_bytes(current) + frame_bytes(batch))
-    target.publish(merge_batch(current, batch, KEY), replaced=periods, properties=read_to)
+    _upsert(lake, target, batch, _values(touched, models.PERIOD), read_to)
     files.delete(lake.spark, staged)
     return version
 
 
-def _periods(touched: DataFrame) -> list[str]:
-    """Partition values, at most one per month or day of the calendar."""
-    return [row[0] for row in touched.select(models.PERIOD).distinct().collect()]
-
-
 def _touched_path(lake: Lake, version: int) -> str:
     """Days whose sales changed with a version of the fact; gold reads them later."""
     return lake.path("silver", "fact_sales", "touched", f"v{version}")
@@ -232,7 +250,7 @@ def build_gold(lake: Lake) -> int:
     else:
         paths = [_touched_path(lake, v) for v in range(built + 1, version + 1)]
         touched = lake.spark.read.parquet(*paths)
-        changed = fact.read().where(F.col(models.PERIOD).isin(_periods(touched)))
+        changed = fact.read().where(F.col(models.PERIOD).isin(_values(touched, models.PERIOD)))
         size_shuffles(lake.spark, frame_bytes(changed))
         rows = models.refreshed_summary(gold.read(), changed, touched)
     return gold.publish(rows, properties={_FACT_VERSION: str(version)})
@@ -295,6 +313,17 @@ def check(lake: Lake) -> DataFrame:
     return contract_report(tables)
 
 
+def freshness_line(lake: Lake, now: datetime) -> DataFrame:
+    """Freshness as a line of the report."""
+    return check_freshness(lake, now).select(
+        F.lit("freshness").alias("check_name"),
+        F.lit("raw_sales").alias("table_name"),
+        F.lit("loaded_at").alias("column_name"),
+        (F.col("status") == "error").cast("long").alias("failures"),
+        "status",
+    )
+
+
 def check_freshness(lake: Lake, now: datetime) -> DataFrame:
     """Freshness of raw_sales. All rows of a run share their load time, so one run is read."""
     known = lake.registry()

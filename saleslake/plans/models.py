@@ -26,6 +26,7 @@ DIMENSIONS: dict[str, tuple[str, ...]] = {
     "dim_product": ("id", "name"),
 }
 PERIOD = "sales_period"
+BUCKET = "id_bucket"
 DAY = "sales_date"
 NO_PERIOD = "unknown"
 
@@ -37,6 +38,11 @@ def dimension(rows: DataFrame, model: str, newest_by: Sequence[str] = ()) -> Dat
     return latest_per_key(rows.select(*columns, *extra), KEY, newest_by).select(*columns)
 
 
+def with_bucket(rows: DataFrame, buckets: int) -> DataFrame:
+    """Add the partition of each key: one of ``buckets``, told by the key alone."""
+    return rows.withColumn(BUCKET, F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("string"))
+
+
 def with_transaction_time(rows: DataFrame) -> DataFrame:
     """transaction_date as a time; text that is no date becomes NULL."""
     if isinstance(rows.schema["transaction_date"].dataType, T.StringType):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import os
 from datetime import date, timedelta
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 
 from saleslake import session
 from saleslake.plans import lake as lakes
+from saleslake.operators.quality import require_passed
 from saleslake.plans import models
+from saleslake.plans.hourly import hourly
 from saleslake.schemas import FEEDS
 from saleslake.sinks import bronze, landing, warehouse
 from saleslake.sinks.versioned import VersionedTable
@@ -393,7 +396,7 @@ def test_dimensions_and_checks(spark, lake, clock, tmp_path):
         load_seed(spark, str(put(tmp_path, f"{feed}.csv", text)), FEEDS[feed], lake.table("bronze", feed), run_ts)
     load(spark, lake, [sale(1, 0.0), sale(2, 5.0, "junk"), sale(None, 3.0)], next(clock))
     lakes.run(lake)
-    assert [tuple(r) for r in lake.silver("dim_customer").read().collect()] == [(1, "Bea")]
+    assert [(r.id, r.first_name) for r in lake.silver("dim_customer").read().collect()] == [(1, "Bea")]
     failed = {
         (r.check_name, r.table_name, r.column_name): r.failures
         for r in lakes.check(lake).where("status = 'fail'").collect()
@@ -407,7 +410,39 @@ def test_dimensions_and_checks(spark, lake, clock, tmp_path):
     seed = put(tmp_path, "customer2.csv", "id,first_name\n2,Di\n")
     load_seed(spark, str(seed), FEEDS["customer"], lake.table("bronze", "customer"), next(clock))
     lakes.build_silver(lake)
-    assert sorted(tuple(r) for r in lake.silver("dim_customer").read().collect()) == [(1, "Bea"), (2, "Di")]
+    rows = lake.silver("dim_customer").read().select("id", "first_name").collect()
+    assert sorted(tuple(r) for r in rows) == [(1, "Bea"), (2, "Di")]
+
+
+def test_a_dimension_rewrites_only_the_buckets_of_its_batch(spark, lake, clock, tmp_path):
+    wide = dataclasses.replace(lake, buckets=8)
+    table = wide.table("bronze", "product")
+    names = {i: f"p{i}" for i in range(100)}
+    for change in ({}, {5: "new", 200: "added"}):
+        names |= change
+        text = "id,name\n" + "".join(f"{i},{n}\n" for i, n in (change or names).items())
+        load_seed(spark, str(put(tmp_path, "p.csv", text)), FEEDS["product"], table, next(clock))
+        lakes.build_dimension(wide, "dim_product")
+    target = wide.silver("dim_product")
+    assert dict(tuple(r) for r in target.read().select("id", "name").collect()) == names
+    homes = [place.rsplit("/", 2)[1] for place in target._partitions(2).values()]
+    assert len(homes) == 8 and 1 <= homes.count("v2") <= 2
+    load_seed(spark, str(put(tmp_path, "p.csv", "id,name\n1,x\n")), FEEDS["product"], table, next(clock))
+    with pytest.raises(ValueError, match="8 buckets, not 1"):
+        lakes.build_dimension(lake, "dim_product")
+
+
+def test_hourly(spark, lake, clock):
+    run_ts = next(clock)
+    land(spark, lake, [sale(1, 2.0), sale(2, 3.0)], "2024-07-21")
+    report = hourly(lake, lake.path("landing"), run_ts)
+    assert gold_of(lake) == [(date(2024, 7, 20), 2, 5.0)]
+    lines = {(r.check_name, r.table_name): r.status for r in report.collect()}
+    assert lines[("freshness", "raw_sales")] == "pass" and "fail" not in lines.values()
+    later = hourly(lake, lake.path("landing"), run_ts + timedelta(days=3))
+    assert {r.check_name for r in later.where("status = 'error'").collect()} == {"freshness"}
+    with pytest.raises(AssertionError, match="freshness raw_sales.loaded_at"):
+        require_passed(later)
 
 
 def test_lake_freshness(spark, lake, clock):
