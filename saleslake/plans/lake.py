@@ -22,7 +22,7 @@ from saleslake.operators.quality import (
 from saleslake.operators.upsert import merge_batch, rows_replaced, within_key_range
 from saleslake.plans import models
 from saleslake.schemas import CONTRACT, FEEDS, KEY
-from saleslake.session import frame_bytes, size_shuffles, write_out
+from saleslake.session import fit_to_input, frame_bytes, write_out
 from saleslake.sinks import bronze
 from saleslake.sinks.names import table_name
 from saleslake.sinks.versioned import VersionedTable
@@ -153,7 +153,7 @@ def _new_rows(lake: Lake, target: VersionedTable, feed: str) -> tuple[DataFrame,
         return None
     runs = bronze.batches_between(lake.spark, table, read_to, last)
     rows = lake.spark.table(table).where(F.col(bronze.BATCH).isin(runs))
-    size_shuffles(lake.spark, frame_bytes(rows))
+    fit_to_input(lake.spark, frame_bytes(rows))
     return rows, last
 
 
@@ -162,7 +162,7 @@ def _upsert(
 ) -> int:
     """Write the given partitions of the target again, with the batch merged in."""
     current = target.read().where(F.col(target.partition_by).isin(parts))
-    size_shuffles(lake.spark, frame_bytes(current) + frame_bytes(batch))
+    fit_to_input(lake.spark, frame_bytes(current) + frame_bytes(batch))
     return target.publish(merge_batch(current, batch, KEY), replaced=parts, properties=properties)
 
 
@@ -205,6 +205,7 @@ def build_fact(lake: Lake) -> int:
     version = target.version() + 1
     staged = lake.path("silver", "fact_sales", "batch")
     batch = write_out(batch, staged)
+    fit_to_input(lake.spark, files.total_bytes(lake.spark, lake.path("silver", "fact_sales")))
     replaced = rows_replaced(within_key_range(target.read(), batch, KEY), batch, KEY)
     place = [F.to_date("transaction_date").alias(models.DAY), models.PERIOD]
     touched = batch.select(*place).unionByName(replaced.select(*place)).distinct()
@@ -245,13 +246,13 @@ def build_gold(lake: Lake) -> int:
     if built == version:
         return gold.version()
     if not gold.exists():
-        size_shuffles(lake.spark, files.total_bytes(lake.spark, lake.path("silver", "fact_sales")))
+        fit_to_input(lake.spark, files.total_bytes(lake.spark, lake.path("silver", "fact_sales")))
         rows = models.daily_sales_summary(fact.read())
     else:
         paths = [_touched_path(lake, v) for v in range(built + 1, version + 1)]
         touched = lake.spark.read.parquet(*paths)
         changed = fact.read().where(F.col(models.PERIOD).isin(_values(touched, models.PERIOD)))
-        size_shuffles(lake.spark, frame_bytes(changed))
+        fit_to_input(lake.spark, frame_bytes(changed))
         rows = models.refreshed_summary(gold.read(), changed, touched)
     return gold.publish(rows, properties={_FACT_VERSION: str(version)})
 

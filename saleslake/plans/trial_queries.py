@@ -49,18 +49,15 @@ def _before_cut():
 
 
 def daily_sales_summary(spark: SparkSession, sf: str) -> DataFrame:
-    trial.prepare(spark, sf)
     return models.daily_sales_summary(trial.fact_sales(spark, sf))
 
 
 def fact_sales(spark: SparkSession, sf: str) -> DataFrame:
-    trial.prepare(spark, sf)
     return _shown(trial.fact_sales(spark, sf))
 
 
 def fact_sales_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """The fact of the batches before the cut, upserted with the batches since."""
-    trial.prepare(spark, sf)
     rows = trial.lines(spark, sf)
     target = latest_per_key(rows.where(_before_cut()), "id", trial.LINE_ORDER)
     batch = latest_per_key(rows.where(~_before_cut()), "id", trial.LINE_ORDER)
@@ -81,7 +78,6 @@ def dim_product(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sales_enriched(spark: SparkSession, sf: str) -> DataFrame:
-    trial.prepare(spark, sf)
     return _shown(
         models.sales_enriched(
             trial.fact_sales(spark, sf),
@@ -96,7 +92,6 @@ def sales_enriched(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest_batch(spark: SparkSession, sf: str) -> DataFrame:
-    trial.prepare(spark, sf)
     rows = trial.lines(spark, sf)
     newest = rows.where(F.col("loaded_at") == rows.agg(F.max("loaded_at")).scalar())
     few = write_out(newest, work_dir(spark, "latest_batch"))
@@ -104,14 +99,12 @@ def latest_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def undo_last_batch(spark: SparkSession, sf: str) -> DataFrame:
-    trial.prepare(spark, sf)
     rows = trial.lines(spark, sf)
     kept = rows.where(F.col("loaded_at") < rows.agg(F.max("loaded_at")).scalar())
     return _shown(trial.with_header(kept, trial.headers(spark, sf)))
 
 
 def head_150(spark: SparkSession, sf: str) -> DataFrame:
-    trial.prepare(spark, sf)
     order = ["id", "loaded_at", "product_id", "employee_id", "amount_paid"]
     few = write_out(first_rows(trial.lines(spark, sf), order), work_dir(spark, "head"))
     return _shown(trial.with_header_of_few(few, trial.headers(spark, sf)))
@@ -131,7 +124,6 @@ def _contract_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
-    trial.prepare(spark, sf)
     return quality.union_reports(
         [
             quality.not_null_failures(rows, name, CONTRACT[name].not_null)
@@ -141,7 +133,6 @@ def dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
-    trial.prepare(spark, sf)
     return quality.duplicate_keys(trial.lines(spark, sf), "id")
 
 
@@ -153,7 +144,6 @@ def dq_non_positive_amount(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, sf: str) -> DataFrame:
-    trial.prepare(spark, sf)
     return lakes.contract_report(_contract_tables(spark, sf))
 
 
@@ -241,7 +231,6 @@ def _bronze_rows(lake: lakes.Lake) -> DataFrame:
 
 def bronze_sales(spark: SparkSession, sf: str) -> DataFrame:
     """All sales through a JSON landing batch into bronze."""
-    trial.prepare(spark, sf)
     lake = _new_lake(spark)
     root = lake.path("landing")
     write_landing(trial.landed_sales(spark, sf).drop("loaded_at"), root, RUN_TS.date())
@@ -252,7 +241,6 @@ def bronze_sales(spark: SparkSession, sf: str) -> DataFrame:
 
 def csv_landing(spark: SparkSession, sf: str) -> DataFrame:
     """All sales through a CSV landing batch."""
-    trial.prepare(spark, sf)
     root = work_dir(spark, "landing")
     write_landing(trial.landed_sales(spark, sf).drop("loaded_at"), root, RUN_TS.date(), fmt="csv")
     rows = read_landing(spark, root, FEEDS["sales"], fmt="csv")
@@ -280,7 +268,6 @@ def _land_and_pick_up(lake: lakes.Lake, sf: str, run_ts: datetime, first: bool)
 
 def stream_pickup(spark: SparkSession, sf: str) -> DataFrame:
     """Two landings, three pick-ups: the last one finds nothing new."""
-    trial.prepare(spark, sf)
     lake = _new_lake(spark)
     _land_and_pick_up(lake, sf, RUN_TS, first=True)
     _land_and_pick_up(lake, sf, NEXT_RUN_TS, first=False)
@@ -289,7 +276,6 @@ def stream_pickup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _lake_of_two_runs(spark: SparkSession, sf: str) -> lakes.Lake:
-    trial.prepare(spark, sf)
     lake = _new_lake(spark)
     _load_seed(lake, "customer", trial.customers(spark, sf), RUN_TS)
     _load_seed(lake, "employee", trial.employees(spark, sf), RUN_TS)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from saleslake.operators.upsert import latest_per_key
 from saleslake.plans.models import FACT_COLUMNS
 from saleslake.schemas import MONEY
-from saleslake.session import size_shuffles
+from saleslake.session import fit_to_input
 from saleslake.sources.files import total_bytes
 
 ORDER = "order_key"
@@ -20,13 +20,10 @@ LINE_ORDER = ("loaded_at", "product_id", "employee_id", "amount_paid")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def prepare(spark: SparkSession, sf_dir: str) -> None:
-    """Fit the number of shuffle partitions to the size of the sales."""
-    paths = (f"{sf_dir}/lineitem.parquet", f"{sf_dir}/orders.parquet")
-    size_shuffles(spark, sum(total_bytes(spark, path) for path in paths))
+    """A test table. The session's scans and shuffles are fitted to its size."""
+    path = f"{sf_dir}/{name}.parquet"
+    fit_to_input(spark, total_bytes(spark, path))
+    return spark.read.parquet(path)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

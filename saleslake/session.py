@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saleslake.sources.files import temporary_folder
 
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-# Columnar files grow when they become shuffle rows.
-ROW_EXPANSION = 3
-MAX_SHUFFLE_PARTITIONS = 100_000
+SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
+# A shuffle has one block per map task and partition; both numbers are bounded.
+MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_SCAN_TASKS = 100_000
+_PARTITIONS = "spark.sql.shuffle.partitions"
+_SPLIT = "spark.sql.files.maxPartitionBytes"
 
 
 def build_session(
@@ -44,22 +46,28 @@ def build_session(
 
 
 def shuffle_partitions_for(input_bytes: int) -> int:
-    """Shuffle partitions that keep one partition near 128 MB for this much file input."""
-    wanted = math.ceil(input_bytes * ROW_EXPANSION / SHUFFLE_PARTITION_BYTES)
-    return max(1, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    """Shuffle partitions that keep one near 200 MB for this much file input.
+
+    Shuffled rows are fewer columns than the files and compressed as well, so their
+    size is taken to be that of the files.
+    """
+    return max(1, min(math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS))
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` to what the input needs; never lower it.
+def fit_to_input(spark: SparkSession, input_bytes: int) -> None:
+    """Raise the session's shuffle partitions and scan split size to this much file input.
 
-    Adaptive execution merges partitions that turn out small but cannot split an
-    ordinary aggregate's partitions, so the starting number has to fit the input.
+    Neither is ever lowered. Adaptive execution merges partitions that turn out small
+    but cannot split those of an ordinary aggregate, so the number has to start high
+    enough. Larger splits keep the number of map tasks in bounds on very large scans.
     """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, shuffle_partitions_for(input_bytes))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    partitions = shuffle_partitions_for(input_bytes)
+    if partitions > int(spark.conf.get(_PARTITIONS)):
+        spark.conf.set(_PARTITIONS, str(partitions))
+    split = math.ceil(input_bytes / MAX_SCAN_TASKS)
+    to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if split > to_bytes(spark.conf.get(_SPLIT)):
+        spark.conf.set(_SPLIT, f"{split}b")
 
 
 def frame_bytes(frame: DataFrame) -> int:

@@ -456,20 +456,25 @@ def test_lake_freshness(spark, lake, clock):
 # --- session, warehouse -------------------------------------------------------------
 
 
-def test_shuffles_are_sized_by_input_and_never_lowered(spark, tmp_path):
+def test_stages_are_fitted_to_the_input_and_never_lowered(spark, tmp_path):
     assert session.shuffle_partitions_for(0) == 1
-    assert session.shuffle_partitions_for(10 * 2**30) == 240
+    assert session.shuffle_partitions_for(10 * 2**30) == 52
     assert session.shuffle_partitions_for(10**14) == session.MAX_SHUFFLE_PARTITIONS
-    before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.range(100_000).write.parquet(str(tmp_path / "x"))
     size = session.frame_bytes(spark.read.parquet(str(tmp_path / "x")))
     assert size == sum(f.stat().st_size for f in (tmp_path / "x").glob("part-*"))
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(name) for name in names]
     try:
-        assert session.size_shuffles(spark, size) == int(before)
-        assert session.size_shuffles(spark, 2 * 2**30) == 48
-        assert session.size_shuffles(spark, 0) == 48
+        session.fit_to_input(spark, size)
+        assert [spark.conf.get(name) for name in names] == before
+        session.fit_to_input(spark, 10**14)
+        assert [spark.conf.get(name) for name in names] == ["50000", "1000000000b"]
+        session.fit_to_input(spark, 0)
+        assert [spark.conf.get(name) for name in names] == ["50000", "1000000000b"]
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
 
 
 def test_pruned_partitions_are_what_is_measured(spark, lake, clock):
