@@ -101,19 +101,23 @@ class Lake:
 # --- bronze ---------------------------------------------------------------------------
 
 
-def ingest_latest(lake: Lake, root: str, prefix: str, run_ts: datetime, feed: str | None = None) -> str | None:
+def ingest_latest(
+    lake: Lake, root: str, prefix: str, run_ts: datetime, feed: str | None = None, multi_line: bool = True
+) -> str | None:
     """Append the newest landing object; None when bronze holds it already."""
     newest = latest_file(lake.spark, root, prefix)
     listed = manifest(lake.spark, root, prefix).where(F.col("path") == newest["path"])
-    return _ingest(lake, listed, feed or prefix, run_ts)
+    return _ingest(lake, listed, feed or prefix, run_ts, multi_line)
 
 
-def ingest_pending(lake: Lake, root: str, prefix: str, run_ts: datetime, feed: str | None = None) -> str | None:
+def ingest_pending(
+    lake: Lake, root: str, prefix: str, run_ts: datetime, feed: str | None = None, multi_line: bool = True
+) -> str | None:
     """Append every landing object that bronze does not hold yet."""
-    return _ingest(lake, manifest(lake.spark, root, prefix), feed or prefix, run_ts)
+    return _ingest(lake, manifest(lake.spark, root, prefix), feed or prefix, run_ts, multi_line)
 
 
-def _ingest(lake: Lake, listed: DataFrame, feed: str, run_ts: datetime) -> str | None:
+def _ingest(lake: Lake, listed: DataFrame, feed: str, run_ts: datetime, multi_line: bool) -> str | None:
     table = lake.table("bronze", feed)
     oldest, newest = listed.agg(F.min("received_at"), F.max("received_at")).first()
     if oldest is None:
@@ -127,7 +131,7 @@ def _ingest(lake: Lake, listed: DataFrame, feed: str, run_ts: datetime) -> str |
     if not paths:
         return None
     # An array in one object is read by one task; spread its rows before they are written.
-    rows = read_landing(lake.spark, paths, FEEDS[feed], multi_line=True).hint("rebalance")
+    rows = read_landing(lake.spark, paths, FEEDS[feed], multi_line=multi_line).hint("rebalance")
     return bronze.append_batch(rows, table, run_ts)
 
 

@@ -78,33 +78,45 @@ def read_landing(
     The schema is given, not inferred: no extra pass over the files, and a column
     cannot change type between batches. A value that does not fit becomes NULL and
     the record's text is kept in ``_corrupt_record``.
+
+    Without ``multi_line``, a line holds a record or an array of records. With it, a
+    file holds one array, over any number of lines.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    whole_arrays = fmt == "json" and multi_line
-    reader = (
-        spark.read.schema(with_corrupt(_as_text(schema) if whole_arrays else schema))
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
-        .option("multiLine", multi_line)
-    )
+    reader = spark.read.options(recursiveFileLookup=True, columnNameOfCorruptRecord=CORRUPT)
     if fmt == "json":
-        rows = with_received_at(reader.json(paths))
-    elif fmt == "csv":
-        rows = with_received_at(reader.option("header", True).option("enforceSchema", False).csv(paths))
-    else:
-        raise ValueError(f"unsupported landing format: {fmt!r}")
-    return _typed(rows, schema) if whole_arrays else rows
+        if multi_line:
+            _require_one_value(spark, paths)
+        rows = reader.schema(as_text(schema)).json(paths, multiLine=multi_line)
+        return typed(with_received_at(rows), schema)
+    if fmt == "csv":
+        rows = reader.schema(with_corrupt(schema)).csv(
+            paths, header=True, enforceSchema=False, multiLine=multi_line
+        )
+        return with_received_at(rows)
+    raise ValueError(f"unsupported landing format: {fmt!r}")
 
 
-def _as_text(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(field.name, T.StringType(), True) for field in schema])
+def _require_one_value(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Refuse files that multi-line reading would read only the beginning of."""
+    begins = F.col("value").startswith("{") | F.col("value").startswith("[")
+    lines = spark.read.option("recursiveFileLookup", True).text(list(paths)).where(begins)
+    per_file = lines.groupBy(F.col("_metadata.file_path").alias("file")).count()
+    several = per_file.where(F.col("count") > 1).first()
+    if several is not None:
+        raise ValueError(f"{several['file']} holds several JSON values; read it with multi_line=False")
 
 
-def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+def as_text(schema: T.StructType) -> T.StructType:
+    """The schema to read JSON with: every column as it is written."""
+    return with_corrupt(T.StructType([T.StructField(field.name, T.StringType(), True) for field in schema]))
+
+
+def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns read as text, cast to their types.
 
     To the reader an array is one record: a single value of a wrong type would attach
-    the text of the whole file to each of its rows. Casting afterwards keeps the text
+    the text of the whole array to each of its rows. Casting afterwards keeps the text
     of the bad element alone.
     """
     cast = {field.name: F.col(field.name).try_cast(field.dataType) for field in schema}
@@ -113,9 +125,11 @@ def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.withColumns({CORRUPT: F.coalesce(CORRUPT, text), **cast})
 
 
-def read_latest(spark: SparkSession, root: str, prefix: str, schema: T.StructType) -> DataFrame:
+def read_latest(
+    spark: SparkSession, root: str, prefix: str, schema: T.StructType, multi_line: bool = True
+) -> DataFrame:
     """Rows of the newest named object."""
-    return read_landing(spark, latest_file(spark, root, prefix)["path"], schema, multi_line=True)
+    return read_landing(spark, latest_file(spark, root, prefix)["path"], schema, multi_line=multi_line)
 
 
 def pending_files(files: DataFrame, loaded: DataFrame) -> DataFrame:

@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 from saleslake.functions.stamp import with_received_at
 from saleslake.plans.lake import Lake
-from saleslake.schemas import CORRUPT, FEEDS, with_corrupt
+from saleslake.schemas import CORRUPT, FEEDS
 from saleslake.sinks import bronze
+from saleslake.sources.landing import as_text, typed
 
 
 def landing_stream(lake: Lake, feed: str, root: str, max_files: int) -> DataFrame:
     """Rows of new landing files, with their file and its arrival time."""
+    schema = FEEDS[feed]
     rows = (
-        lake.spark.readStream.schema(with_corrupt(FEEDS[feed]))
+        lake.spark.readStream.schema(as_text(schema))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
@@ -26,7 +28,7 @@ def landing_stream(lake: Lake, feed: str, root: str, max_files: int) -> DataFram
         .option("maxFileAge", "365d")
         .json(root)
     )
-    return with_received_at(rows)
+    return typed(with_received_at(rows), schema)
 
 
 def pick_up(

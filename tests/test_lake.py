@@ -125,10 +125,22 @@ def test_bad_lines_keep_their_text(spark, tmp_path):
     path = put(tmp_path / "in", "part-0.json", lines)
     rows = source.read_landing(spark, str(path), FEEDS["sales"]).collect()
     assert [(r.id, r._corrupt_record) for r in rows] == [
-        (1, '{"id": 1, "amount_paid": "x"}'), (2, None), (None, "no json")
+        (1, '{"id":"1","amount_paid":"x"}'), (2, None), (None, "no json")
     ]
 
 
+def test_no_record_of_a_file_is_passed_over(spark, tmp_path):
+    texts = ['{"id": 1}\n{"id": 2}\n', '[{"id": 3}, {"id": 4}]\n[{"id": 5}]', json.dumps([{"id": 6}, {"id": 7}], indent=2)]
+    paths = [str(put(tmp_path, f"{n}.json", text)) for n, text in enumerate(texts)]
+    rows = source.read_landing(spark, paths[:2], FEEDS["sales"])
+    assert sorted(r.id for r in rows.collect()) == [1, 2, 3, 4, 5]
+    for path in paths[:2]:
+        with pytest.raises(ValueError, match="several JSON values"):
+            source.read_landing(spark, path, FEEDS["sales"], multi_line=True)
+    rows = source.read_landing(spark, paths[2], FEEDS["sales"], multi_line=True)
+    assert [r.id for r in rows.collect()] == [6, 7]
+
+
 def test_landing_formats(spark, tmp_path):
     frame = spark.createDataFrame([(1, 'a,"b"'), (2, None)], "id long, first_name string")
     for fmt in ("json", "csv"):
