@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -247,9 +248,31 @@ def csv_landing(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(rows.select(*models.FACT_COLUMNS))
 
 
+def named_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales in named objects, in two arrivals, beside objects of another prefix."""
+    lake = _new_lake(spark)
+    root = lake.path("landing")
+    now = datetime.now(timezone.utc)
+    sales = trial.landed_sales(spark, sf)
+    trial.customers(spark, sf).write.json(f"{root}/other_1")
+    for run, side in enumerate((_before_cut(), ~_before_cut())):
+        sales.where(side).drop("loaded_at").write.json(f"{root}/sales_{run}")
+        lakes.ingest_pending(lake, root, "sales", now + timedelta(hours=run), multi_line=False)
+    return _shown(spark.table(lake.table("bronze", "sales")).select(*models.FACT_COLUMNS))
+
+
+def bronze_undo(spark: SparkSession, sf: str) -> DataFrame:
+    """Two load runs, the second of which is taken back."""
+    lake = _new_lake(spark)
+    _land_and_pick_up(lake, sf, RUN_TS, first=True)
+    _land_and_pick_up(lake, sf, NEXT_RUN_TS, first=False)
+    bronze.undo_last_batch(spark, lake.table("bronze", "sales"))
+    return _bronze_rows(lake)
+
+
 def _load_seed(lake: lakes.Lake, feed: str, rows: DataFrame, run_ts: datetime) -> DataFrame:
     path = lake.path("seeds", feed)
-    rows.write.csv(path, header=True)
+    rows.write.mode("overwrite").csv(path, header=True)
     return load_seed(lake.spark, path, FEEDS[feed], lake.table("bronze", feed), run_ts)
 
 
@@ -299,6 +322,23 @@ def lake_daily_sales(spark: SparkSession, sf: str) -> DataFrame:
     return _lake_of_two_runs(spark, sf).gold().read()
 
 
+def lake_dim_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored dimension after a second seed that renames some of its customers."""
+    lake = replace(_new_lake(spark), buckets=4)
+    customers = trial.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_name", "c_acctbal")
+    first = customers.select("id", F.lower("c_name").alias("first_name"))
+    second = customers.where("c_acctbal > 5000").select("id", F.col("c_name").alias("first_name"))
+    for run_ts, rows in ((RUN_TS, first), (NEXT_RUN_TS, second)):
+        _load_seed(lake, "customer", rows, run_ts)
+        lakes.build_dimension(lake, "dim_customer")
+    return lake.silver("dim_customer").read().select("id", "first_name")
+
+
+def lake_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """The report over the stored tables after two runs."""
+    return lakes.check(_lake_of_two_runs(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -324,9 +364,13 @@ QUERIES: dict[str, Query] = {
         landing_day_replace,
         bronze_sales,
         csv_landing,
+        named_ingest,
+        bronze_undo,
         seed_customer,
         stream_pickup,
         lake_fact_sales,
         lake_daily_sales,
+        lake_dim_customer,
+        lake_checks,
     )
 }

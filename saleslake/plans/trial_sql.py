@@ -164,6 +164,9 @@ FROM lineitem
 WHERE l_returnflag = 'R' OR {_YEAR_DAY} <> (SELECT max({_YEAR_DAY}) FROM lineitem)""",
     "bronze_sales": f"WITH {_RAW} SELECT {_LANDED}, {_FIRST} AS loaded_at FROM raw_sales",
     "csv_landing": f"WITH {_RAW} SELECT {_LANDED} FROM raw_sales",
+    "named_ingest": f"WITH {_RAW} SELECT {_LANDED} FROM raw_sales",
+    "bronze_undo": f"""WITH {_RAW} SELECT {_LANDED}, {_FIRST} AS loaded_at FROM raw_sales
+WHERE loaded_at < TIMESTAMP '{CUT}'""",
     "seed_customer": f"WITH {_DIMS} SELECT * FROM dim_customer",
     "stream_pickup": f"""WITH {_RAW} SELECT {_LANDED},
   CASE WHEN loaded_at < TIMESTAMP '{CUT}' THEN {_FIRST} ELSE {_SECOND} END AS loaded_at FROM raw_sales""",
@@ -171,4 +174,10 @@ WHERE l_returnflag = 'R' OR {_YEAR_DAY} <> (SELECT max({_YEAR_DAY}) FROM lineite
 SELECT id, customer_id, employee_id, product_id, CAST(amount_paid AS DOUBLE) AS amount_paid,
        CAST(transaction_date AS DATE) AS sales_date FROM fact_sales""",
     "lake_daily_sales": f"WITH {_LAKE_FACT} {_DAILY}",
+    "lake_dim_customer": """
+SELECT c_custkey AS id, CASE WHEN c_acctbal > 5000 THEN c_name ELSE lower(c_name) END AS first_name
+FROM customer""",
+    "lake_checks": f"""WITH {_LAKE_FACT}, {_DIMS}
+SELECT check_name, table_name, column_name, failures,
+       CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({_report_lines()})""",
 }
