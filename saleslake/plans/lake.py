@@ -33,6 +33,8 @@ from saleslake.sources.registry import Registry, Source
 
 # How far the clocks of the store and of the driver may differ.
 CLOCK_MARGIN = timedelta(days=1)
+# From this size on, gold's distinct counts scan their columns one by one.
+ONE_SCAN_BYTES = 1024**3
 LAYERS = ("silver", "gold")
 _FEED_OF = {"dim_customer": "customer", "dim_employee": "employee", "dim_product": "product"}
 _READ_TO = "saleslake.read_to_batch"
@@ -250,14 +252,16 @@ def build_gold(lake: Lake) -> int:
     if built == version:
         return gold.version()
     if not gold.exists():
-        fit_to_input(lake.spark, files.total_bytes(lake.spark, lake.path("silver", "fact_sales")))
-        rows = models.daily_sales_summary(fact.read())
+        size = files.total_bytes(lake.spark, lake.path("silver", "fact_sales"))
+        fit_to_input(lake.spark, size)
+        rows = models.daily_sales_summary(fact.read(), size < ONE_SCAN_BYTES)
     else:
         paths = [_touched_path(lake, v) for v in range(built + 1, version + 1)]
         touched = lake.spark.read.parquet(*paths)
         changed = fact.read().where(F.col(models.PERIOD).isin(_values(touched, models.PERIOD)))
-        fit_to_input(lake.spark, frame_bytes(changed))
-        rows = models.refreshed_summary(gold.read(), changed, touched)
+        size = frame_bytes(changed)
+        fit_to_input(lake.spark, size)
+        rows = models.refreshed_summary(gold.read(), changed, touched, size < ONE_SCAN_BYTES)
     return gold.publish(rows, properties={_FACT_VERSION: str(version)})
 
 

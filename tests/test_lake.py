@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 import json
 import os
+import random
 from datetime import date, timedelta
 
 import pytest
@@ -356,9 +357,9 @@ def test_a_publish_that_dies_before_the_swap_is_repeated(spark, lake, clock, mon
     assert [(i, a) for i, _, a in fact_of(lake)] == [(1, 9.0), (2, 2.0)]
 
 
-def test_many_runs_equal_one(spark, lake, clock):
-    import random
-
+@pytest.mark.parametrize("one_scan_bytes", [0, lakes.ONE_SCAN_BYTES])
+def test_many_runs_equal_one(spark, lake, clock, monkeypatch, one_scan_bytes):
+    monkeypatch.setattr(lakes, "ONE_SCAN_BYTES", one_scan_bytes)
     rng = random.Random(3)
     runs = [
         [sale(rng.randrange(12), rng.randrange(100) / 4, f"2024-0{rng.randrange(5, 8)}-1{rng.randrange(3)}") for _ in range(9)]

@@ -106,8 +106,9 @@ def test_daily_summary(spark):
         FACT,
     )
     fact = models.fact_sales(rows, newest_by=())
-    out = models.daily_sales_summary(fact).collect()
-    assert [tuple(r) for r in out] == [(date(2024, 7, 20), 3, 10.75, 5.375, 0.25, 10.5, 2, 1, 2)]
+    for one_scan in (True, False):
+        out = models.daily_sales_summary(fact, one_scan).collect()
+        assert [tuple(r) for r in out] == [(date(2024, 7, 20), 3, 10.75, 5.375, 0.25, 10.5, 2, 1, 2)]
     assert fact.where("transaction_date is null").count() == 2
 
 
