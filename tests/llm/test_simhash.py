@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import random
+import re
+
+import brute
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from saleslake.llm import simhash
+from saleslake.llm.components import connected_components, spanning_links
+from saleslake.llm.queries import QUERIES
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def plain_fingerprint(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    shingles = [words[i : i + 4] for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64(" ".join(s).encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(docs):
+    prints = {t: plain_fingerprint(t) for _, t in docs}
+    values = sorted(set(prints.values()))
+    links = [(a, b) for i, a in enumerate(values) for b in values[:i] if (a ^ b).bit_count() <= 4]
+    root = brute.components(values, links)
+    least = {}
+    for ident, text in docs:
+        if ident is not None:
+            r = root[prints[text]]
+            least[r] = min(least.get(r, ident), ident)
+    return sorted(
+        ((i, f"{prints[t]:016x}", least.get(root[prints[t]])) for i, t in docs), key=repr
+    )
+
+
+def test_query_equals_brute_force(spark):
+    got = QUERIES["op9_simhash_near_dedup"](spark, brute.SF)
+    assert set(got.columns) >= {"doc_id", "fingerprint", "component_id"}
+    found = [tuple(r) for r in got.select("doc_id", "fingerprint", "component_id").collect()]
+    assert sorted(found, key=repr) == plain_groups(brute.rows("documents", "doc_id, text"))
+
+
+def test_odd_rows(spark):
+    docs = [
+        (1, None), (2, ""), (3, " \n\t"), (4, "A b"), (5, "a B"), (5, "a B"), (None, "a b"),
+        (None, "only here"), (6, "x y É"), (7, "w " * 3000), (8, "w w w w"),
+    ]
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], DOCS)
+    frame = frame.withColumn("fingerprint", F.lit("clash")).withColumn("component_id", F.lit(1))
+    groups = simhash.simhash_groups(frame)
+    hexed = groups.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("f"), "component_id"
+    )
+    assert sorted(map(tuple, hexed.collect()), key=repr) == plain_groups(docs)
+    kept = simhash.keep_one_of_group(frame)
+    assert kept.columns == frame.columns
+    # "a b" twice in two cases, a repeated row, and a row without an id that stands alone
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [
+        (0, "only here"), (1, None), (4, "A b"), (6, "x y É"), (7, "w " * 3000),
+    ]
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], DOCS)
+    assert simhash.simhash_groups(none).count() == 0
+    assert simhash.keep_one_of_group(none).count() == 0
+
+
+@pytest.mark.parametrize(("slice_fingerprints", "chunk"), [(1 << 23, 1 << 22), (1 << 23, 1 << 9), (64, 1 << 8)])
+def test_no_link_is_lost_and_none_is_false(spark, monkeypatch, slice_fingerprints, chunk):
+    monkeypatch.setattr(simhash, "SLICE_FINGERPRINTS", slice_fingerprints)
+    monkeypatch.setattr(simhash, "CHUNK_VARIANTS", chunk)
+    rng = random.Random(5)
+    values = {rng.getrandbits(64) for _ in range(60)} | {0, (1 << 64) - 1}
+    for v in list(values):
+        for flips in (1, 2, 3, 4, 5, 6):
+            w = v
+            for b in rng.sample(range(64), flips):
+                w ^= 1 << b
+            values.add(w)
+    signed = {int(np.uint64(v).view(np.int64)): v for v in values}
+    frame = spark.createDataFrame([(v,) for v in signed], "f long")
+    links = simhash.similar_fingerprints(frame, "f", len(values), 4).collect()
+    near = [(a, b) for a in signed for b in signed if a < b and (signed[a] ^ signed[b]).bit_count() <= 4]
+    assert brute.components(signed, [(r.a, r.b) for r in links]) == brute.components(signed, near)
+
+
+def test_odd_radius_is_refused(spark):
+    with pytest.raises(ValueError):
+        simhash.similar_fingerprints(spark.createDataFrame([(1,)], "f long"), "f", 1, 3)
+
+
+def test_components_of_chains_stars_and_odd_links(spark):
+    links = [(n, n + 1) for n in range(100, 160)] + [(1, n) for n in range(2, 40)] + [(7, 7), (500, 501)]
+    links += [(501, 500), (None, 9), (160, 100)]
+    frame = spark.createDataFrame(links, "a long, b long")
+    got = {r.node: r.component for r in connected_components(frame).collect()}
+    real = [(a, b) for a, b in links if a is not None and a != b]
+    assert got == brute.components({n for pair in real for n in pair}, real)
+    assert connected_components(frame.where("a > 1000")).count() == 0
+
+
+def test_spanning_links():
+    a, b = spanning_links(np.array([5, 9, 2, 7]), np.array([9, 5, 7, 3]))
+    assert dict(zip(a.tolist(), b.tolist(), strict=True)) == {9: 5, 7: 2, 3: 2}
