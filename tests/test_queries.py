@@ -9,9 +9,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from saleslake.plans.trial_queries import QUERIES
+from saleslake.plans.trial_sql import ORACLE_SQL as SQL
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 # Row counts on the smallest tables, counted independently beforehand.
 KNOWN_ROWS = {
