@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm.shared import table
+from saleslake.llm import packing
+from saleslake.llm.shared import table, tokenizer_file
 from saleslake.llm.simhash import simhash_groups
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return packing.described(pieces)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return groups.withColumn("fingerprint", hexed)
 
 
-QUERIES = {f.__name__: f for f in (op9_simhash_near_dedup,)}
+QUERIES = {f.__name__: f for f in (op2_packing, op9_simhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}

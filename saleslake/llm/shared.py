@@ -27,6 +27,13 @@ def store(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def tokenizer_file(name: str) -> str:
+    """Where this machine and the executors have a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def whole_text(name: str = "text") -> Column:
     """The text of a row; null counts as empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -74,7 +74,7 @@ def test_empty_table(spark):
     assert simhash.keep_one_of_group(none).count() == 0
 
 
-@pytest.mark.parametrize(("slice_fingerprints", "chunk"), [(1 << 23, 1 << 22), (1 << 23, 1 << 9), (64, 1 << 8)])
+@pytest.mark.parametrize(("slice_fingerprints", "chunk"), [(1 << 23, 1 << 22), (1 << 23, 1 << 13), (256, 1 << 12)])
 def test_no_link_is_lost_and_none_is_false(spark, monkeypatch, slice_fingerprints, chunk):
     monkeypatch.setattr(simhash, "SLICE_FINGERPRINTS", slice_fingerprints)
     monkeypatch.setattr(simhash, "CHUNK_VARIANTS", chunk)
