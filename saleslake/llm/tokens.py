@@ -23,7 +23,9 @@ _SIMPLE = (
     r"^(?P<letters>[A-Za-z\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}\x{00F8}-\x{024F}]*)"
     r"(?P<marks>[.,;:!?*#$%&()\-]*)$"
 )
-TEXT_BYTES_AT_ONCE = 32 << 20
+TEXT_BYTES_AT_ONCE = 12 << 20
+KNOWN_STRINGS = 200_000
+_GATHERED_AT_ONCE = 1 << 18
 
 
 @lru_cache(maxsize=4)
@@ -33,6 +35,25 @@ def _tokenizer(path: str, plain_specials: bool) -> Tokenizer:
     return made
 
 
+@lru_cache(maxsize=4)
+def _known(path: str, plain_specials: bool) -> dict[str, np.ndarray]:
+    """Ids of strings that a worker has met, up to ``KNOWN_STRINGS``."""
+    return {}
+
+
+def _string_ids(path: str, plain_specials: bool, strings: list[str]) -> list[np.ndarray]:
+    known = _known(path, plain_specials)
+    new = [s for s in strings if s not in known]
+    made = dict(zip(new, _joined_ids(_tokenizer(path, plain_specials), new), strict=True))
+    out = [made[s] if s in made else known[s] for s in strings]
+    for s, ids in made.items():
+        if len(known) >= KNOWN_STRINGS:
+            break
+        if len(s) <= 64:
+            known[s] = ids
+    return out
+
+
 def _joined_ids(tokenizer: Tokenizer, strings: list[str]) -> list[np.ndarray]:
     """The ids of each string, many to a call, with a break between them."""
     mark = tokenizer.encode(_BREAK, add_special_tokens=False).ids
@@ -65,12 +86,17 @@ def _ragged(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The pieces of ``flat`` one after the other."""
-    total = int(lengths.sum())
-    within = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return flat[np.repeat(starts, lengths) + within]
+    upto = np.r_[0, np.cumsum(lengths)]
+    out = np.empty(int(upto[-1]), flat.dtype)
+    for a in range(0, len(starts), _GATHERED_AT_ONCE):
+        b = min(a + _GATHERED_AT_ONCE, len(starts))
+        place = np.repeat(starts[a:b] - upto[a:b], lengths[a:b])
+        place += np.arange(upto[a], upto[b])
+        out[upto[a] : upto[b]] = flat[place]
+    return out
 
 
-def _word_ids(words: pa.Array, tokenizer: Tokenizer) -> tuple[np.ndarray, np.ndarray]:
+def _word_ids(words: pa.Array, path: str, plain_specials: bool) -> tuple[np.ndarray, np.ndarray]:
     """Flat ids of these distinct words, and where each begins."""
     simple = pc.extract_regex(words, _SIMPLE)
     letters = pc.ascii_lower(simple.field("letters")).dictionary_encode()
@@ -78,7 +104,7 @@ def _word_ids(words: pa.Array, tokenizer: Tokenizer) -> tuple[np.ndarray, np.nda
     odd = pc.invert(pc.is_valid(simple)).to_numpy(zero_copy_only=False)
     parts = [letters.dictionary, marks.dictionary, words.filter(pa.array(odd))]
     strings = [s for part in parts for s in part.to_pylist()]
-    flat, offsets = _ragged(_joined_ids(tokenizer, strings))
+    flat, offsets = _ragged(_string_ids(path, plain_specials, strings))
     none = len(strings)  # an entry without ids
     offsets = np.r_[offsets, offsets[-1]]
     first = pc.fill_null(letters.indices, none).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -99,14 +125,12 @@ def encode(
     Null texts count as empty. With ``plain_specials`` the strings of special tokens in a text
     are ordinary text.
     """
-    tokenizer = _tokenizer(path, plain_specials)
     texts = pc.fill_null(texts, "").cast(pa.large_string())
-    # a word of its own closes each text, so that every text has one at least
     lines = pc.replace_substring(texts, "\n", " ")
     words = pc.split_pattern(lines, " ")
     sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = words.flatten().dictionary_encode()
-    flat, offsets = _word_ids(coded.dictionary.cast(pa.string()), tokenizer)
+    flat, offsets = _word_ids(coded.dictionary.cast(pa.string()), path, plain_specials)
     index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     # the end id is one more word, placed after the words of each text
     flat, offsets = np.r_[flat, np.uint32(end_id)], np.r_[offsets, offsets[-1] + 1]
