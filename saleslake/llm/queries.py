@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm import packing
+from saleslake.llm import packing, quality
 from saleslake.llm.shared import table, tokenizer_file
 from saleslake.llm.simhash import simhash_groups
 
@@ -15,12 +15,22 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.described(pieces)
 
 
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judged(docs, trusted_ids(spark, sf_dir))
+    return judged.select("doc_id", f"{judged.columns[-1]}.*")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return groups.withColumn("fingerprint", hexed)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_packing, op8_quality_rules, op9_simhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
