@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm import packing, quality
+from saleslake.llm import language, packing, quality
 from saleslake.llm.shared import table, tokenizer_file
 from saleslake.llm.simhash import simhash_groups
 
@@ -15,6 +15,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.described(pieces)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = language.identified(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return docs.select("doc_id", f"{docs.columns[-1]}.*")
+
+
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
 
@@ -31,6 +36,6 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("fingerprint", hexed)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op8_quality_rules, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_packing, op5_language_id, op8_quality_rules, op9_simhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}

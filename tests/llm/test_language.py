@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import brute
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from saleslake.llm import language
+from saleslake.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "doc_id long, text string, lang string, language int"
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    return QUERIES["op5_language_id"](spark, SF).collect()
+
+
+def test_held_out_accuracy(found):
+    docs = {i: (t, lang) for i, t, lang in brute.rows("documents", "doc_id, text, lang", SF)}
+    assert len(found) == len(docs)
+    assert all(r.held_out == (brute.remainder(r.doc_id, 3) == 1) for r in found)
+    assert all(0 <= r.score <= 1 for r in found)
+    assert all((r.lang_pred == "und") == (not any(c.isalpha() for c in docs[r.doc_id][0] or "")) for r in found)
+    held = [(r.lang_pred, docs[r.doc_id][1]) for r in found if r.held_out and docs[r.doc_id][1]]
+    assert len(held) > 250 and sum(a == b for a, b in held) / len(held) >= 0.99
+
+
+def test_texts_of_learned_languages_are_not_rejected(found):
+    assert sum(r.rejected for r in found) <= 0.002 * len(found)
+
+
+def test_held_out_rows_and_labels_of_them_teach_nothing(spark, found):
+    docs = [(i, t, lang) for i, t, lang in brute.rows("documents", "doc_id, text, lang", SF)]
+    changed = [(i, t, "xx" if brute.remainder(i, 3) == 1 else lang, 0) for i, t, lang in docs]
+    again = language.identified(spark.createDataFrame(changed, SCHEMA)).collect()
+    before = {r.doc_id: (r.lang_pred, r.score) for r in found}
+    assert all(before[r.doc_id] == (r.language_.lang_pred, pytest.approx(r.language_.score, abs=1e-5)) for r in again)
+
+
+def test_odd_rows(spark):
+    docs = [(n, "the cat and the dog went to the house of the man", "en", 0) for n in range(0, 30)]
+    docs += [(n, "der hund und die katze gingen in das haus des mannes", "de", 0) for n in range(30, 60)]
+    docs += [
+        (100, None, "en", 0), (101, "", None, 0), (102, "12 34 !!! \n", "de", 0), (103, "²³ € ½ ́", "de", 0),
+        (104, "der mann und das haus " * 5000, None, 0), (104, "the man and the house", None, 0),
+        (None, "the dog of the man", None, 0), (None, None, None, 0), (105, "ЖЖЩЪ ЫЭЮ ЪЫЬ ЩЩЪЪ", None, 0),
+    ]
+    got = language.identified(spark.createDataFrame(docs, SCHEMA))
+    assert got.columns == ["doc_id", "text", "lang", "language", "language_"]
+    rows = {(r.doc_id, r.text): r.language_ for r in got.collect()}
+    assert got.count() == len(docs)
+    assert all(rows[k].lang_pred == "und" and rows[k].rejected and rows[k].score == 0 for k in rows if k[0] in (100, 101, 102, 103))
+    assert rows[(None, None)].lang_pred == "und"
+    assert rows[(104, docs[64][1])].lang_pred == "de" and not rows[(104, docs[64][1])].rejected
+    assert rows[(104, "the man and the house")].lang_pred == "en"
+    assert rows[(None, "the dog of the man")].lang_pred == "en"
+    strange = rows[(105, "ЖЖЩЪ ЫЭЮ ЪЫЬ ЩЩЪЪ")]
+    assert strange.lang_pred in ("en", "de") and strange.rejected
+
+
+def test_nothing_learned_and_empty_table(spark):
+    frame = spark.createDataFrame([(1, "some text", None, 1)], SCHEMA)
+    row = language.identified(frame).first().language_
+    assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
+    assert language.identified(frame.limit(0)).count() == 0
+
+
+def test_counts_equal_a_plain_count_and_do_not_depend_on_batches():
+    texts = ["Ab, cD!", None, "", "7", "é  É\nx", "a", " zz " * 3]
+    whole = language.gram_counts(pa.array(texts, pa.string()))
+    for i, t in enumerate(texts):
+        low = "".join(c if c.isalpha() else " " for c in (t or "").lower())
+        raw = b" " + b" ".join(low.encode().split()) + b" "
+        want = np.zeros(language.DIMENSIONS)
+        if raw.strip():
+            for j in range(len(raw) - 1):
+                two = int.from_bytes(raw[j : j + 2], "big") * 2654435761 % 2**32 >> 20
+                want[two] += 1
+            for j in range(len(raw) - 2):
+                want[int.from_bytes(raw[j : j + 3], "big") * 2246822519 % 2**32 >> 20] += 1
+        one = language.gram_counts(pa.array([t], pa.string()))[0]
+        assert np.array_equal(whole[i], one)
+        assert np.array_equal(one, want), t
+
+
+def test_a_long_text_is_counted_in_pieces(monkeypatch):
+    texts = pa.array(["ab cd " * 300, "x", "efg hi " * 200])
+    whole = language.gram_counts(texts)
+    monkeypatch.setattr(language, "_BYTES_AT_ONCE", 37)
+    assert np.array_equal(whole, language.gram_counts(texts))
+
+
+def test_sample_is_bounded_per_language(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 5)
+    docs = [(n, f"text {n % 3}", "en" if n % 4 else "de") for n in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = language.labelled_sample(frame, "doc_id", "text", "lang").collect()
+    assert Counter(r.lang for r in got) == {"en": 5, "de": 5}
+    again = language.labelled_sample(frame.repartition(5), "doc_id", "text", "lang").collect()
+    assert sorted(got) == sorted(again)
