@@ -145,9 +145,13 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     keyed = rows.select(
         F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("rank")
     )
-    # ranked without the texts; each partition passes on its first rows alone
+    # of a language with more rows, those of small hash, about four times as many as wanted, are
+    # ranked; so no task gets more, however many partitions there are
+    sizes = F.broadcast(keyed.groupBy("lang").agg(F.count("*").alias("rows")))
+    share = F.col("rank") / F.lit(2.0**64) + 0.5
+    low = keyed.join(sizes, "lang").where(share * F.col("rows") <= 4 * SAMPLE_ROWS)
     order = Window.partitionBy("lang").orderBy("rank")
-    chosen = keyed.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_ROWS)
+    chosen = low.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_ROWS)
     chosen = chosen.select(F.col("lang").alias("l"), F.col("rank").alias("r")).distinct()
     texts = rows.select(
         F.col(lang_col).cast("string").alias("lang"),

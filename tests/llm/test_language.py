@@ -95,10 +95,10 @@ def test_a_long_text_is_counted_in_pieces(monkeypatch):
 
 
 def test_sample_is_bounded_per_language(spark, monkeypatch):
-    monkeypatch.setattr(language, "SAMPLE_ROWS", 5)
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 9)
     docs = [(n, f"text {n % 3}", "en" if n % 4 else "de") for n in range(200)]
     frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
     got = language.labelled_sample(frame, "doc_id", "text", "lang").collect()
-    assert Counter(r.lang for r in got) == {"en": 5, "de": 5}
+    assert Counter(r.lang for r in got) == {"en": 9, "de": 9}
     again = language.labelled_sample(frame.repartition(5), "doc_id", "text", "lang").collect()
     assert sorted(got) == sorted(again)
