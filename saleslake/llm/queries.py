@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm import language, packing, quality
+from saleslake.llm import language, lines, packing, quality
 from saleslake.llm.shared import table, tokenizer_file
 from saleslake.llm.simhash import simhash_groups
 
@@ -20,6 +20,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", f"{docs.columns[-1]}.*")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", f"{docs.columns[-1]}.*", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+
+
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
 
@@ -36,6 +41,47 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("fingerprint", hexed)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op5_language_id, op8_quality_rules, op9_simhash_near_dedup)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_packing, op5_language_id, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup)}
+
+_LINES = """
+line AS (
+    SELECT doc_id, i, x, trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS s
+    FROM (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+        FROM documents
+    )
+),
+full_line AS (
+    SELECT doc_id, i, s, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+    FROM line WHERE s <> ''
+),
+win AS (
+    SELECT doc_id, k, [s, lead(s, 1) OVER w, lead(s, 2) OVER w] AS key, lead(k, 2) OVER w AS last
+    FROM full_line WINDOW w AS (PARTITION BY doc_id ORDER BY k)
+),
+later AS (
+    SELECT doc_id, k
+    FROM (
+        SELECT doc_id, k, row_number() OVER (PARTITION BY key ORDER BY doc_id, k) AS n
+        FROM win WHERE last IS NOT NULL
+    ) WHERE n > 1
+),
+gone AS (
+    SELECT DISTINCT f.doc_id, f.i
+    FROM full_line f JOIN later l ON f.doc_id = l.doc_id AND f.k BETWEEN l.k AND l.k + 2
+)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_line_dedup": f"""
+WITH {_LINES}
+SELECT d.doc_id,
+       (SELECT count(*) FROM full_line f WHERE f.doc_id = d.doc_id) AS n_lines,
+       (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS n_removed,
+       md5(coalesce((
+           SELECT string_agg(l.x, chr(10) ORDER BY l.i) FROM line l
+           WHERE l.doc_id = d.doc_id
+             AND NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = l.doc_id AND g.i = l.i)
+       ), '')) AS text_md5
+FROM documents d""",
+}
