@@ -32,7 +32,7 @@ def windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(h1, h2, id, h, at) of every window; h tells apart texts of the same id."""
     lines = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("h"), _lines(whole_text(text_col)).alias("x")
-    ).where(F.size("x") >= WINDOW)
+    )
     line = lambda i, k: F.get("x", i + k).s
     keys = F.transform(
         F.sequence(F.lit(0), F.size("x") - WINDOW),
@@ -42,6 +42,7 @@ def windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             i.alias("at"),
         ),
     )
+    keys = F.when(F.size("x") >= WINDOW, keys)
     return lines.select("id", "h", F.explode(keys).alias("w")).select("w.h1", "w.h2", "id", "h", "w.at")
 
 
