@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm import language, lines, packing, quality
+from saleslake.llm import language, lines, packing, quality, warc
 from saleslake.llm.shared import table, tokenizer_file
 from saleslake.llm.simhash import simhash_groups
+from saleslake.session import work_dir
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +16,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.described(pieces)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "llm-warc") + "/archives"
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder, payloads=False).drop("url")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = language.identified(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return docs.select("doc_id", f"{docs.columns[-1]}.*")
@@ -41,7 +48,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("fingerprint", hexed)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op5_language_id, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_warc, op5_language_id, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup)}
 
 _LINES = """
 line AS (
@@ -73,6 +80,18 @@ gone AS (
 )"""
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_warc": """
+WITH page AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY digest ORDER BY page_id DESC) AS r,
+           max(page_id) OVER (PARTITION BY digest) AS response FROM page
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND r > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND r > 1 THEN response END AS refers_to
+FROM ranked""",
     "op7_line_dedup": f"""
 WITH {_LINES}
 SELECT d.doc_id,

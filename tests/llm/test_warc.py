@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import gzip
+import hashlib
+import pathlib
+
+import brute
+import oracle
+import pytest
+
+from saleslake.llm import warc
+from saleslake.llm.queries import ORACLE_SQL, QUERIES
+
+SCHEMA = "page_id long, url string, html string, digest int, shard string"
+LONG = "x é " * 500
+PAGES = [
+    (1, "http://a/1", LONG), (2, "http://a/2\r\nX-Evil: 1", LONG), (9, None, LONG), (9, None, LONG), (None, "u", LONG),
+    (3, "http://b", None), (4, "http://b", ""), (5, "http://b", "short"), (6, "http://b", "short"), (7, "http://c", "\r\n\r\nWARC/1.1\r\n"),
+    (2**62, "http://far", "far"), (-5, "http://minus", "y" * 5000), (8, "http://z", "z" * 1000), (10, "http://z", "z" * 1000),
+    (11, "http://z", "w" * 999), (12, "http://z", "w" * 999), (None, "n1", "null" * 400), (None, "n2", "null" * 400),
+]
+
+
+def frame(spark, rows=PAGES):
+    return spark.createDataFrame([(*r, 1, "clash") for r in rows], SCHEMA)
+
+
+def test_query_equals_sql(spark):
+    rows = QUERIES["op3_warc"](spark, brute.SF).cache()
+    oracle.assert_same(rows, oracle.connect(brute.SF), ORACLE_SQL["op3_warc"])
+
+
+def test_odd_rows_and_round_trip(spark, tmp_path):
+    folder = str(tmp_path / "w")
+    manifest = warc.write_archives(frame(spark), folder, shard_bytes=4000, file_bytes=100)
+    assert sum(r.records for r in manifest.collect()) == len(PAGES)
+    got = sorted(warc.read_archives(spark, folder).collect(), key=repr)
+    assert len(got) == len(PAGES)
+    for ident, _, html in PAGES:
+        payload = (html or "").encode()
+        own = [r for r in got if r.page_id == ident and r.payload_digest == hashlib.sha1(payload).hexdigest()]
+        assert own and all(r.payload_bytes == len(payload) for r in own)
+        assert all(bytes(r.payload) == payload for r in own if r.record_type == "response")
+    kinds = lambda text: sorted(
+        ((r.page_id or 0, r.record_type, r.refers_to) for r in got if r.payload_digest == hashlib.sha1(text.encode()).hexdigest()),
+        key=repr,
+    )
+    assert kinds(LONG) == [(0, "revisit", 9), (1, "revisit", 9), (2, "revisit", 9), (9, "response", None), (9, "revisit", 9)]
+    assert kinds("z" * 1000) == [(10, "response", None), (8, "revisit", 10)]
+    assert {k[1] for k in kinds("w" * 999)} == {k[1] for k in kinds("short")} == {k[1] for k in kinds("")} == {"response"}
+    assert [k[1] for k in kinds("null" * 400)] == ["response", "revisit"]
+    assert any(r.url == "http://a/2%0D%0AX-Evil:%201" for r in got)
+
+
+def files(folder):
+    return {p.name: p.read_bytes() for p in pathlib.Path(folder).glob("*.warc.gz")}
+
+
+def test_same_files_however_rows_come(spark, tmp_path):
+    many = [(n, f"http://{n}", f"page {n} " * (n % 50)) for n in range(500)]
+    for folder, rows in (("a", many), ("b", many[::-1])):
+        pages = frame(spark, rows).repartition(1 if folder == "a" else 7)
+        warc.write_archives(pages, str(tmp_path / folder), shard_bytes=40_000, file_bytes=2000)
+    a, b = files(tmp_path / "a"), files(tmp_path / "b")
+    assert a == b and len(a) > 8
+    assert all(gzip.decompress(x).startswith(b"WARC/1.1\r\n") for x in a.values())
+    assert not any((tmp_path / "a" / "temporary").iterdir())
+
+
+def test_a_file_of_a_lost_attempt_is_not_read(spark, tmp_path):
+    folder = str(tmp_path / "w")
+    warc.write_archives(frame(spark), folder)
+    (tmp_path / "w" / "temporary" / "left.warc.gz").write_bytes(b"half")
+    (tmp_path / "w" / "00000099-00000-00000.warc.gz").write_bytes(b"half")
+    assert warc.read_archives(spark, folder).count() == len(PAGES)
+
+
+def test_publishing_twice_changes_nothing_and_misses_nothing(spark, tmp_path):
+    folder = str(tmp_path / "w")
+    manifest = warc.write_archives(frame(spark), folder)
+    before = files(folder)
+    assert manifest.mapInArrow(warc._publish(folder), manifest.schema).count() == manifest.count()
+    assert files(folder) == before
+    next((tmp_path / "w").glob("*.warc.gz")).unlink()
+    with pytest.raises(Exception, match="temporary"):
+        manifest.mapInArrow(warc._publish(folder), manifest.schema).count()
+
+
+def test_broken_archives_are_refused(tmp_path):
+    whole = gzip.compress(warc.record(1, "u", b"payload", hashlib.sha1(b"payload").hexdigest(), 0, None))
+    (tmp_path / "cut").write_bytes(whole[:-9])
+    with pytest.raises(ValueError):
+        list(warc.members(str(tmp_path / "cut")))
+    with pytest.raises(ValueError):
+        warc.parsed(gzip.decompress(whole).replace(b"payload\r\n", b"payl0ad\r\n"))
+
+
+def test_empty_table(spark, tmp_path):
+    assert warc.write_archives(frame(spark).limit(0), str(tmp_path / "w")).count() == 0
+    assert warc.read_archives(spark, str(tmp_path / "w")).count() == 0
