@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from saleslake.llm.files import give_back_memory
 from saleslake.llm.shared import free_name, id_remainder, store
 
 DIMENSIONS = 1 << 12
@@ -223,8 +224,14 @@ def predicted(text: Column, model: Languages) -> Column:
 
     def batches(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            langs, scores, rejected = model.predict(pa.array(batch, pa.large_string(), from_pandas=True))
+            parts = [
+                model.predict(pa.array(batch[at : at + _TEXTS_AT_ONCE], pa.large_string(), from_pandas=True))
+                for at in range(0, len(batch), _TEXTS_AT_ONCE)
+            ]
+            langs = [x for part in parts for x in part[0]]
+            scores, rejected = (np.concatenate([part[i] for part in parts] or [[]]) for i in (1, 2))
             yield pd.DataFrame({"lang_pred": langs, "score": scores, "rejected": rejected})
+        give_back_memory()
 
     batches.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return F.pandas_udf(batches, "lang_pred string, score double, rejected boolean")(text)

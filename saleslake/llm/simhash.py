@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from saleslake.llm.components import connected_components, spanning_links
+from saleslake.llm.files import give_back_memory
 from saleslake.llm.shared import free_name, power_of_two, store
 
 HASH_SEED = 42
@@ -72,6 +73,7 @@ def fingerprint(text: Column, shingle: int = 4) -> Column:
     def batches(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series([fingerprint_of(t, shingle) for t in batch], dtype="int64")
+        give_back_memory()
 
     batches.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(batches, LongType())(text)

@@ -16,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from saleslake.llm.files import give_back_memory
+
 # an ASCII control character that is no white space: one token, and rare in texts
 _BREAK = "\x1f"
 _JOINED = 500
@@ -23,8 +25,8 @@ _SIMPLE = (
     r"^(?P<letters>[A-Za-z\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}\x{00F8}-\x{024F}]*)"
     r"(?P<marks>[.,;:!?*#$%&()\-]*)$"
 )
-TEXT_BYTES_AT_ONCE = 12 << 20
-KNOWN_STRINGS = 200_000
+TEXT_BYTES_AT_ONCE = 6 << 20
+KNOWN_STRINGS = 150_000
 _GATHERED_AT_ONCE = 1 << 18
 
 
@@ -155,3 +157,4 @@ def grouped(batches, column: int):
                 held, size = [], 0
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
+    give_back_memory()
