@@ -29,7 +29,7 @@ DIMENSIONS = 1 << 12
 CENTROIDS = 4
 SAMPLE_ROWS = 1000  # labelled rows per language that the model is fitted on, at most
 ROUNDS = 12
-REJECT_QUANTILE, REJECT_SHARE = 0.01, 0.5
+REJECT_QUANTILE, REJECT_SHARE = 0.01, 0.3
 UNDECIDED = "und"
 _TEXTS_AT_ONCE = 256
 _BYTES_AT_ONCE = 1 << 20

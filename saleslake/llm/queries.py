@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm import language, lines, packing, quality, warc
+from saleslake.llm import language, lines, packing, quality, scoring, warc
 from saleslake.llm.shared import table, tokenizer_file
 from saleslake.llm.simhash import simhash_groups
 from saleslake.session import work_dir
@@ -48,7 +48,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("fingerprint", hexed)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_warc, op5_language_id, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup)}
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scored(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_packing, op3_warc, op5_language_id, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_lm_scoring)}
 
 _LINES = """
 line AS (
