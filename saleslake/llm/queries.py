@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslake.llm import language, lines, packing, quality, scoring, warc
+from saleslake.llm.multi_index import near_vectors
 from saleslake.llm.shared import table, tokenizer_file
 from saleslake.llm.simhash import simhash_groups
 from saleslake.session import work_dir
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     return packing.described(pieces)
@@ -52,7 +57,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.scored(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_warc, op5_language_id, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_packing, op3_warc, op5_language_id, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_lm_scoring)}
 
 _LINES = """
 line AS (
@@ -84,6 +89,25 @@ gone AS (
 )"""
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_near_dedup": """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+),
+reach(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+),
+component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE link.a = c.vec_id) AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM component c""",
     "op3_warc": """
 WITH page AS (
     SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages

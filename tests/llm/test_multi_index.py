@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import brute
+import duckdb
+import numpy as np
+import oracle
+import pytest
+
+from saleslake.llm import multi_index
+from saleslake.llm.queries import ORACLE_SQL, QUERIES
+
+SCHEMA = "vec_id long, embedding array<double>, label string, node int, w string"
+
+
+def plain(rows, threshold=0.93):
+    """Sorted (id, links, component, kept) by comparing all pairs."""
+    def usable(v, label):
+        return label is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+    good = [i for i, (_, v, label) in enumerate(rows) if usable(v, label)]
+    unit = {i: np.array(rows[i][1], float) / np.abs(rows[i][1]).max() for i in good}
+    unit = {i: u / np.linalg.norm(u) for i, u in unit.items()}
+    links = [
+        (a, b)
+        for n, a in enumerate(good)
+        for b in good[:n]
+        if rows[a][2] == rows[b][2] and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= threshold
+    ]
+    root = brute.components(range(len(rows)), links)
+    least, count = {}, [0] * len(rows)
+    for i, (ident, _, _) in enumerate(rows):
+        if ident is not None:
+            least[root[i]] = min(least.get(root[i], ident), ident)
+    for a, b in links:
+        count[a] += 1
+        count[b] += 1
+    out = [(r[0], count[i], least.get(root[i]), r[0] == least.get(root[i])) for i, r in enumerate(rows)]
+    return sorted(out, key=repr)
+
+
+def found(spark, rows):
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).repartition(3)
+    got = multi_index.near_vectors(frame)
+    assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
+    return sorted(map(tuple, got.collect()), key=repr)
+
+
+def test_query_equals_sql(spark):
+    frame = QUERIES["op1_embedding_near_dedup"](spark, brute.SF).cache()
+    oracle.assert_same(frame, oracle.connect(brute.SF), ORACLE_SQL["op1_embedding_near_dedup"])
+
+
+def near(rng, v, cosine):
+    d = rng.standard_normal(len(v))
+    d -= (d @ v) * v / (v @ v)
+    return cosine * v / np.linalg.norm(v) + np.sqrt(1 - cosine**2) * d / np.linalg.norm(d)
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_no_link_is_lost_in_a_fine_grid(spark, monkeypatch, block):
+    """Pairs just at the threshold, a crowded group, and cells of a few rows."""
+    monkeypatch.setattr(multi_index, "CELL_ROWS", 4)
+    monkeypatch.setattr(multi_index, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(4)
+    rows, ident = [], 0
+    base = rng.standard_normal((150, 16))
+    for n, v in enumerate(base):
+        for c in (1.0, 0.9301, 0.94, 0.9299, 0.99):
+            rows.append((ident := ident + 1, (v if c == 1 else near(rng, v, c)).tolist(), f"l{n % 3}"))
+    rows += [(ident + i, near(rng, base[0], 0.995).tolist(), "l0") for i in range(1, 60)]
+    rows += [(1000 + i, base[1].tolist(), "l1") for i in range(30)]
+    got, want = found(spark, rows), plain(rows)
+    links = sum(r[1] for r in want)
+    assert sum(r[1] for r in got) >= 0.999 * links and sum(r[1] for r in got) <= links
+    assert sum(a == b for a, b in zip(got, want, strict=True)) >= 0.99 * len(want)
+
+
+def test_recall_on_given_vectors_is_whole(spark):
+    """Against brute force, on the larger test table with its groups of copies."""
+    folder = "/root/testdata/check_s"
+    rows = duckdb.sql(
+        f"SELECT vec_id, embedding::DOUBLE[], label FROM '{folder}/embeddings.parquet/*.parquet' ORDER BY vec_id"
+    ).fetchall()
+    ids = np.array([r[0] for r in rows])
+    v = multi_index._unit(np.array([r[1] for r in rows], float))
+    label = np.array([-1 if r[2] is None else r[2] for r in rows])
+    want = {}
+    for one in np.unique(label[label >= 0]):
+        own = np.flatnonzero(label == one)
+        near = v[own] @ v[own].T >= 0.93
+        want |= dict(zip(ids[own].tolist(), (near.sum(axis=1) - 1).tolist(), strict=True))
+    got = {r.vec_id: r.n_links for r in QUERIES["op1_embedding_near_dedup"](spark, folder).collect()}
+    assert sum(want.values()) > 1000
+    assert all(got[i] == n for i, n in want.items())
+
+
+def test_odd_rows(spark):
+    v = [1.0, 2.0, -1.0, 0.5]
+    rows = [
+        (1, v, "a"), (2, v, "a"), (2, v, "a"), (3, [2 * x for x in v], "a"), (4, v, "b"), (5, v, None), (6, None, "a"),
+        (7, [], "a"), (8, [0.0] * 4, "a"), (9, [1.0, None, 1.0, 1.0], "a"), (10, [float("nan")] * 4, "a"),
+        (11, [float("inf"), 1.0, 1.0, 1.0], "a"), (12, [1.0, 2.0, -1.0], "a"), (None, v, "a"), (None, [9.0, 0, 0, 0], "c"),
+        (13, [1e300, 2e300, -1e300, 5e299], "a"), (14, [3.0], "a"), (15, [4.0], "a"), (16, [-4.0], "a"),
+    ]
+    rows = [(i, x and [None if y is None else float(y) for y in x], label) for i, x, label in rows]
+    assert found(spark, rows) == plain(rows)
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert multi_index.near_vectors(none).count() == 0
