@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm import language, lines, packing, quality, scoring, warc
+from saleslake.llm import language, lines, packing, quality, scoring, token_scan, warc
 from saleslake.llm.multi_index import near_vectors
 from saleslake.llm.shared import table, tokenizer_file
 from saleslake.llm.simhash import simhash_groups
@@ -27,6 +27,16 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder, payloads=False).drop("url")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat files that are written first."""
+    end_id = 49407  # the tokenizer's end of text
+    files, places = token_scan.write_flat_files(
+        table(spark, sf_dir, "documents"), work_dir(spark, "llm-flat"), tokenizer_file("word_bpe_49k.json"), end_id
+    )
+    lengths = token_scan.document_lengths(files, end_id)
+    return places.join(lengths, ["file", "number"]).select(F.col("id").alias("doc_id"), F.col("tokens").alias("n_tokens"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = language.identified(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return docs.select("doc_id", f"{docs.columns[-1]}.*")
@@ -57,7 +67,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.scored(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_packing, op3_warc, op5_language_id, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_packing, op3_warc, op4_token_counts, op5_language_id, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_lm_scoring)}
 
 _LINES = """
 line AS (
