@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm import language, lines, packing, quality, scoring, token_scan, warc
+from saleslake.llm import language, lines, packing, quality, scoring, segmentation, token_scan, warc
 from saleslake.llm.multi_index import near_vectors
 from saleslake.llm.shared import table, tokenizer_file
 from saleslake.llm.simhash import simhash_groups
@@ -42,6 +42,23 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", f"{docs.columns[-1]}.*")
 
 
+def op6_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of every turn, read back by decoding."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    samples = segmentation.sampled(table(spark, sf_dir, "conversations"), model, ["conv_id", "turn"])
+    back = segmentation.decoded(samples, model)
+    return back.select(
+        "conv_id",
+        "turn",
+        "sample",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.crc32(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary")).alias("ids_crc32"),
+        F.md5("decoded").alias("decoded_md5"),
+        "log_prob",
+        "inclusion",
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", f"{docs.columns[-1]}.*", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
@@ -67,7 +84,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.scored(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_packing, op3_warc, op4_token_counts, op5_language_id, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_packing, op3_warc, op4_token_counts, op5_language_id, op6_sentencepiece_sampling, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_lm_scoring)}
 
 _LINES = """
 line AS (
