@@ -1,7 +1,6 @@
 """Times every query on ``$BENCH_SF_DIR`` with ``local[$BENCH_CPUS]``; prints one JSON line.
 
-Each query runs twice to warm up and then ``$BENCH_RUNS`` times; their median counts. Queries
-that take 5 seconds or more, which build a whole lake, run once after one warm-up. A run
+Each query runs once to warm up and then ``$BENCH_RUNS`` times; their median counts. A run
 covers building the query (queries that land files do so then) and computing all of its
 rows and columns.
 """
@@ -44,9 +43,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     seconds: dict[str, float] = {}
     for name in chosen:
-        short = timed(spark, name, sf_dir) < 5
-        times = [timed(spark, name, sf_dir) for _ in range(1 + runs if short else 1)]
-        seconds[name] = round(statistics.median(times[1:] if short else times), 3)
+        times = [timed(spark, name, sf_dir) for _ in range(1 + runs)]
+        seconds[name] = round(statistics.median(times[1:]), 3)
     print(
         json.dumps(
             {

@@ -50,10 +50,14 @@ def wall_clock(column: Column | str, zone: str = "UTC+1", stored_zone: str | Non
 
 
 def parse_timestamp(column: Column | str) -> Column:
-    """Text to timestamp, NULL when no accepted form fits."""
+    """Text to timestamp, NULL when no accepted form fits.
+
+    A time without a date is no accepted form: a plain cast would set it on the current day.
+    """
     text = F.col(column) if isinstance(column, str) else column
     forms = [F.try_to_timestamp(text, F.lit(form)) for form in DATE_TEXT_FORMATS]
-    return F.coalesce(F.try_to_timestamp(text), *forms)
+    dated = F.when(text.rlike(r"^\s*[+-]?\d{4,}\s*(-|$)"), F.try_to_timestamp(text))
+    return F.coalesce(dated, *forms)
 
 
 def day_text(column: Column | str) -> Column:

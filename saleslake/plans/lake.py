@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from saleslake.functions.stamp import as_utc, with_loaded_at
 from saleslake.operators.quality import (
     BRONZE_DEFAULT,
+    FAIL,
     RAW_SALES,
     Check,
     freshness,
@@ -33,8 +34,6 @@ from saleslake.sources.registry import Registry, Source
 
 # How far the clocks of the store and of the driver may differ.
 CLOCK_MARGIN = timedelta(days=1)
-# From this size on, gold's distinct counts scan their columns one by one.
-ONE_SCAN_BYTES = 1024**3
 LAYERS = ("silver", "gold")
 _FEED_OF = {"dim_customer": "customer", "dim_employee": "employee", "dim_product": "product"}
 _READ_TO = "saleslake.read_to_batch"
@@ -129,12 +128,14 @@ def _ingest(lake: Lake, listed: DataFrame, feed: str, run_ts: datetime, multi_li
         raise ValueError(f"a run at {run_ts} cannot load a file received at {newest}")
     loaded = bronze.files_loaded_since(lake.spark.table(table), oldest.astimezone() - CLOCK_MARGIN)
     # File names only, as many as Spark's own file index keeps on the driver to read them.
-    paths = [row["path"] for row in pending_files(listed, loaded).select("path").collect()]
-    if not paths:
+    found = pending_files(listed, loaded).select("path", "received_at").collect()
+    if not found:
         return None
+    paths = [row["path"] for row in found]
+    source = "\n".join(sorted(f"{row['path']} {row['received_at']}" for row in found))
     # An array in one object is read by one task; spread its rows before they are written.
     rows = read_landing(lake.spark, paths, FEEDS[feed], multi_line=multi_line).hint("rebalance")
-    return bronze.append_batch(rows, table, run_ts)
+    return bronze.append_batch(rows, table, run_ts, source)
 
 
 def latest_sample(lake: Lake, root: str, prefix: str, run_ts: datetime, n: int = SAMPLE_ROWS) -> DataFrame:
@@ -211,7 +212,7 @@ def build_fact(lake: Lake) -> int:
     version = target.version() + 1
     staged = lake.path("silver", "fact_sales", "batch")
     batch = write_out(batch, staged)
-    fit_to_input(lake.spark, files.total_bytes(lake.spark, lake.path("silver", "fact_sales")))
+    fit_to_input(lake.spark, _fact_bytes(target))
     replaced = rows_replaced(within_key_range(target.read(), batch, KEY), batch, KEY)
     place = [F.to_date("transaction_date").alias(models.DAY), models.PERIOD]
     touched = batch.select(*place).unionByName(replaced.select(*place)).distinct()
@@ -221,6 +222,11 @@ def build_fact(lake: Lake) -> int:
     return version
 
 
+def _fact_bytes(fact: VersionedTable) -> int:
+    """The size of the current version; files are told by the catalog's partitions."""
+    return frame_bytes(fact.read().where(F.col(models.PERIOD).isNotNull()))
+
+
 def _touched_path(lake: Lake, version: int) -> str:
     """Days whose sales changed with a version of the fact; gold reads them later."""
     return lake.path("silver", "fact_sales", "touched", f"v{version}")
@@ -252,16 +258,14 @@ def build_gold(lake: Lake) -> int:
     if built == version:
         return gold.version()
     if not gold.exists():
-        size = files.total_bytes(lake.spark, lake.path("silver", "fact_sales"))
-        fit_to_input(lake.spark, size)
-        rows = models.daily_sales_summary(fact.read(), size < ONE_SCAN_BYTES)
+        fit_to_input(lake.spark, _fact_bytes(fact))
+        rows = models.daily_sales_summary(fact.read(), one_scan=False)
     else:
         paths = [_touched_path(lake, v) for v in range(built + 1, version + 1)]
         touched = lake.spark.read.parquet(*paths)
         changed = fact.read().where(F.col(models.PERIOD).isin(_values(touched, models.PERIOD)))
-        size = frame_bytes(changed)
-        fit_to_input(lake.spark, size)
-        rows = models.refreshed_summary(gold.read(), changed, touched, size < ONE_SCAN_BYTES)
+        fit_to_input(lake.spark, frame_bytes(changed))
+        rows = models.refreshed_summary(gold.read(), changed, touched, one_scan=False)
     return gold.publish(rows, properties={_FACT_VERSION: str(version)})
 
 
@@ -313,13 +317,24 @@ def contract_report(
 
 
 def check(lake: Lake) -> DataFrame:
-    """The report over the lake's own tables."""
+    """The report over the lake's own tables. Every check of a missing table fails."""
     known = lake.registry()
     tables = {"raw_sales": known.read(lake.spark, "layer_bronze", "raw_sales")}
+    missing = {}
     for model in (*models.DIMENSIONS, "fact_sales"):
         if lake.silver(model).exists():
             tables[model] = known.read(lake.spark, "layer_silver", model)
-    return contract_report(tables)
+        else:
+            # the checks of an empty table of its kind, without a count
+            columns = models.DIMENSIONS.get(model, models.FACT_COLUMNS)
+            missing[model] = lake.spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+    report = contract_report(tables)
+    if not missing:
+        return report
+    absent = contract_report(missing).withColumns(
+        {"failures": F.lit(None).cast("long"), "status": F.lit(FAIL)}
+    )
+    return report.unionByName(absent)
 
 
 def freshness_line(lake: Lake, now: datetime) -> DataFrame:
@@ -334,12 +349,10 @@ def freshness_line(lake: Lake, now: datetime) -> DataFrame:
 
 
 def check_freshness(lake: Lake, now: datetime) -> DataFrame:
-    """Freshness of raw_sales. All rows of a run share their load time, so one run is read."""
+    """Freshness of raw_sales. All rows of a run share their load time, so the newest run
+    that has rows is read."""
     known = lake.registry()
     source = known.get("layer_bronze", "raw_sales")
-    rows = lake.spark.table(source.table)
-    last = bronze.newest_batch(lake.spark, source.table)
-    if last is not None:
-        rows = rows.where(F.col(bronze.BATCH) == last)
+    rows = bronze.newest_rows(lake.spark, source.table)
     rule = known.freshness_of("layer_bronze", "raw_sales")
     return freshness(rows, source.loaded_at_field, now, rule)

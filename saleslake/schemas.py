@@ -6,8 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-# At most 18 digits, so that sums and comparisons run on plain longs. Four decimals,
-# so that bronze never rounds what arrived.
+# At most 18 digits, so that sums and comparisons run on plain longs. Four decimals: what
+# has more is rounded to them.
 MONEY = T.DecimalType(18, 4)
 
 KEY = "id"

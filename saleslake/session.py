@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from saleslake.sources.files import temporary_folder
 
 SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
-# A shuffle has one block per map task and partition; both numbers are bounded.
-MAX_SHUFFLE_PARTITIONS = 50_000
-MAX_SCAN_TASKS = 100_000
 _PARTITIONS = "spark.sql.shuffle.partitions"
-_SPLIT = "spark.sql.files.maxPartitionBytes"
+_RAISING = threading.Lock()
 
 
 def build_session(
@@ -51,23 +48,20 @@ def shuffle_partitions_for(input_bytes: int) -> int:
     Shuffled rows are fewer columns than the files and compressed as well, so their
     size is taken to be that of the files.
     """
-    return max(1, min(math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS))
+    return max(1, math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES))
 
 
 def fit_to_input(spark: SparkSession, input_bytes: int) -> None:
-    """Raise the session's shuffle partitions and scan split size to this much file input.
+    """Raise the session's shuffle partitions to this much file input; never lower them.
 
-    Neither is ever lowered. Adaptive execution merges partitions that turn out small
-    but cannot split those of an ordinary aggregate, so the number has to start high
-    enough. Larger splits keep the number of map tasks in bounds on very large scans.
+    Adaptive execution merges partitions that turn out small but cannot split those of
+    an ordinary aggregate, so the number has to start high enough. Jobs that run side
+    by side share the session, so that comparing and setting is one step.
     """
     partitions = shuffle_partitions_for(input_bytes)
-    if partitions > int(spark.conf.get(_PARTITIONS)):
-        spark.conf.set(_PARTITIONS, str(partitions))
-    split = math.ceil(input_bytes / MAX_SCAN_TASKS)
-    to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    if split > to_bytes(spark.conf.get(_SPLIT)):
-        spark.conf.set(_SPLIT, f"{split}b")
+    with _RAISING:
+        if partitions > int(spark.conf.get(_PARTITIONS)):
+            spark.conf.set(_PARTITIONS, str(partitions))
 
 
 def frame_bytes(frame: DataFrame) -> int:
@@ -78,15 +72,12 @@ def frame_bytes(frame: DataFrame) -> int:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables, in the folder the cluster shares.
 
-    It is removed when the application ends. The place is ``spark.checkpoint.dir``. Only a local session may go without it and
-    then gets a temporary folder; on a cluster a machine-local folder would lose data
-    with its executor, so that is refused.
+    It is removed when the application ends. The place is ``spark.checkpoint.dir``, or,
+    where that is not set, a folder of the warehouse, which executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.gettempdir()
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return temporary_folder(spark, f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
 
 

@@ -9,6 +9,7 @@ pruning and "undo the last batch" into a catalog change.
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from saleslake.functions.stamp import as_utc, with_loaded_at
 from saleslake.schemas import with_corrupt
 
 BATCH = "batch_id"
+_NUMBERED = "saleslake.batches"
 _STAMPS = (
     T.StructField("source_file", T.StringType(), True),
     T.StructField("received_at", T.TimestampType(), True),
@@ -30,14 +32,9 @@ class OutOfOrderBatch(ValueError):
     """A load run is not later than what bronze already holds."""
 
 
-def batch_id(run_ts: datetime, part: int = 0) -> str:
-    """Name of a load run. ``part`` counts the pieces of a run that loads in several."""
-    return f"{as_utc(run_ts):%Y%m%dT%H%M%S}{part_name(part)}"
-
-
-def part_name(part: int) -> str:
-    """How the name of a batch ends that is this piece of its run."""
-    return f"-{part:09d}"
+def run_stamp(run_ts: datetime) -> str:
+    """How the names of a run's batches begin."""
+    return f"{as_utc(run_ts):%Y%m%dT%H%M%S}"
 
 
 def create_bronze(spark: SparkSession, table: str, schema: T.StructType) -> None:
@@ -69,13 +66,30 @@ def newest_batch(spark: SparkSession, table: str) -> str | None:
     return _batches(spark, table).agg(F.max(BATCH)).first()[0]
 
 
-def append_batch(rows: DataFrame, table: str, run_ts: datetime, part: int = 0) -> str:
-    """Append the rows of one run, stamped with its load time; return the batch id."""
+def _next_number(spark: SparkSession, table: str) -> int:
+    """A number that no batch of the table had before, also none that was dropped since."""
+    properties = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == _NUMBERED).first()
+    number = int(properties["value"]) + 1 if properties else 1
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_NUMBERED}' = '{number}')")
+    return number
+
+
+def append_batch(rows: DataFrame, table: str, run_ts: datetime, source: str = "") -> str:
+    """Append rows, stamped with their run's load time; return the batch id.
+
+    ``source`` says what the rows were read from. A batch of the same run and source is a
+    retry and replaces the former one; other sources of a run are batches of their own.
+    Batches sort by run and then by their number, which is never given twice: what is
+    loaded again after an undo is a new batch to readers.
+    """
     spark = rows.sparkSession
-    new = batch_id(run_ts, part)
+    stamp, mark = run_stamp(run_ts), hashlib.md5(source.encode()).hexdigest()[:12]
     last = newest_batch(spark, table)
-    if last is not None and new < last:
-        raise OutOfOrderBatch(f"{table}: batch {new} is not later than {last}")
+    if last is not None and stamp < last.split("-")[0]:
+        raise OutOfOrderBatch(f"{table}: a run at {stamp} is not later than {last}")
+    own = _batches(spark, table).where(F.col(BATCH).startswith(f"{stamp}-") & F.col(BATCH).endswith(f"-{mark}"))
+    former = own.first()
+    new = former[BATCH] if former else f"{stamp}-{_next_number(spark, table):09d}-{mark}"
     columns = [name for name in spark.table(table).columns if name != BATCH]
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = '{new}') SELECT * FROM {{rows}}",
@@ -90,7 +104,7 @@ def files_loaded_since(bronze: DataFrame, since: datetime) -> DataFrame:
     A file cannot be loaded before it is received, so older partitions are skipped.
     The caller subtracts a margin for clocks that differ.
     """
-    return bronze.where(F.col(BATCH) >= f"{as_utc(since):%Y%m%dT%H%M%S}")
+    return bronze.where(F.col(BATCH) >= run_stamp(since))
 
 
 def _drop_batch(spark: SparkSession, table: str, batch: str) -> None:
@@ -103,12 +117,25 @@ def drop_batches_before(spark: SparkSession, table: str, batch: str) -> None:
         _drop_batch(spark, table, row[BATCH])
 
 
+def newest_rows(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of the newest batch that has any; a run over empty files leaves one without."""
+    rows = spark.table(table)
+    names = [row[BATCH] for row in _batches(spark, table).orderBy(F.desc(BATCH)).collect()]
+    for name in names:
+        of_batch = rows.where(F.col(BATCH) == name)
+        if not of_batch.isEmpty():
+            return of_batch
+    return rows
+
+
 def undo_last_batch(spark: SparkSession, table: str) -> str:
-    """Drop the newest run; no other file is read or written."""
+    """Drop the newest run with all of its pieces; no other file is read or written."""
     last = newest_batch(spark, table)
     if last is None:
         raise LookupError(f"{table} holds no batch")
-    _drop_batch(spark, table, last)
+    run = last.split("-")[0]
+    for row in _batches(spark, table).where(F.col(BATCH).startswith(f"{run}-")).collect():
+        _drop_batch(spark, table, row[BATCH])
     return last
 
 

@@ -23,18 +23,15 @@ def write_landing(rows: DataFrame, root: str, day: date | str | None = None, fmt
     if fmt not in ("json", "csv"):
         raise ValueError(f"unsupported landing format: {fmt!r}")
     if day is not None:
-        rows = rows.withColumn(DAY, F.lit(str(day)))
+        # the folder itself, so that a day without rows replaces what was there too
+        writer, path = rows.drop(DAY).write, f"{root.rstrip('/')}/{DAY}={day}"
     else:
-        rows = rows.hint("rebalance", DAY)
-    writer = (
-        rows.write.mode("overwrite")
-        .partitionBy(DAY)
-        .option("partitionOverwriteMode", "dynamic")
-        .format(fmt)
-    )
+        by_day = rows.hint("rebalance", DAY).write.partitionBy(DAY)
+        writer, path = by_day.option("partitionOverwriteMode", "dynamic"), root
+    writer = writer.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
-    writer.save(root)
+    writer.save(path)
 
 
 def undo_latest_object(spark: SparkSession, root: str, prefix: str) -> str:

@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslake.functions.stamp import with_received_at
-from saleslake.plans.lake import Lake
+from saleslake.functions.stamp import as_utc, with_received_at
+from saleslake.plans.lake import CLOCK_MARGIN, Lake
 from saleslake.schemas import CORRUPT, FEEDS
 from saleslake.sinks import bronze
 from saleslake.sources.landing import as_text, typed
@@ -22,10 +22,8 @@ def landing_stream(lake: Lake, feed: str, root: str, max_files: int) -> DataFram
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
-        # A day that lands again removes its former files, perhaps between two tries.
-        .option("ignoreMissingFiles", True)
-        # Files older than this, seen from the newest one, are passed over.
-        .option("maxFileAge", "365d")
+        # No file is too old, seen from the newest one: a century stands for no limit.
+        .option("maxFileAge", "36500d")
         .json(root)
     )
     return typed(with_received_at(rows), schema)
@@ -37,14 +35,16 @@ def pick_up(
     """Append all files that arrived since the last call, then stop.
 
     The stream's checkpoint, in the lake's own folder, remembers the files and numbers
-    the pieces. A piece that was appended just before a failure comes again under its
-    number; it is then found in bronze and skipped, so every file is loaded once.
+    the pieces. Files that bronze holds are left out of a piece that comes again, be it
+    after a failure before its commit or because the checkpoint was lost, so every file
+    is loaded once. A file that is gone before it was read is an error.
     """
     table = lake.table("bronze", feed)
 
     def append(piece: DataFrame, number: int) -> None:
-        if not _loaded(lake, table, piece, number):
-            bronze.append_batch(piece, table, run_ts, part=number)
+        new = _not_loaded(lake, table, piece, run_ts)
+        if new is not None:
+            bronze.append_batch(new, table, run_ts, f"{root} {_files_of(new)}")
 
     (
         landing_stream(lake, feed, root, max_files)
@@ -58,14 +58,29 @@ def pick_up(
     lake.spark.catalog.refreshTable(table)
 
 
-def _loaded(lake: Lake, table: str, piece: DataFrame, number: int) -> bool:
-    """Whether bronze holds this piece. It does wholly or not at all, so one file tells.
+def _not_loaded(lake: Lake, table: str, piece: DataFrame, run_ts: datetime) -> DataFrame | None:
+    """The rows of a piece whose files bronze does not hold; None when there are none.
 
-    Only partitions of pieces with this number are looked at, which is one per stream.
+    At most ``max_files`` names, those of the piece that bronze does hold, pass the driver.
     """
-    one = piece.select("source_file", "received_at").first()
-    if one is None:
-        return True
-    same = (F.col("source_file") == one["source_file"]) & (F.col("received_at") == F.lit(one["received_at"]))
-    pieces = lake.spark.table(table).where(F.col(bronze.BATCH).endswith(bronze.part_name(number)))
-    return not pieces.where(same).isEmpty()
+    at = F.unix_micros("received_at").alias("received_micros")
+    oldest = piece.agg(F.min("received_at")).first()[0]
+    if oldest is None:
+        return None
+    # a run's time may be behind that of its files, when it is made up for
+    since = min(oldest.astimezone(), as_utc(run_ts)) - CLOCK_MARGIN
+    done = bronze.files_loaded_since(lake.spark.table(table), since).select("source_file", at).distinct()
+    both = ["source_file", "received_micros"]
+    again = piece.select("source_file", at).distinct().join(done, both).collect()
+    if not again:
+        return piece
+    names = piece.sparkSession.createDataFrame(again, "source_file string, received_micros long")
+    new = piece.select("*", at).join(names, both, "left_anti").select(*piece.columns)
+    return None if new.isEmpty() else new
+
+
+def _files_of(rows: DataFrame) -> str:
+    """A digest of the files of a piece, at most ``max_files`` names."""
+    name = F.concat_ws(" ", "source_file", F.col("received_at").cast("string"))
+    names = rows.select(name.alias("name")).distinct()
+    return names.agg(F.md5(F.array_join(F.sort_array(F.collect_list("name")), "\n"))).first()[0]

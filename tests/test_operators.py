@@ -232,10 +232,10 @@ def test_registry(spark):
 
 
 def test_parse_timestamp(spark):
-    texts = ["2024-07-20", "2024-07-21T10:00:00Z", "7/21/2024", "junk", None, "13/45/2024"]
+    texts = ["2024-07-20", "2024-07-21T10:00:00Z", "7/21/2024", "junk", None, "13/45/2024", "12:30", "T12:30:45"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     out = [r[0] for r in rows.select(stamp.parse_timestamp("t").cast("string")).collect()]
-    assert out == ["2024-07-20 00:00:00", "2024-07-21 10:00:00", "2024-07-21 00:00:00", None, None, None]
+    assert out == ["2024-07-20 00:00:00", "2024-07-21 10:00:00", "2024-07-21 00:00:00", None, None, None, None, None]
 
 
 def test_stamps_are_true_instants_whatever_the_session_zone(spark):
