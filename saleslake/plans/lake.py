@@ -112,13 +112,22 @@ def ingest_latest(
 
 
 def ingest_pending(
-    lake: Lake, root: str, prefix: str, run_ts: datetime, feed: str | None = None, multi_line: bool = True
+    lake: Lake,
+    root: str,
+    prefix: str,
+    run_ts: datetime,
+    feed: str | None = None,
+    multi_line: bool = True,
+    fmt: str = "json",
 ) -> str | None:
-    """Append every landing object that bronze does not hold yet."""
-    return _ingest(lake, manifest(lake.spark, root, prefix), feed or prefix, run_ts, multi_line)
+    """Append every landing object of the format that bronze does not hold yet."""
+    listed = manifest(lake.spark, root, prefix, f".{fmt}")
+    return _ingest(lake, listed, feed or prefix, run_ts, multi_line, fmt)
 
 
-def _ingest(lake: Lake, listed: DataFrame, feed: str, run_ts: datetime, multi_line: bool) -> str | None:
+def _ingest(
+    lake: Lake, listed: DataFrame, feed: str, run_ts: datetime, multi_line: bool, fmt: str = "json"
+) -> str | None:
     table = lake.table("bronze", feed)
     oldest, newest = listed.agg(F.min("received_at"), F.max("received_at")).first()
     if oldest is None:
@@ -134,7 +143,7 @@ def _ingest(lake: Lake, listed: DataFrame, feed: str, run_ts: datetime, multi_li
     paths = [row["path"] for row in found]
     source = "\n".join(sorted(f"{row['path']} {row['received_at']}" for row in found))
     # An array in one object is read by one task; spread its rows before they are written.
-    rows = read_landing(lake.spark, paths, FEEDS[feed], multi_line=multi_line).hint("rebalance")
+    rows = read_landing(lake.spark, paths, FEEDS[feed], fmt, multi_line).hint("rebalance")
     return bronze.append_batch(rows, table, run_ts, source)
 
 
@@ -327,7 +336,8 @@ def check(lake: Lake) -> DataFrame:
         else:
             # the checks of an empty table of its kind, without a count
             columns = models.DIMENSIONS.get(model, models.FACT_COLUMNS)
-            missing[model] = lake.spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+            none = F.lit(None).cast("string")
+            missing[model] = lake.spark.range(0).select(*(none.alias(c) for c in columns))
     report = contract_report(tables)
     if not missing:
         return report

@@ -261,6 +261,50 @@ def named_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(spark.table(lake.table("bronze", "sales")).select(*models.FACT_COLUMNS))
 
 
+def same_run_two_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects of two prefixes, loaded into one table by one run."""
+    lake = _new_lake(spark)
+    root, now = lake.path("landing"), datetime.now(timezone.utc)
+    sales = trial.landed_sales(spark, sf)
+    for prefix, side in (("sales", _before_cut()), ("returns", ~_before_cut())):
+        sales.where(side).drop("loaded_at").write.json(f"{root}/{prefix}_0")
+        lakes.ingest_pending(lake, root, prefix, now, feed="sales", multi_line=False)
+    return _shown(spark.table(lake.table("bronze", "sales")).select(*models.FACT_COLUMNS))
+
+
+def csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales in named CSV objects into bronze."""
+    lake = _new_lake(spark)
+    root = lake.path("landing")
+    trial.landed_sales(spark, sf).drop("loaded_at").write.csv(f"{root}/sales_0", header=True)
+    lakes.ingest_pending(lake, root, "sales", datetime.now(timezone.utc), multi_line=False, fmt="csv")
+    return _shown(spark.table(lake.table("bronze", "sales")).select(*models.FACT_COLUMNS))
+
+
+def undo_in_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """A second run that loads in several pieces is taken back as a whole."""
+    lake = _new_lake(spark)
+    _land_and_pick_up(lake, sf, RUN_TS, first=True)
+    root = lake.path("landing", "sales")
+    later = trial.landed_sales(spark, sf).where(~_before_cut()).drop("loaded_at")
+    write_landing(later.repartition(3), root, NEXT_RUN_TS.isoformat()[:13])
+    pick_up(lake, "sales", root, NEXT_RUN_TS, max_files=1)
+    bronze.undo_last_batch(spark, lake.table("bronze", "sales"))
+    return _bronze_rows(lake)
+
+
+def reingest_after_undo(spark: SparkSession, sf: str) -> DataFrame:
+    """A run that silver has read is taken back; a fuller one of the same time replaces it."""
+    lake = _new_lake(spark)
+    _land_and_pick_up(lake, sf, RUN_TS, first=True)
+    lakes.build_fact(lake)
+    bronze.undo_last_batch(spark, lake.table("bronze", "sales"))
+    root = lake.path("landing", "sales")
+    write_landing(trial.landed_sales(spark, sf).drop("loaded_at"), root, RUN_TS.isoformat()[:13])
+    pick_up(lake, "sales", root, RUN_TS)
+    return _bronze_rows(lake)
+
+
 def bronze_undo(spark: SparkSession, sf: str) -> DataFrame:
     """Two load runs, the second of which is taken back."""
     lake = _new_lake(spark)
@@ -339,6 +383,23 @@ def lake_checks(spark: SparkSession, sf: str) -> DataFrame:
     return lakes.check(_lake_of_two_runs(spark, sf))
 
 
+def checks_with_a_missing_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The report over a lake whose dimensions were never built."""
+    lake = _new_lake(spark)
+    _land_and_pick_up(lake, sf, RUN_TS, first=True)
+    _land_and_pick_up(lake, sf, NEXT_RUN_TS, first=False)
+    lakes.build_fact(lake)
+    return lakes.check(lake)
+
+
+def lake_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    """Freshness of bronze three hours after its last run."""
+    lake = _new_lake(spark)
+    _land_and_pick_up(lake, sf, RUN_TS, first=True)
+    found = lakes.check_freshness(lake, RUN_TS + timedelta(hours=3))
+    return found.select(_utc("last_loaded_at"), "age_seconds", "status")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -372,5 +433,11 @@ QUERIES: dict[str, Query] = {
         lake_daily_sales,
         lake_dim_customer,
         lake_checks,
+        same_run_two_sources,
+        csv_ingest,
+        undo_in_pieces,
+        reingest_after_undo,
+        checks_with_a_missing_table,
+        lake_freshness,
     )
 }

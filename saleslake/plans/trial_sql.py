@@ -180,4 +180,17 @@ FROM customer""",
     "lake_checks": f"""WITH {_LAKE_FACT}, {_DIMS}
 SELECT check_name, table_name, column_name, failures,
        CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({_report_lines()})""",
+    "same_run_two_sources": f"WITH {_RAW} SELECT {_LANDED} FROM raw_sales",
+    "csv_ingest": f"WITH {_RAW} SELECT {_LANDED} FROM raw_sales",
+    "undo_in_pieces": f"""WITH {_RAW} SELECT {_LANDED}, {_FIRST} AS loaded_at FROM raw_sales
+WHERE loaded_at < TIMESTAMP '{CUT}'""",
+    "reingest_after_undo": f"WITH {_RAW} SELECT {_LANDED}, {_FIRST} AS loaded_at FROM raw_sales",
+    "checks_with_a_missing_table": f"""WITH {_LAKE_FACT}, {_DIMS}
+SELECT check_name, table_name, column_name,
+       CASE WHEN table_name NOT LIKE 'dim%' THEN failures END AS failures,
+       CASE WHEN table_name NOT LIKE 'dim%' AND failures = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM ({_report_lines()})""",
+    "lake_freshness": f"""WITH {_RAW}
+SELECT max({_FIRST}) AS last_loaded_at, CAST(10800 AS BIGINT) AS age_seconds, 'warn' AS status
+FROM raw_sales WHERE loaded_at < TIMESTAMP '{CUT}'""",
 }
