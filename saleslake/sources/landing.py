@@ -80,15 +80,15 @@ def read_landing(
     the record's text is kept in ``_corrupt_record``.
 
     Without ``multi_line``, a line holds a record or an array of records. With it, a
-    file holds one array, over any number of lines.
+    file holds one array or record, over any number of lines; the whole text of a file
+    that holds anything else is kept in ``_corrupt_record``.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.options(recursiveFileLookup=True, columnNameOfCorruptRecord=CORRUPT)
     if fmt == "json":
         if multi_line:
-            _require_one_value(spark, paths)
-        rows = reader.schema(as_text(schema)).json(paths, multiLine=multi_line)
-        return typed(with_received_at(rows), schema)
+            return typed(_one_value_per_file(spark, paths, schema), schema)
+        return typed(with_received_at(reader.schema(as_text(schema)).json(paths)), schema)
     if fmt == "csv":
         rows = reader.schema(with_corrupt(schema)).csv(
             paths, header=True, enforceSchema=False, multiLine=multi_line
@@ -97,14 +97,30 @@ def read_landing(
     raise ValueError(f"unsupported landing format: {fmt!r}")
 
 
-def _require_one_value(spark: SparkSession, paths: Sequence[str]) -> None:
-    """Refuse files that multi-line reading would read only the beginning of."""
-    begins = F.col("value").startswith("{") | F.col("value").startswith("[")
-    lines = spark.read.option("recursiveFileLookup", True).text(list(paths)).where(begins)
-    per_file = lines.groupBy(F.col("_metadata.file_path").alias("file")).count()
-    several = per_file.where(F.col("count") > 1).first()
-    if several is not None:
-        raise ValueError(f"{several['file']} holds several JSON values; read it with multi_line=False")
+def _one_value_per_file(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+    """The records of files of one JSON value each, their columns as text.
+
+    A file's text between brackets is a list of just its values, so that a second value
+    cannot be passed over, as a reader that stops after the first one would do.
+    """
+    texts = spark.read.option("recursiveFileLookup", True).text(list(paths), wholetext=True)
+    values = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>")
+    files = with_received_at(texts).withColumn("values", values)
+    one = F.get("values", F.lit(0))
+    listed = F.when(F.ltrim(one).startswith("["), F.from_json(one, "array<string>"))
+    broken = F.col("values").isNull() | (F.size("values") > 1)
+    records = (
+        F.when(broken, F.array("value"))
+        .when(F.size("values") == 0, F.array().cast("array<string>"))
+        .otherwise(F.coalesce(listed, F.array(one)))
+    )
+    kinds = as_text(schema)
+    rows = files.select("source_file", "received_at", broken.alias("broken"), F.explode(records).alias("text"))
+    parsed = F.when(~F.col("broken"), F.from_json("text", kinds, {"columnNameOfCorruptRecord": CORRUPT}))
+    rows = rows.withColumn("parsed", parsed)
+    corrupt = F.when(F.col("parsed").isNull(), F.coalesce("text", F.lit("null"))).otherwise(F.col(f"parsed.{CORRUPT}"))
+    columns = [F.col(f"parsed.{field.name}") for field in schema]
+    return rows.select(*columns, corrupt.alias(CORRUPT), "source_file", "received_at")
 
 
 def as_text(schema: T.StructType) -> T.StructType:

@@ -136,11 +136,20 @@ def test_no_record_of_a_file_is_passed_over(spark, tmp_path):
     paths = [str(put(tmp_path, f"{n}.json", text)) for n, text in enumerate(texts)]
     rows = source.read_landing(spark, paths[:2], FEEDS["sales"])
     assert sorted(r.id for r in rows.collect()) == [1, 2, 3, 4, 5]
-    for path in paths[:2]:
-        with pytest.raises(ValueError, match="several JSON values"):
-            source.read_landing(spark, path, FEEDS["sales"], multi_line=True)
+    for path, text in zip(paths[:2], texts, strict=False):
+        rows = source.read_landing(spark, path, FEEDS["sales"], multi_line=True).collect()
+        assert [(r.id, r._corrupt_record) for r in rows] == [(None, text)]
     rows = source.read_landing(spark, paths[2], FEEDS["sales"], multi_line=True)
     assert [r.id for r in rows.collect()] == [6, 7]
+    more = {
+        '[\n{"id": 1},\n{"id": 2}\n]': [1, 2], ' {"id": 1}\n {"id": 2}\n {"id": 3}\n': [None], '\n{"id": 1}\n': [1],
+        "[]": [], "": [], " \n": [], '[{"id": 1}, 5, null, {"id": 2, "x": {"id": [9]}}]': [1, None, None, 2], "[1": [None],
+    }
+    for n, (text, ids) in enumerate(more.items()):
+        path = str(put(tmp_path, f"more{n}.json", text))
+        rows = source.read_landing(spark, path, FEEDS["sales"], multi_line=True).collect()
+        assert [r.id for r in rows] == ids, text
+        assert all((r._corrupt_record is None) == (r.id is not None) for r in rows)
 
 
 def test_landing_formats(spark, tmp_path):
