@@ -29,7 +29,7 @@ def timed(spark: SparkSession, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     chosen = sys.argv[1:] or list(QUERIES)
     spark = build_session(
         "saleslake-bench",
