@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import brute
 import duckdb
 import numpy as np
@@ -78,6 +80,8 @@ def test_no_link_is_lost_in_a_fine_grid(spark, monkeypatch, block):
 def test_recall_on_given_vectors_is_whole(spark):
     """Against brute force, on the larger test table with its groups of copies."""
     folder = "/root/testdata/check_s"
+    if not os.path.isdir(folder):
+        pytest.skip("no larger table here")
     rows = duckdb.sql(
         f"SELECT vec_id, embedding::DOUBLE[], label FROM '{folder}/embeddings.parquet/*.parquet' ORDER BY vec_id"
     ).fetchall()
