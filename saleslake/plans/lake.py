@@ -26,7 +26,7 @@ from saleslake.schemas import CONTRACT, FEEDS, KEY
 from saleslake.session import fit_to_input, frame_bytes, write_out
 from saleslake.sinks import bronze
 from saleslake.sinks.names import table_name
-from saleslake.sinks.versioned import VersionedTable
+from saleslake.sinks.replaced import ReplacedTable
 from saleslake.sinks.warehouse import SAMPLE_ROWS, first_rows
 from saleslake.sources import files
 from saleslake.sources.landing import latest_file, manifest, pending_files, read_landing, read_latest
@@ -77,15 +77,15 @@ class Lake:
             bronze.create_bronze(self.spark, self.table("bronze", feed), schema)
         return self
 
-    def silver(self, model: str) -> VersionedTable:
+    def silver(self, model: str) -> ReplacedTable:
         split_by = models.PERIOD if model == "fact_sales" else models.BUCKET
-        return VersionedTable(
-            self.spark, self.table("silver", model), self.path("silver", model), split_by, sort_by=KEY
+        return ReplacedTable(
+            self.spark, self.table("silver", model), self.path("work", model), split_by, sort_by=KEY
         )
 
-    def gold(self) -> VersionedTable:
+    def gold(self) -> ReplacedTable:
         name = "daily_sales_summary"
-        return VersionedTable(self.spark, self.table("gold", name), self.path("gold", name), sort_by=models.DAY)
+        return ReplacedTable(self.spark, self.table("gold", name), self.path("work", name), sort_by=models.DAY)
 
     def registry(self) -> Registry:
         """The sources under their logical names."""
@@ -103,11 +103,17 @@ class Lake:
 
 
 def ingest_latest(
-    lake: Lake, root: str, prefix: str, run_ts: datetime, feed: str | None = None, multi_line: bool = True
+    lake: Lake,
+    root: str,
+    prefix: str,
+    run_ts: datetime,
+    feed: str | None = None,
+    multi_line: bool = True,
+    suffix: str = ".json",
 ) -> str | None:
     """Append the newest landing object; None when bronze holds it already."""
-    newest = latest_file(lake.spark, root, prefix)
-    listed = manifest(lake.spark, root, prefix).where(F.col("path") == newest["path"])
+    newest = latest_file(lake.spark, root, prefix, suffix)
+    listed = manifest(lake.spark, root, prefix, suffix).where(F.col("path") == newest["path"])
     return _ingest(lake, listed, feed or prefix, run_ts, multi_line)
 
 
@@ -160,7 +166,7 @@ def latest_sample(lake: Lake, root: str, prefix: str, run_ts: datetime, n: int =
 # --- silver ---------------------------------------------------------------------------
 
 
-def _new_rows(lake: Lake, target: VersionedTable, feed: str) -> tuple[DataFrame, str] | None:
+def _new_rows(lake: Lake, target: ReplacedTable, feed: str) -> tuple[DataFrame, str] | None:
     """Bronze rows of the runs the target has not read, and the last of those runs."""
     table = lake.table("bronze", feed)
     last = bronze.newest_batch(lake.spark, table)
@@ -174,7 +180,7 @@ def _new_rows(lake: Lake, target: VersionedTable, feed: str) -> tuple[DataFrame,
 
 
 def _upsert(
-    lake: Lake, target: VersionedTable, batch: DataFrame, parts: list[str], properties: dict[str, str]
+    lake: Lake, target: ReplacedTable, batch: DataFrame, parts: list[str], properties: dict[str, str]
 ) -> int:
     """Write the given partitions of the target again, with the batch merged in."""
     current = target.read().where(F.col(target.partition_by).isin(parts))
@@ -190,6 +196,7 @@ def _values(rows: DataFrame, column: str) -> list[str]:
 def build_dimension(lake: Lake, model: str) -> int:
     """Upsert the new rows of a dimension; return its version."""
     target = lake.silver(model)
+    target.recover()
     new = _new_rows(lake, target, _FEED_OF[model])
     if new is None:
         return target.version()
@@ -200,7 +207,7 @@ def build_dimension(lake: Lake, model: str) -> int:
         return target.publish(batch, properties=properties)
     if target.properties()[_BUCKETS] != str(lake.buckets):
         raise ValueError(f"{target.name} has {target.properties()[_BUCKETS]} buckets, not {lake.buckets}")
-    staged = lake.path("silver", model, "batch")
+    staged = f"{target.work}/batch"
     batch = write_out(batch, staged)
     version = _upsert(lake, target, batch, _values(batch, models.BUCKET), properties)
     files.delete(lake.spark, staged)
@@ -210,6 +217,7 @@ def build_dimension(lake: Lake, model: str) -> int:
 def build_fact(lake: Lake) -> int:
     """Upsert the new sales; only periods that gain, lose or change a sale are written."""
     target = lake.silver("fact_sales")
+    target.recover()
     new = _new_rows(lake, target, "sales")
     if new is None:
         return target.version()
@@ -219,26 +227,28 @@ def build_fact(lake: Lake) -> int:
     if not target.exists():
         return target.publish(batch, properties=read_to)
     version = target.version() + 1
-    staged = lake.path("silver", "fact_sales", "batch")
+    staged = f"{target.work}/batch"
     batch = write_out(batch, staged)
     fit_to_input(lake.spark, _fact_bytes(target))
     replaced = rows_replaced(within_key_range(target.read(), batch, KEY), batch, KEY)
     place = [F.to_date("transaction_date").alias(models.DAY), models.PERIOD]
     touched = batch.select(*place).unionByName(replaced.select(*place)).distinct()
-    touched = write_out(touched, _touched_path(lake, version))
+    # added to those of a run that died: it may have replaced some of these rows already
+    touched.write.mode("append").parquet(_touched_path(lake, version))
+    touched = lake.spark.read.schema(touched.schema).parquet(_touched_path(lake, version))
     _upsert(lake, target, batch, _values(touched, models.PERIOD), read_to)
     files.delete(lake.spark, staged)
     return version
 
 
-def _fact_bytes(fact: VersionedTable) -> int:
+def _fact_bytes(fact: ReplacedTable) -> int:
     """The size of the current version; files are told by the catalog's partitions."""
     return frame_bytes(fact.read().where(F.col(models.PERIOD).isNotNull()))
 
 
 def _touched_path(lake: Lake, version: int) -> str:
     """Days whose sales changed with a version of the fact; gold reads them later."""
-    return lake.path("silver", "fact_sales", "touched", f"v{version}")
+    return lake.path("work", "fact_sales", "touched", f"v{version}")
 
 
 def build_silver(lake: Lake) -> None:
@@ -262,6 +272,8 @@ def build_gold(lake: Lake) -> int:
     fact, gold = lake.silver("fact_sales"), lake.gold()
     if not fact.exists():
         return gold.version()
+    fact.recover()
+    gold.recover()
     version = fact.version()
     built = int(gold.properties().get(_FACT_VERSION, 0))
     if built == version:
@@ -278,13 +290,9 @@ def build_gold(lake: Lake) -> int:
     return gold.publish(rows, properties={_FACT_VERSION: str(version)})
 
 
-def expire(lake: Lake, keep: int = 2) -> None:
-    """Remove versions that readers no longer need, and the change lists gold has read."""
-    for model in (*models.DIMENSIONS, "fact_sales"):
-        lake.silver(model).expire(keep)
-    gold = lake.gold()
-    gold.expire(keep)
-    for version in range(1, int(gold.properties().get(_FACT_VERSION, 0)) + 1):
+def expire(lake: Lake) -> None:
+    """Remove the change lists that gold has read."""
+    for version in range(1, int(lake.gold().properties().get(_FACT_VERSION, 0)) + 1):
         files.delete(lake.spark, _touched_path(lake, version))
 
 

@@ -15,7 +15,7 @@ from saleslake.operators import quality
 from saleslake.operators.upsert import latest_per_key, merge_batch
 from saleslake.plans import lake as lakes
 from saleslake.plans import models, trial_tables as trial
-from saleslake.schemas import CONTRACT, FEEDS
+from saleslake.schemas import CONTRACT, FEEDS, OTHER
 from saleslake.session import work_dir, write_out
 from saleslake.sinks import bronze
 from saleslake.sinks.landing import DAY, write_landing
@@ -29,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_TS = datetime(2024, 7, 21, 10, 35, tzinfo=timezone.utc)
 NEXT_RUN_TS = RUN_TS + timedelta(hours=1)
 CUT = "1999-01-01"
+IDS_OF_OBJECT = 10_000
 NOW = "2024-01-31 12:00:00"
 
 
@@ -261,6 +262,26 @@ def named_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(spark.table(lake.table("bronze", "sales")).select(*models.FACT_COLUMNS))
 
 
+def latest_object_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales in objects of one JSON array each, with an attribute that their feed does not name.
+
+    Objects hold ids of a range; that of the largest ids lands last and is the one taken.
+    """
+    lake = _new_lake(spark)
+    root = lake.path("landing")
+    sales = trial.landed_sales(spark, sf).drop("loaded_at").withColumn("decade", F.substring("transaction_date", 1, 3))
+    ranged = sales.withColumn("part", F.floor(F.col("id") / IDS_OF_OBJECT))
+    last = ranged.agg(F.max("part")).first()[0]
+    for name, side in (("older", F.col("part") < last), ("newest", F.col("part") == last)):
+        record = F.struct(*(c for c in ranged.columns if c != "part"))
+        arrays = ranged.where(side).groupBy("part").agg(F.to_json(F.collect_list(record)).alias("value"))
+        arrays.write.partitionBy("part").text(f"{root}/sales_{name}")
+    lakes.ingest_latest(lake, root, "sales", datetime.now(timezone.utc), suffix=".txt")
+    rows = spark.table(lake.table("bronze", "sales"))
+    stamped = (F.col("received_at") <= F.col("loaded_at") + F.expr("INTERVAL 1 SECOND")).alias("stamped")
+    return _shown(rows.select(*models.FACT_COLUMNS, F.col(OTHER).alias("other_attributes"), stamped))
+
+
 def same_run_two_sources(spark: SparkSession, sf: str) -> DataFrame:
     """Objects of two prefixes, loaded into one table by one run."""
     lake = _new_lake(spark)
@@ -426,6 +447,7 @@ QUERIES: dict[str, Query] = {
         bronze_sales,
         csv_landing,
         named_ingest,
+        latest_object_ingest,
         bronze_undo,
         seed_customer,
         stream_pickup,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from saleslake.plans.trial_queries import CUT, NEXT_RUN_TS, NOW, RUN_TS
+from saleslake.plans.trial_queries import CUT, IDS_OF_OBJECT, NEXT_RUN_TS, NOW, RUN_TS
 
 _RAW = """
 raw_sales AS (
@@ -180,6 +180,9 @@ FROM customer""",
     "lake_checks": f"""WITH {_LAKE_FACT}, {_DIMS}
 SELECT check_name, table_name, column_name, failures,
        CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({_report_lines()})""",
+    "latest_object_ingest": f"""WITH {_RAW} SELECT {_LANDED},
+  '{{"decade":"' || substr(CAST(transaction_date AS VARCHAR), 1, 3) || '"}}' AS other_attributes, TRUE AS stamped
+FROM raw_sales WHERE id // {IDS_OF_OBJECT} = (SELECT max(id // {IDS_OF_OBJECT}) FROM raw_sales)""",
     "same_run_two_sources": f"WITH {_RAW} SELECT {_LANDED} FROM raw_sales",
     "csv_ingest": f"WITH {_RAW} SELECT {_LANDED} FROM raw_sales",
     "undo_in_pieces": f"""WITH {_RAW} SELECT {_LANDED}, {_FIRST} AS loaded_at FROM raw_sales

@@ -12,6 +12,8 @@ MONEY = T.DecimalType(18, 4)
 
 KEY = "id"
 CORRUPT = "_corrupt_record"
+# JSON text of what a record holds beyond its feed's columns; NULL when that is nothing.
+OTHER = "_other_attributes"
 
 
 def _struct(**columns: T.DataType) -> T.StructType:

@@ -1 +1 @@
-"""Where rows go: landing folders, bronze partitions, versioned tables, a warehouse."""
+"""Where rows go: landing folders, bronze partitions, replaced tables, a warehouse."""

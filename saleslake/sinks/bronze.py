@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleslake.functions.stamp import as_utc, with_loaded_at
-from saleslake.schemas import with_corrupt
+from saleslake.schemas import OTHER, with_corrupt
 
 BATCH = "batch_id"
 _NUMBERED = "saleslake.batches"
 _STAMPS = (
+    T.StructField(OTHER, T.StringType(), True),
     T.StructField("source_file", T.StringType(), True),
     T.StructField("received_at", T.TimestampType(), True),
     T.StructField("loaded_at", T.TimestampType(), True),
@@ -90,6 +91,8 @@ def append_batch(rows: DataFrame, table: str, run_ts: datetime, source: str = ""
     own = _batches(spark, table).where(F.col(BATCH).startswith(f"{stamp}-") & F.col(BATCH).endswith(f"-{mark}"))
     former = own.first()
     new = former[BATCH] if former else f"{stamp}-{_next_number(spark, table):09d}-{mark}"
+    if OTHER not in rows.columns:
+        rows = rows.withColumn(OTHER, F.lit(None).cast("string"))
     columns = [name for name in spark.table(table).columns if name != BATCH]
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = '{new}') SELECT * FROM {{rows}}",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleslake.functions.stamp import with_received_at
-from saleslake.schemas import CORRUPT, with_corrupt
+from saleslake.schemas import CORRUPT, OTHER, with_corrupt
 from saleslake.sources.files import qualified
 
 
@@ -59,10 +59,10 @@ def newest_first(files: DataFrame) -> DataFrame:
     return files.orderBy(F.col("received_at").desc(), F.col("path").asc()).limit(1)
 
 
-def latest_file(spark: SparkSession, root: str, prefix: str) -> Row:
-    found = newest_first(manifest(spark, root, prefix)).first()
+def latest_file(spark: SparkSession, root: str, prefix: str, suffix: str = ".json") -> Row:
+    found = newest_first(manifest(spark, root, prefix, suffix)).first()
     if found is None:
-        raise NoLandingFile(f"no landing file {prefix}_*.json under {root}")
+        raise NoLandingFile(f"no landing file {prefix}_*{suffix} under {root}")
     return found
 
 
@@ -77,33 +77,33 @@ def read_landing(
 
     The schema is given, not inferred: no extra pass over the files, and a column
     cannot change type between batches. A value that does not fit becomes NULL and
-    the record's text is kept in ``_corrupt_record``.
+    the record's text is kept in ``_corrupt_record``. Attributes of a JSON record that the
+    schema does not name are kept in ``_other_attributes``.
 
     Without ``multi_line``, a line holds a record or an array of records. With it, a
-    file holds one array or record, over any number of lines; the whole text of a file
-    that holds anything else is kept in ``_corrupt_record``.
+    file holds one array or record, over any number of lines. The whole text of a line or
+    file that holds anything else is kept in ``_corrupt_record``.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.options(recursiveFileLookup=True, columnNameOfCorruptRecord=CORRUPT)
+    reader = spark.read.option("recursiveFileLookup", True)
     if fmt == "json":
-        if multi_line:
-            return typed(_one_value_per_file(spark, paths, schema), schema)
-        return typed(with_received_at(reader.schema(as_text(schema)).json(paths)), schema)
+        return json_records(reader.text(paths, wholetext=multi_line), schema)
     if fmt == "csv":
         rows = reader.schema(with_corrupt(schema)).csv(
-            paths, header=True, enforceSchema=False, multiLine=multi_line
+            paths, header=True, enforceSchema=False, multiLine=multi_line, columnNameOfCorruptRecord=CORRUPT
         )
-        return with_received_at(rows)
+        return with_received_at(rows.withColumn(OTHER, F.lit(None).cast("string")))
     raise ValueError(f"unsupported landing format: {fmt!r}")
 
 
-def _one_value_per_file(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
-    """The records of files of one JSON value each, their columns as text.
+def json_records(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """The records of texts (lines, or whole files) of one JSON value each.
 
-    A file's text between brackets is a list of just its values, so that a second value
-    cannot be passed over, as a reader that stops after the first one would do.
+    A text between brackets is a list of just its values, so that a second value cannot be
+    passed over, as a reader that stops after the first one would do. A record is read as a map
+    of its attributes as they are written: those of the schema become columns, and the rest is
+    kept as JSON text, nested values as text in it.
     """
-    texts = spark.read.option("recursiveFileLookup", True).text(list(paths), wholetext=True)
     values = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>")
     files = with_received_at(texts).withColumn("values", values)
     one = F.get("values", F.lit(0))
@@ -114,18 +114,15 @@ def _one_value_per_file(spark: SparkSession, paths: Sequence[str], schema: T.Str
         .when(F.size("values") == 0, F.array().cast("array<string>"))
         .otherwise(F.coalesce(listed, F.array(one)))
     )
-    kinds = as_text(schema)
     rows = files.select("source_file", "received_at", broken.alias("broken"), F.explode(records).alias("text"))
-    parsed = F.when(~F.col("broken"), F.from_json("text", kinds, {"columnNameOfCorruptRecord": CORRUPT}))
+    parsed = F.when(~F.col("broken"), F.from_json("text", "map<string,string>"))
     rows = rows.withColumn("parsed", parsed)
-    corrupt = F.when(F.col("parsed").isNull(), F.coalesce("text", F.lit("null"))).otherwise(F.col(f"parsed.{CORRUPT}"))
-    columns = [F.col(f"parsed.{field.name}") for field in schema]
-    return rows.select(*columns, corrupt.alias(CORRUPT), "source_file", "received_at")
-
-
-def as_text(schema: T.StructType) -> T.StructType:
-    """The schema to read JSON with: every column as it is written."""
-    return with_corrupt(T.StructType([T.StructField(field.name, T.StringType(), True) for field in schema]))
+    corrupt = F.when(F.col("parsed").isNull(), F.coalesce("text", F.lit("null")))
+    names = [field.name for field in schema]
+    rest = F.map_filter("parsed", lambda name, _: ~name.isin(names))
+    columns = [F.try_element_at("parsed", F.lit(name)).alias(name) for name in names]
+    other = F.when(F.size(rest) > 0, F.to_json(rest))
+    return typed(rows.select(*columns, corrupt.alias(CORRUPT), other.alias(OTHER), "source_file", "received_at"), schema)
 
 
 def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:

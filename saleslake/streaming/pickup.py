@@ -7,26 +7,23 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslake.functions.stamp import as_utc, with_received_at
+from saleslake.functions.stamp import as_utc
 from saleslake.plans.lake import CLOCK_MARGIN, Lake
-from saleslake.schemas import CORRUPT, FEEDS
+from saleslake.schemas import FEEDS
 from saleslake.sinks import bronze
-from saleslake.sources.landing import as_text, typed
+from saleslake.sources.landing import json_records
 
 
 def landing_stream(lake: Lake, feed: str, root: str, max_files: int) -> DataFrame:
     """Rows of new landing files, with their file and its arrival time."""
-    schema = FEEDS[feed]
-    rows = (
-        lake.spark.readStream.schema(as_text(schema))
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
+    texts = (
+        lake.spark.readStream.option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
         # No file is too old, seen from the newest one: a century stands for no limit.
         .option("maxFileAge", "36500d")
-        .json(root)
+        .text(root)
     )
-    return typed(with_received_at(rows), schema)
+    return json_records(texts, FEEDS[feed])
 
 
 def pick_up(

@@ -19,7 +19,7 @@ from saleslake.plans import models
 from saleslake.plans.hourly import hourly
 from saleslake.schemas import FEEDS
 from saleslake.sinks import bronze, landing, warehouse
-from saleslake.sinks.versioned import VersionedTable
+from saleslake.sinks.replaced import ReplacedTable
 from saleslake.sources import landing as source
 from saleslake.sources.seed import load_seed, read_seed
 from saleslake.streaming.pickup import pick_up
@@ -66,6 +66,15 @@ def gold_of(lake):
     return sorted(tuple(r) for r in rows.collect())
 
 
+def files_of(lake, model):
+    """Files of each partition."""
+    found = {}
+    for path in sorted(lake.silver(model).read().inputFiles()):
+        folder, name = path.rsplit("/", 2)[1:]
+        found.setdefault(folder.split("=")[1], []).append(name)
+    return found
+
+
 # --- landing ------------------------------------------------------------------------
 
 
@@ -122,6 +131,22 @@ def test_bad_records_keep_their_text(spark, tmp_path):
     assert [r._corrupt_record for r in kept if r.id is None] == ['[{"id": 1}, {"id": ']
 
 
+def test_other_attributes_are_kept(spark, tmp_path, lake, clock):
+    records = [{**sale(1), "discount_code": "X", "customer": {"name": "a", "tags": [1]}, "none": None}, sale(2)]
+    path = str(put(tmp_path / "in", "sales_1.json", records))
+    lines = str(put(tmp_path / "lines", "part-0.json", "\n".join(json.dumps(r) for r in records)))
+    for found in (source.read_landing(spark, path, FEEDS["sales"], multi_line=True),
+                  source.read_landing(spark, lines, FEEDS["sales"])):
+        one, two = found.orderBy("id").collect()
+        other = json.loads(one._other_attributes)
+        assert other.keys() == {"discount_code", "customer", "none"} and other["discount_code"] == "X"
+        assert json.loads(other["customer"]) == {"name": "a", "tags": [1]} and other["none"] is None
+        assert one._corrupt_record is None and two._other_attributes is None
+    lakes.ingest_pending(lake, str(tmp_path / "in"), "sales", datetime.now(timezone.utc))
+    kept = spark.table(lake.table("bronze", "sales")).where("id = 1").first()
+    assert json.loads(kept._other_attributes) == other
+
+
 def test_bad_lines_keep_their_text(spark, tmp_path):
     lines = '{"id": 1, "amount_paid": "x"}\n{"id": 2, "amount_paid": 2.5}\nno json\n'
     path = put(tmp_path / "in", "part-0.json", lines)
@@ -396,18 +421,17 @@ def test_a_sale_that_moves_refreshes_both_days(spark, lake, clock):
     load(spark, lake, [sale(7, 5.0, "2024-06-30"), sale(8, 1.0, "2024-07-02"), sale(9, 2.0, "2024-05-01")], next(clock))
     lakes.run(lake)
     assert gold_of(lake) == [(date(2024, 5, 1), 1, 2.0), (date(2024, 6, 30), 1, 5.0), (date(2024, 7, 2), 1, 1.0)]
+    before = files_of(lake, "fact_sales")
     load(spark, lake, [sale(7, 6.0, "2024-07-02"), sale(10, 3.0, "junk")], next(clock))
     lakes.run(lake)
     assert gold_of(lake) == [(date(2024, 5, 1), 1, 2.0), (date(2024, 7, 2), 2, 7.0)]
     assert fact_of(lake) == sorted(
         [(7, date(2024, 7, 2), 6.0), (8, date(2024, 7, 2), 1.0), (9, date(2024, 5, 1), 2.0), (10, None, 3.0)]
     )
-    # the month of sale 9 was neither read nor written again
-    table = VersionedTable(spark, lake.table("silver", "fact_sales"), lake.path("silver", "fact_sales"), models.PERIOD)
-    places = table._partitions(2)
-    assert places["2024-05"].endswith("/v1/sales_period=2024-05")
-    assert places["2024-07"].endswith("/v2/sales_period=2024-07")
-    assert "2024-06" not in places
+    # the month of sale 9 was not written again
+    after = files_of(lake, "fact_sales")
+    assert after["2024-05"] == before["2024-05"] and after["2024-07"] != before["2024-07"]
+    assert "2024-06" not in after
 
 
 def test_nothing_new_makes_no_version(spark, lake, clock):
@@ -429,21 +453,71 @@ def test_gold_catches_up_after_its_step_was_missed(spark, lake, clock):
     assert gold_of(lake) == [(date(2024, 7, 5), 1, 2.0), (date(2024, 7, 9), 1, 4.0)]
 
 
-def test_a_publish_that_dies_before_the_swap_is_repeated(spark, lake, clock, monkeypatch):
-    load(spark, lake, [sale(1, 1.0)], next(clock))
+@pytest.mark.parametrize("step", ["_overwrite", "_put_in_place", "_set"])
+def test_a_publish_that_dies_is_repeated(spark, lake, clock, monkeypatch, step):
+    """Before the overwrite, between a moved partition and the next, and before the position is set."""
+    load(spark, lake, [sale(1, 1.0), sale(3, 5.0, "2024-05-01"), sale(4, 7.0, "2024-06-01")], next(clock))
     lakes.run(lake)
-    load(spark, lake, [sale(1, 9.0), sale(2, 2.0)], next(clock))
+    load(spark, lake, [sale(1, 9.0), sale(2, 2.0), sale(4, 8.0, "2024-07-20")], next(clock))
+    real = {name: getattr(ReplacedTable, name) for name in ("_overwrite", "_put_in_place", "_set")}
+
+    def die(self, *args):
+        if step == "_overwrite":  # some partitions are gone, none of the new ones is there
+            spark.sql(f"ALTER TABLE {self.name} DROP PARTITION (sales_period = '2024-07')")
+        elif step == "_put_in_place":  # the old places are gone, the new ones are there
+            real[step](self, *args)
+        elif "saleslake.version" not in args[0]:
+            return real[step](self, *args)
+        raise RuntimeError("driver lost")
 
-    def die(self, rows, version, current, replaced):
+    with monkeypatch.context() as patch:
+        patch.setattr(ReplacedTable, step, die)
+        with pytest.raises(RuntimeError):
+            lakes.build_fact(lake)
+    lakes.run(lake)
+    assert [(i, a) for i, _, a in fact_of(lake)] == [(1, 9.0), (2, 2.0), (3, 5.0), (4, 8.0)]
+    assert gold_of(lake) == [(date(2024, 5, 1), 1, 5.0), (date(2024, 7, 20), 3, 19.0)]
+    assert lake.silver("fact_sales").version() == 2
+
+
+def test_a_first_build_that_dies_is_repeated(spark, lake, clock, monkeypatch):
+    load(spark, lake, [sale(1, 1.0)], next(clock))
+
+    def die(self, properties):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(VersionedTable, "_register", die)
+        patch.setattr(ReplacedTable, "_set", die)
         with pytest.raises(RuntimeError):
             lakes.build_fact(lake)
-    assert fact_of(lake) == [(1, date(2024, 7, 20), 1.0)]
+    assert not lake.silver("fact_sales").exists()
+    load(spark, lake, [sale(1, 2.0)], next(clock))
     lakes.run(lake)
-    assert [(i, a) for i, _, a in fact_of(lake)] == [(1, 9.0), (2, 2.0)]
+    assert gold_of(lake) == [(date(2024, 7, 20), 1, 2.0)]
+
+
+def test_an_upsert_asks_the_catalog_as_often_for_many_partitions_as_for_few(spark, lake, clock):
+    """Jobs and statements of an upsert of one sale do not follow the partitions that stay."""
+    asked = []
+    for suffix, days in (("few", 2), ("many", 60)):
+        own = dataclasses.replace(lake, suffix=f"{lake.suffix}{suffix}", root=lake.path(suffix), period="yyyy-MM-dd").create()
+        day = lambda i: (date(2024, 1, 1) + timedelta(days=i)).isoformat()
+        load(spark, own, [sale(i, 1.0, day(i)) for i in range(days)], next(clock))
+        lakes.build_fact(own)
+        load(spark, own, [sale(0, 2.0, day(0))], next(clock))
+        statements = []
+        real = type(spark).sql
+
+        def count(self, text, *args, real=real, statements=statements, **kwargs):
+            statements.append(text)
+            return real(self, text, *args, **kwargs)
+
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(type(spark), "sql", count)
+            lakes.build_fact(own)
+        asked.append(len(statements))
+        assert fact_of(own)[0] == (0, date(2024, 1, 1), 2.0) and len(fact_of(own)) == days
+    assert asked[0] == asked[1]
 
 
 def test_many_runs_equal_one(spark, lake, clock):
@@ -469,7 +543,7 @@ def test_many_runs_equal_one(spark, lake, clock):
         per_day[r["transaction_date"]] = (n + 1, total + r["amount_paid"])
     assert gold_of(lake) == sorted((date.fromisoformat(d), n, t) for d, (n, t) in per_day.items())
     before = fact_of(lake)
-    lakes.expire(lake, keep=1)
+    lakes.expire(lake)
     assert fact_of(lake) == before and gold_of(lake)
     load(spark, lake, [sale(99, 1.0, "2024-05-10")], next(clock))
     lakes.run(lake)
@@ -519,14 +593,16 @@ def test_a_dimension_rewrites_only_the_buckets_of_its_batch(spark, lake, clock,
     table = wide.table("bronze", "product")
     names = {i: f"p{i}" for i in range(100)}
     for change in ({}, {5: "new", 200: "added"}):
+        before = files_of(wide, "dim_product") if change else {}
         names |= change
         text = "id,name\n" + "".join(f"{i},{n}\n" for i, n in (change or names).items())
         load_seed(spark, str(put(tmp_path, "p.csv", text)), FEEDS["product"], table, next(clock))
         lakes.build_dimension(wide, "dim_product")
     target = wide.silver("dim_product")
     assert dict(tuple(r) for r in target.read().select("id", "name").collect()) == names
-    homes = [place.rsplit("/", 2)[1] for place in target._partitions(2).values()]
-    assert len(homes) == 8 and 1 <= homes.count("v2") <= 2
+    after = files_of(wide, "dim_product")
+    changed = [part for part in after if after[part] != before[part]]
+    assert len(after) == 8 and 1 <= len(changed) <= 2
     load_seed(spark, str(put(tmp_path, "p.csv", "id,name\n1,x\n")), FEEDS["product"], table, next(clock))
     with pytest.raises(ValueError, match="8 buckets, not 1"):
         lakes.build_dimension(lake, "dim_product")

@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 
 from saleslake.functions import stamp
 from saleslake.operators import quality
-from saleslake.operators.upsert import latest_per_key, merge_batch, rows_replaced, within_key_range
+from saleslake.operators.upsert import (
+    latest_per_key,
+    merge_batch,
+    merge_statement,
+    rows_replaced,
+    within_key_range,
+)
 from saleslake.plans import models
 from saleslake.schemas import CONTRACT
 from saleslake.sinks.names import table_name
-from saleslake.sinks.versioned import merge_statement
 from saleslake.sources.registry import Registry, Source
 
 NOW = datetime(2024, 7, 21, 12, 0, tzinfo=timezone.utc)
