@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslake.functions.stamp import day_text, parse_timestamp, wall_clock
@@ -18,7 +18,7 @@ from saleslake.plans import models, trial_tables as trial
 from saleslake.schemas import CONTRACT, FEEDS, OTHER
 from saleslake.session import work_dir, write_out
 from saleslake.sinks import bronze
-from saleslake.sinks.landing import DAY, write_landing
+from saleslake.sinks.landing import DAY, purge_days, write_landing
 from saleslake.sinks.warehouse import first_rows
 from saleslake.sources.landing import manifest, read_landing
 from saleslake.sources.seed import load_seed
@@ -387,16 +387,54 @@ def lake_daily_sales(spark: SparkSession, sf: str) -> DataFrame:
     return _lake_of_two_runs(spark, sf).gold().read()
 
 
+def _dimension_of_two_seeds(lake: lakes.Lake, feed: str, rows: DataFrame, renamed: Column) -> DataFrame:
+    """The stored dimension after a second seed, of those rows of the first that it renames."""
+    name = [field.name for field in FEEDS[feed]][-1]
+    columns = [field.name for field in FEEDS[feed]]
+    first = rows.withColumn(name, F.concat(name, F.lit(" of old"))).select(*columns)
+    for run_ts, seed in ((RUN_TS, first), (NEXT_RUN_TS, rows.where(renamed).select(*columns))):
+        _load_seed(lake, feed, seed, run_ts)
+        lakes.build_dimension(lake, f"dim_{feed}")
+    return lake.silver(f"dim_{feed}").read().select(*columns)
+
+
 def lake_dim_customer(spark: SparkSession, sf: str) -> DataFrame:
     """The stored dimension after a second seed that renames some of its customers."""
+    customers = trial.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("first_name"), "c_acctbal"
+    )
+    lake = replace(_new_lake(spark), buckets=4)
+    return _dimension_of_two_seeds(lake, "customer", customers, F.col("c_acctbal") > 5000)
+
+
+def lake_dim_employee(spark: SparkSession, sf: str) -> DataFrame:
     lake = replace(_new_lake(spark), buckets=4)
-    customers = trial.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_name", "c_acctbal")
-    first = customers.select("id", F.lower("c_name").alias("first_name"))
-    second = customers.where("c_acctbal > 5000").select("id", F.col("c_name").alias("first_name"))
-    for run_ts, rows in ((RUN_TS, first), (NEXT_RUN_TS, second)):
-        _load_seed(lake, "customer", rows, run_ts)
-        lakes.build_dimension(lake, "dim_customer")
-    return lake.silver("dim_customer").read().select("id", "first_name")
+    return _dimension_of_two_seeds(lake, "employee", trial.employees(spark, sf), F.col("id") % 3 == 0)
+
+
+def lake_dim_product(spark: SparkSession, sf: str) -> DataFrame:
+    lake = replace(_new_lake(spark), buckets=4)
+    return _dimension_of_two_seeds(lake, "product", trial.products(spark, sf), F.col("name").like("%a%"))
+
+
+def silver_without_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold of a lake whose second run built the silver layer alone."""
+    lake = _new_lake(spark)
+    _land_and_pick_up(lake, sf, RUN_TS, first=True)
+    lakes.run(lake)
+    _land_and_pick_up(lake, sf, NEXT_RUN_TS, first=False)
+    lakes.run(lake, layers=["silver"])
+    return lake.gold().read()
+
+
+def purged_and_loaded_again(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze is emptied after a first run; the second one loads what lands after it."""
+    lake = _new_lake(spark)
+    _land_and_pick_up(lake, sf, RUN_TS, first=True)
+    bronze.purge_table(spark, lake.table("bronze", "sales"), confirm=True)
+    purge_days(spark, lake.path("landing", "sales"), confirm=True)
+    _land_and_pick_up(lake, sf, NEXT_RUN_TS, first=False)
+    return _bronze_rows(lake)
 
 
 def lake_checks(spark: SparkSession, sf: str) -> DataFrame:
@@ -454,6 +492,10 @@ QUERIES: dict[str, Query] = {
         lake_fact_sales,
         lake_daily_sales,
         lake_dim_customer,
+        lake_dim_employee,
+        lake_dim_product,
+        silver_without_gold,
+        purged_and_loaded_again,
         lake_checks,
         same_run_two_sources,
         csv_ingest,

@@ -175,8 +175,22 @@ SELECT id, customer_id, employee_id, product_id, CAST(amount_paid AS DOUBLE) AS
        CAST(transaction_date AS DATE) AS sales_date FROM fact_sales""",
     "lake_daily_sales": f"WITH {_LAKE_FACT} {_DAILY}",
     "lake_dim_customer": """
-SELECT c_custkey AS id, CASE WHEN c_acctbal > 5000 THEN c_name ELSE lower(c_name) END AS first_name
+SELECT c_custkey AS id, CASE WHEN c_acctbal > 5000 THEN c_name ELSE c_name || ' of old' END AS first_name
 FROM customer""",
+    "lake_dim_employee": f"""WITH {_DIMS}
+SELECT id, first_name, CASE WHEN id % 3 = 0 THEN last_name ELSE last_name || ' of old' END AS last_name FROM dim_employee""",
+    "lake_dim_product": f"""WITH {_DIMS}
+SELECT id, CASE WHEN name LIKE '%a%' THEN name ELSE name || ' of old' END AS name FROM dim_product""",
+    "silver_without_gold": f"""WITH {_RAW},
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY id ORDER BY transaction_date DESC, product_id DESC, employee_id DESC, customer_id DESC,
+      amount_paid DESC) AS rn
+  FROM raw_sales WHERE loaded_at < TIMESTAMP '{CUT}'
+),
+fact_sales AS (SELECT * FROM ranked WHERE rn = 1) {_DAILY}""",
+    "purged_and_loaded_again": f"""WITH {_RAW} SELECT {_LANDED}, {_SECOND} AS loaded_at FROM raw_sales
+WHERE NOT loaded_at < TIMESTAMP '{CUT}'""",
     "lake_checks": f"""WITH {_LAKE_FACT}, {_DIMS}
 SELECT check_name, table_name, column_name, failures,
        CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({_report_lines()})""",
