@@ -29,7 +29,7 @@ from saleslake.llm.files import give_back_memory
 from saleslake.llm.shared import store
 
 CELL_ROWS = 256  # rows per cell that set the size of the codebooks
-MAX_CODEWORDS = 256
+MAX_CODEWORDS = 1024  # of a half: about 20 sampled vectors each; beyond, cells grow and blocks share them
 SAMPLE_ROWS = 20_000  # vectors that codebooks and stopping distance are fitted on, at most
 SAMPLE_VALUES = 4_000_000
 RECALL = 0.9995
@@ -46,7 +46,8 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 def _codebook(rows: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     words = rows[np.sort(rng.choice(len(rows), min(k, len(rows)), replace=False))]
     for _ in range(ROUNDS):
-        near = np.argmin((words**2).sum(axis=1) - 2 * rows @ words.T, axis=1)
+        parts = [rows[at : at + _AT_ONCE] for at in range(0, len(rows), _AT_ONCE)]
+        near = np.concatenate([np.argmin((words**2).sum(axis=1) - 2 * part @ words.T, axis=1) for part in parts])
         sums = np.zeros_like(words)
         np.add.at(sums, near, rows)
         n = np.bincount(near, minlength=len(words))[:, None]
@@ -54,6 +55,14 @@ def _codebook(rows: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return words
 
 
+def _between(words: np.ndarray) -> np.ndarray:
+    """Distances of all codewords from each other."""
+    squares = (words**2).sum(axis=1)
+    apart = np.sqrt(np.maximum(squares[:, None] + squares[None] - 2 * words @ words.T, 0))
+    np.fill_diagonal(apart, 0)
+    return apart
+
+
 @dataclass(frozen=True)
 class Grid:
     """Codebooks of the halves, and the squared way at which a traversal stops."""
@@ -66,7 +75,7 @@ class Grid:
         """Nearest codeword, and the squared way into the cell of each codeword."""
         far = (words**2).sum(axis=1) - 2 * rows @ words.T
         near = np.argmin(far, axis=1)
-        between = np.sqrt(((words[:, None] - words[None]) ** 2).sum(axis=2))[near]
+        between = _between(words)[near]
         lead = far - far[np.arange(len(rows)), near][:, None]
         return near, np.divide(lead, 2 * between, out=np.zeros_like(lead), where=between > 0) ** 2
 
