@@ -28,7 +28,8 @@ from saleslake.llm.components import connected_components, spanning_links
 from saleslake.llm.files import give_back_memory
 from saleslake.llm.shared import store
 
-CELL_ROWS = 256  # rows per cell that set the size of the codebooks
+CELL_ROWS = 256  # rows per cell that the codebooks may be refined to
+VISITS = 16  # cells that a vector visits on average, at most: what is shuffled grows with the rows
 MAX_CODEWORDS = 1024  # of a half: about 20 sampled vectors each; beyond, cells grow and blocks share them
 SAMPLE_ROWS = 20_000  # vectors that codebooks and stopping distance are fitted on, at most
 SAMPLE_VALUES = 4_000_000
@@ -120,6 +121,24 @@ def fit(rows: np.ndarray, k: int, threshold: float, recall: float = RECALL) -> G
     return Grid(grid.first, grid.second, float(np.quantile(np.concatenate(need), recall)))
 
 
+def refined(rows: np.ndarray, k: int, threshold: float) -> Grid:
+    """The finest grid of up to ``k`` words a half whose traversal visits few cells.
+
+    Its recall is that of any other: a coarser grid has larger cells, of which as many rows or
+    a few more are verified, but fewer copies of a vector travel.
+    """
+    few = rows[:: max(1, len(rows) // 256)]
+    words = min(k, 4)
+    grid = fit(rows, words, threshold)
+    while words < k:
+        words = min(k, words * 3 // 2)
+        finer = fit(rows, words, threshold)
+        if np.mean([len(cells) for cells in finer.visits(few)[1]]) > VISITS:
+            break
+        grid = finer
+    return grid
+
+
 def _usable(vector: Column) -> Column:
     good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.coalesce(good & F.exists(vector, lambda x: x != 0), F.lit(False))
@@ -222,7 +241,7 @@ def near_vectors(
         limit = max(2, min(SAMPLE_ROWS, SAMPLE_VALUES // d))
         sample = classes.where(F.col("dim") == d).orderBy("node").limit(limit).select("v").toPandas()["v"]
         k = max(1, min(MAX_CODEWORDS, round(math.sqrt(n / CELL_ROWS))))
-        grids[d] = fit(_unit(np.stack(sample.to_list()).astype(np.float64)), k, threshold)
+        grids[d] = refined(_unit(np.stack(sample.to_list()).astype(np.float64)), k, threshold)
 
     kinds = {f.name: f.dataType.simpleString() for f in classes.schema}
     placed = store(_placed(classes, grids, f"label {kinds['label']}, dim int, v {kinds['v']}, w long"), "placed")

@@ -113,3 +113,14 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert multi_index.near_vectors(none).count() == 0
+
+
+def test_the_grid_is_refined_while_few_cells_are_visited():
+    rng = np.random.default_rng(5)
+    centres = multi_index._unit(rng.standard_normal((40, 32)))
+    apart = multi_index._unit(np.repeat(centres, 50, axis=0) + 0.02 * rng.standard_normal((2000, 32)))
+    even = multi_index._unit(rng.standard_normal((2000, 32)))
+    fine, coarse = (multi_index.refined(rows, 24, 0.93) for rows in (apart, even))
+    assert len(fine.first) > len(coarse.first)
+    for rows, grid in ((apart, fine), (even, coarse)):
+        assert np.mean([len(cells) for cells in grid.visits(rows)[1]]) <= 1.5 * multi_index.VISITS
