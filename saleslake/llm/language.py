@@ -4,7 +4,8 @@ A text is a normalised TF-IDF vector of hashed two- and three-byte n-grams of it
 lower case, with everything else as word breaks. Spherical k-means on a bounded sample of
 labelled rows gives the centroids of each language; the language of the centroid with the
 largest cosine wins, and a text farther from it than nearly all of that language's sample is
-rejected.
+rejected. A text of few n-grams cannot come near to a centroid, its cosine grows with the root of
+their number; so below ``FULL_GRAMS`` of them the bound falls by that root.
 
 Only the sample and the centroids are gathered: at most ``SAMPLE_ROWS`` rows and ``CENTROIDS``
 vectors per language. Texts are scored where they are read and are not shuffled.
@@ -29,7 +30,9 @@ DIMENSIONS = 1 << 12
 CENTROIDS = 4
 SAMPLE_ROWS = 1000  # labelled rows per language that the model is fitted on, at most
 ROUNDS = 12
-REJECT_QUANTILE, REJECT_SHARE = 0.01, 0.3
+REJECT_QUANTILE, REJECT_SHARE = 0.01, 0.62
+REJECT_MOST = 0.45  # a sample of nearly equal texts has a quantile near 1, which says little of others
+FULL_GRAMS = 128
 UNDECIDED = "und"
 _TEXTS_AT_ONCE = 256
 _BYTES_AT_ONCE = 1 << 20
@@ -114,7 +117,8 @@ def k_means(rows: np.ndarray, k: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Languages:
-    """Centroids (a row each), their language, and the cosine below which one rejects."""
+    """Centroids (a row each), their language, and the cosine below which one rejects a text of
+    ``FULL_GRAMS`` or more."""
 
     idf: np.ndarray
     centroids: np.ndarray
@@ -126,7 +130,8 @@ class Languages:
         langs: list[str] = []
         scores, rejected = np.zeros(len(texts)), np.ones(len(texts), bool)
         for at in range(0, len(texts), _TEXTS_AT_ONCE):
-            rows = vectors(gram_counts(texts.slice(at, _TEXTS_AT_ONCE)), self.idf)
+            counts = gram_counts(texts.slice(at, _TEXTS_AT_ONCE))
+            rows = vectors(counts, self.idf)
             some = slice(at, at + len(rows))
             known = rows.any(axis=1)
             if not self.langs:
@@ -135,7 +140,8 @@ class Languages:
             cosines = rows @ self.centroids.T
             best = np.argmax(cosines, axis=1)
             scores[some] = np.clip(np.where(known, cosines[np.arange(len(rows)), best], 0), 0, 1)
-            rejected[some] = ~known | (scores[some] < self.least[best])
+            least = self.least[best] * np.sqrt(np.minimum(counts.sum(axis=1) / FULL_GRAMS, 1))
+            rejected[some] = ~known | (scores[some] < least)
             langs += [self.langs[b] if k else UNDECIDED for b, k in zip(best, known, strict=True)]
         return langs, scores, rejected
 
@@ -200,7 +206,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         rows = vectors(np.stack([np.frombuffer(g, "<f4") for g in frame["grams"]]), idf)
         centroids = k_means(rows, CENTROIDS)
         near = np.max(rows @ centroids.T, axis=1)
-        least = REJECT_SHARE * float(np.quantile(near, REJECT_QUANTILE))
+        least = min(REJECT_SHARE * float(np.quantile(near, REJECT_QUANTILE)), REJECT_MOST)
         packed = [c.astype("<f4").tobytes() for c in centroids]
         return pd.DataFrame({"lang": key[0], "i": range(len(packed)), "c": packed, "least": least})
 

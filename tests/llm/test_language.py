@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import string
 from collections import Counter
 
 import brute
@@ -33,6 +35,35 @@ def test_texts_of_learned_languages_are_not_rejected(found):
     assert sum(r.rejected for r in found) <= 0.002 * len(found)
 
 
+UNLEARNED = {
+    "it": "Quando la mattina arrivò il treno era già partito e la stazione sembrava vuota. Una donna anziana sedeva sulla panchina con una valigia piccola e guardava verso le montagne lontane. Nessuno sapeva da dove fosse venuta né perché avesse deciso di fermarsi proprio in quel",
+    "nl": "Toen de trein die ochtend aankwam was het station al bijna leeg en hing er een dichte mist boven de velden. Een oude vrouw zat op de bank met een kleine koffer en keek naar de bergen in de verte. Niemand wist waar zij vandaan",
+    "pt": "Quando o comboio chegou naquela manhã a estação já estava quase vazia e havia um nevoeiro espesso sobre os campos. Uma mulher idosa estava sentada no banco com uma pequena mala e olhava para as montanhas distantes. Ninguém sabia de onde ela tinha vindo nem",
+    "fi": "Kun juna saapui sinä aamuna asemalle, se oli jo melkein tyhjä ja peltojen yllä leijui sakea sumu. Vanha nainen istui penkillä pienen matkalaukun kanssa ja katseli kohti kaukaisia vuoria. Kukaan ei tiennyt mistä hän oli tullut tai miksi hän oli päättänyt jäädä juuri tähän kylään,",
+    "sv": "När tåget kom den morgonen var stationen redan nästan tom och en tät dimma låg över åkrarna. En gammal kvinna satt på bänken med en liten resväska och såg mot bergen långt borta. Ingen visste varifrån hon hade kommit eller varför hon hade bestämt sig",
+    "da": "Da toget ankom den morgen var stationen allerede næsten tom, og der lå en tæt tåge over markerne. En gammel kvinde sad på bænken med en lille kuffert og så mod bjergene langt borte. Ingen vidste hvor hun kom fra eller hvorfor hun havde besluttet",
+    "pl": "Kiedy pociąg przyjechał tego ranka, stacja była już prawie pusta, a nad polami wisiała gęsta mgła. Stara kobieta siedziała na ławce z małą walizką i patrzyła w stronę dalekich gór. Nikt nie wiedział skąd przyszła ani dlaczego postanowiła zostać właśnie w tej wsi, gdzie nigdy",
+    "tr": "O sabah tren geldiğinde istasyon neredeyse boştu ve tarlaların üzerinde yoğun bir sis vardı. Yaşlı bir kadın küçük bavuluyla bankta oturuyor ve uzaktaki dağlara bakıyordu. Kimse onun nereden geldiğini ya da hiçbir şeyin olmadığı bu köyde neden kalmaya karar verdiğini bilmiyordu. İstasyon şefi ona bir",
+    "id": "Ketika kereta tiba pagi itu stasiun sudah hampir kosong dan kabut tebal menyelimuti sawah. Seorang perempuan tua duduk di bangku dengan koper kecil dan memandang ke arah gunung yang jauh. Tidak ada yang tahu dari mana dia datang atau mengapa dia memutuskan untuk tinggal di",
+    "hu": "Amikor a vonat azon a reggelen megérkezett, az állomás már majdnem üres volt, és sűrű köd ült a mezők fölött. Egy idős asszony ült a padon egy kis bőrönddel, és a távoli hegyek felé nézett. Senki sem tudta honnan jött, sem azt, hogy miért éppen",
+    "ro": "Când trenul a sosit în dimineața aceea gara era deja aproape goală și o ceață deasă plutea peste câmpuri. O femeie bătrână stătea pe bancă cu o valiză mică și privea spre munții îndepărtați. Nimeni nu știa de unde venise și nici de ce hotărâse",
+    "ca": "Quan el tren va arribar aquell matí l'estació ja era gairebé buida i hi havia una boira espessa sobre els camps. Una dona gran seia al banc amb una maleta petita i mirava cap a les muntanyes llunyanes. Ningú no sabia d'on havia vingut ni",
+}
+
+
+def test_unlearned_languages_and_random_letters_are_rejected(spark):
+    """Fitted on sf0.1, whose learned cosines and so whose bounds are the lowest of the given tables."""
+    learned = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    model = language.fit(learned.where(language.id_remainder("doc_id", 3) != 1))
+    draw = random.Random(3)
+    letters = ["".join(draw.choices(string.ascii_lowercase, k=n)) for n in (100, 300, 2000, 20_000) for _ in range(5)]
+    assert model.predict(pa.array(letters))[2].all()
+    strange = [" ".join(text.split()[:n]) for text in UNLEARNED.values() for n in (20, 45)]
+    assert model.predict(pa.array(strange))[2].all()
+    held = [t for i, t in brute.rows("documents", "doc_id, text", "/root/testdata/sf0.1") if t and brute.remainder(i, 3) == 1]
+    assert len(held) > 3000 and model.predict(pa.array(held, pa.large_string()))[2].mean() <= 0.001
+
+
 def test_held_out_rows_and_labels_of_them_teach_nothing(spark, found):
     docs = [(i, t, lang) for i, t, lang in brute.rows("documents", "doc_id, text, lang", SF)]
     changed = [(i, t, "xx" if brute.remainder(i, 3) == 1 else lang, 0) for i, t, lang in docs]
