@@ -42,14 +42,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", f"{docs.columns[-1]}.*")
 
 
-def op6_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampled segmentations of every turn, read back by decoding."""
+def _segmentations(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """Sampled segmentations of every row, read back by decoding."""
     model = tokenizer_file("piece_bpe_32k.model")
-    samples = segmentation.sampled(table(spark, sf_dir, "conversations"), model, ["conv_id", "turn"])
-    back = segmentation.decoded(samples, model)
+    back = segmentation.decoded(segmentation.sampled(docs, model, keys), model)
     return back.select(
-        "conv_id",
-        "turn",
+        *keys,
         "sample",
         F.size("ids").cast("long").alias("n_pieces"),
         F.crc32(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary")).alias("ids_crc32"),
@@ -59,6 +57,16 @@ def op6_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sentencepiece_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of every document, whole."""
+    return _segmentations(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op6_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of every turn."""
+    return _segmentations(table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", f"{docs.columns[-1]}.*", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
@@ -84,7 +92,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.scored(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_packing, op3_warc, op4_token_counts, op5_language_id, op6_sentencepiece_sampling, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_packing, op3_warc, op4_token_counts, op5_language_id, op6_sentencepiece_documents, op6_sentencepiece_sampling, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_lm_scoring)}
 
 _LINES = """
 line AS (
