@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm import language, lines, packing, quality, scoring, segmentation, token_scan, warc
+from saleslake.llm import dominance, language, lines, negatives, packing, periods, quality, scoring, segmentation, token_scan, warc
 from saleslake.llm.multi_index import near_vectors
-from saleslake.llm.shared import table, tokenizer_file
+from saleslake.llm.shared import table, tokenizer_file, whole_text, word_list
 from saleslake.llm.simhash import simhash_groups
 from saleslake.session import work_dir
 
@@ -92,7 +92,53 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.scored(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_packing, op3_warc, op4_token_counts, op5_language_id, op6_sentencepiece_documents, op6_sentencepiece_sampling, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_lm_scoring)}
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = dominance.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return pieces.drop("ids")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels of some rows are shifted first, so that near rows of other labels exist."""
+    vectors = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", shifted), F.col("id") % 50 == 0)
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, told by the crc32 of their id, repeats a stretch to its end."""
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    h = F.crc32(ident.cast("binary"))
+    chosen = docs.withColumn("h", h).withColumn("w", F.when(F.col("h") % 10 == 0, word_list(whole_text())))
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    sized = chosen.withColumn("n", n).withColumn("a", F.when(F.col("n") > 0, g % F.col("n")).cast("int"))
+    rest = F.col("n") - F.col("a")
+    sized = sized.withColumn("p", (1 + F.floor(rest / (3 + g % 8))).cast("int"))
+    stretch = F.slice("w", F.col("a") + 1, F.col("p"))
+    times = F.ceil(F.col("n") / F.col("p")).cast("int")
+    repeated = F.slice(F.flatten(F.array_repeat(stretch, times)), F.lit(1), F.col("n") - F.col("a"))
+    text = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), repeated), " ")
+    return sized.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periods.collapsed(with_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    runs = F.col("periods.runs")
+    best = F.array_max(F.transform(runs, lambda r: F.struct(r.length.alias("l"), -r.start, -r.period, r.alias("run"))))
+    run = F.col("best.run")
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return docs.withColumn("best", best).select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        run.start.alias("start"),
+        run.length.alias("length"),
+        run.period.alias("period"),
+        F.floor(1000 * run.length / run.period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("periods.text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_packing, op3_warc, op4_token_counts, op5_language_id, op6_sentencepiece_documents, op6_sentencepiece_sampling, op7_line_dedup, op8_quality_rules, op9_simhash_near_dedup, op10_lm_scoring, op11_best_fit_packing, op12_hard_negatives, op13_periodic_runs)}
 
 _LINES = """
 line AS (
@@ -155,6 +201,29 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
        CASE WHEN n >= 1000 AND r > 1 THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN n >= 1000 AND r > 1 THEN response END AS refers_to
 FROM ranked""",
+    "op12_hard_negatives": """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+pair AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+           list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+),
+positive AS (
+    SELECT anchor_id, id, score FROM pair WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id))::INTEGER AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN pair n ON n.anchor_id = p.anchor_id AND NOT n.same
+ AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3""",
     "op7_line_dedup": f"""
 WITH {_LINES}
 SELECT d.doc_id,

@@ -58,6 +58,11 @@ def power_of_two(at_least: float) -> int:
     return n
 
 
+def named(name: str) -> Column:
+    """A column by its whole name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def free_name(frame: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of the frame has it."""
     taken = {c.lower() for c in frame.columns}

@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import zlib
+from collections import defaultdict
+
+import brute
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from saleslake.llm import dominance
+from saleslake.llm.queries import QUERIES
+from saleslake.llm.shared import tokenizer_file
+
+PATH = tokenizer_file("word_bpe_49k.json")
+PLAIN = Tokenizer.from_file(PATH)
+
+
+def fewest(items, length):
+    """The least number of sequences, over all subsets."""
+    best = [(0, length)] + [None] * ((1 << len(items)) - 1)
+    for held in range(1, len(best)):
+        options = []
+        for i, size in enumerate(items):
+            if held >> i & 1:
+                n, used = best[held ^ (1 << i)]
+                options.append((n, used + size) if used + size <= length else (n + 1, size))
+        best[held] = min(options)
+    return best[-1][0]
+
+
+def places(counts, length):
+    slots = dominance.plan(counts, length)
+    sizes = np.repeat(np.arange(length + 1), counts)
+    ranks = np.concatenate([np.arange(n) for n in counts])
+    return sizes, *slots.place(sizes, ranks)
+
+
+def assert_gapless(sizes, sequences, offsets, length):
+    order = np.lexsort((offsets, sequences))
+    ends = {}
+    for size, sequence, offset in zip(sizes[order], sequences[order], offsets[order], strict=True):
+        assert offset == ends.get(sequence, 0)
+        ends[sequence] = offset + size
+    assert sorted(ends) == list(range(len(ends))) and max(ends.values(), default=0) <= length
+    return len(ends)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(4, 40).flatmap(lambda n: st.tuples(st.just(n), st.lists(st.integers(1, n), min_size=1, max_size=9))))
+def test_what_is_fixed_is_in_a_best_packing(case):
+    length, items = case
+    counts = np.bincount(items, minlength=length + 1)
+    fixed, left = dominance.reduced(counts, length)
+    held = sum((np.bincount(chosen, minlength=length + 1) * n for chosen, n in fixed), left)
+    assert held.tolist() == counts.tolist() and all(sum(chosen) <= length for chosen, _ in fixed)
+    best = fewest(items, length)
+    assert sum(n for _, n in fixed) + fewest(np.repeat(np.arange(length + 1), left).tolist(), length) == best
+    assert best <= assert_gapless(*places(counts, length), length) <= best + 1
+
+
+def test_many_items_fill_their_sequences_and_patterns_stay_few():
+    sizes = np.minimum(np.random.default_rng(1).lognormal(5, 1.2, 400_000).astype(int) + 1, 2048)
+    few, many = (np.bincount(s, minlength=2049) for s in (sizes[:40_000], sizes))
+    for counts in (few, many):
+        n = assert_gapless(*places(counts, 2048), 2048)
+        assert n <= -(-int(counts @ np.arange(2049)) // 2048) + 1
+    assert len(dominance.plan(many, 2048).start) <= 5 * 2048
+
+
+def assert_packed(pieces, texts, length, end_id=0):
+    by_doc = defaultdict(list)
+    for p in pieces:
+        by_doc[p.doc_id].append(p)
+    assert set(by_doc) == set(texts)
+    for ident, own in by_doc.items():
+        ids = [*PLAIN.encode(texts[ident] or "", add_special_tokens=False).ids, end_id]
+        parts = [ids[at : at + length] for at in range(0, len(ids), length)]
+        got = [(p.piece, p.start, p.length, p.ids_crc32) for p in sorted(own, key=lambda p: p.piece)]
+        crcs = [zlib.crc32(np.array(part, "<u4").tobytes()) for part in parts]
+        assert got == [(i, i * length, len(part), crc) for i, (part, crc) in enumerate(zip(parts, crcs, strict=True))]
+    columns = (np.array([p[c] for p in pieces]) for c in ("length", "sequence_id", "offset"))
+    return assert_gapless(*columns, length)
+
+
+def test_query_packs_every_document_in_few_sequences(spark):
+    texts = dict(brute.rows("documents", "doc_id, text"))
+    pieces = QUERIES["op11_best_fit_packing"](spark, brute.SF).collect()
+    n = assert_packed(pieces, texts, 2048)
+    assert n <= -(-sum(p.length for p in pieces) // 2048) + 2
+
+
+@pytest.mark.parametrize("length", [1, 7, 2048])
+def test_odd_rows(spark, length):
+    texts = {1: None, 2: "", 3: " \n", 4: "It's a\ttest, O'Neil’s 3½!", 5: "word " * 5000, None: "x"}
+    frame = spark.createDataFrame(
+        [(i, t, 9, b"y", 1) for i, t in texts.items()], "doc_id int, text string, rank long, ids binary, `a.b` int"
+    ).repartition(3)
+    pieces = dominance.pack(frame, PATH, length).collect()
+    assert_packed(pieces, texts, length)
+    assert all(zlib.crc32(bytes(p.ids)) == p.ids_crc32 for p in pieces)
+
+
+def test_repeated_rows_and_empty_table(spark):
+    frame = spark.createDataFrame([(1, "a b")] * 3, "doc_id long, text string")
+    pieces = dominance.pack(frame, PATH).collect()
+    assert sorted(p.offset for p in pieces) == [0, 3, 6]
+    assert dominance.pack(frame.limit(0), PATH).count() == 0

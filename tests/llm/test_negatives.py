@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import math
+import random
+
+import brute
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from saleslake.llm import negatives
+from saleslake.llm.queries import ORACLE_SQL, QUERIES
+
+
+def plain(rows, every=2, positives=5, negatives=3, low=50, high=95, scale=256):
+    """All pairs of the usable rows, one per id."""
+    fine = lambda x: x is not None and math.isfinite(x)
+    usable = {}
+    for ident, label, vector in rows:
+        if ident is not None and label is not None and vector is not None and all(map(fine, vector)):
+            new = (label, [math.floor(scale * x) for x in vector])
+            usable[ident] = min(new, usable.get(ident, new))
+    out = []
+    for a, (label, v) in usable.items():
+        if a % every:
+            continue
+        scored = [
+            (-sum(x * y for x, y in zip(v, w, strict=True)), b, other)
+            for b, (other, w) in usable.items() if b != a and len(w) == len(v)
+        ]
+        same = sorted((s, b) for s, b, other in scored if other == label)[:positives]
+        rest = sorted((s, b) for s, b, other in scored if other != label)
+        for s, b in same:
+            inside = [(t, c) for t, c in rest if low * -s <= 100 * -t <= high * -s][:negatives]
+            out += [(a, b, i, c, -s, -t) for i, (t, c) in enumerate(inside, 1)]
+    return sorted(out)
+
+
+def test_query_equals_its_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{brute.SF}/embeddings.parquet'")
+    got = sorted(tuple(r) for r in QUERIES["op12_hard_negatives"](spark, brute.SF).collect())
+    assert got == sorted(con.execute(ORACLE_SQL["op12_hard_negatives"]).fetchall())
+    assert len(got) > 50
+
+
+@pytest.mark.parametrize("block", [3, 2048])
+def test_ties_blocks_and_hot_labels(spark, monkeypatch, block):
+    monkeypatch.setattr(negatives, "BLOCK_ROWS", block)
+    monkeypatch.setattr(negatives, "BLOCK_ANCHORS", block)
+    draw = random.Random(block)
+    rows = [(i, draw.choice([0, 0, 0, 1, 2]), [draw.randint(-2, 4) / 2 for _ in range(3)]) for i in range(80)]
+    rows += [(100 + i, i % 2, [0.0, 0.0, 0.0]) for i in range(6)]
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").repartition(3)
+    got = negatives.hard_negatives(frame, F.col("id") % 2 == 0)
+    assert sorted(tuple(r) for r in got.collect()) == plain(rows)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (2, "a", [1.0, 0.0]), (4, "a", [1.0, 0.1]), (5, "b", [0.75, 0.0]), (5, "b", [0.75, 0.0]), (5, "c", [9.0, 9.0]),
+        (6, None, [1.0, 1.0]), (7, "b", None), (8, "b", [nan, 1.0]), (9, "b", [inf, 1.0]), (10, "b", [None, 1.0]),
+        (None, "b", [0.7, 0.0]), (12, "a", []), (13, "b", []), (14, "a", []), (15, "b", [0.8]), (16, "a", [1e30, 0.0]),
+    ]
+    frame = spark.createDataFrame(rows, "vec_id int, label string, embedding array<double>")
+    frame = frame.withColumn("id", F.lit("x")).withColumn("a.b", F.lit(1)).withColumn("score", F.lit(0))
+    got = negatives.hard_negatives(frame, F.col("id") % 2 == 0)
+    without = [r for r in rows if r[2] != [1e30, 0.0]]
+    assert sorted(tuple(r) for r in got.collect()) == plain(without)
+    assert negatives.hard_negatives(frame.limit(0), F.col("id") % 2 == 0).count() == 0
+    assert negatives.hard_negatives(frame, F.lit(False)).count() == 0
+
+
+def test_scores_beyond_doubles_are_exact(spark):
+    rows = [(0, 0, [65535.0, 1.0]), (1, 0, [65535.0, 2.0]), (2, 0, [65535.0, 3.0]), (3, 1, [40000.0, 1.0]), (4, 1, [40000.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = negatives.hard_negatives(frame, F.col("id") % 2 == 0, scale=1024)
+    assert sorted(tuple(r) for r in got.collect()) == plain(rows, scale=1024)
