@@ -35,12 +35,25 @@ REJECT_MOST = 0.45  # a sample of nearly equal texts has a quantile near 1, whic
 FULL_GRAMS = 128
 UNDECIDED = "und"
 _TEXTS_AT_ONCE = 256
-_BYTES_AT_ONCE = 1 << 20
+_TEXT_BYTES_AT_ONCE = 1 << 20
+_BYTES_AT_ONCE = 1 << 18
 _SPACE = 32
 # letters a-z and the bytes of all letters beyond ASCII stay, the rest are breaks
 _LETTERS = np.array([b if 97 <= b <= 122 or b >= 128 else _SPACE for b in range(256)], np.uint8)
 
 
+def pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in turn, a bounded number and about a bounded size at a time, one at least."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    upto, at = np.cumsum(sizes, dtype=np.int64), 0
+    while at < len(texts):
+        before = upto[at] - sizes[at]
+        end = int(np.searchsorted(upto, before + _TEXT_BYTES_AT_ONCE, side="right"))
+        end = min(max(end, at + 1), at + _TEXTS_AT_ONCE)
+        yield texts.slice(at, end - at)
+        at = end
+
+
 def letter_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts one after the other, lowered, breaks single, and each text's end."""
     lowered = pc.utf8_lower(pc.fill_null(texts, "")).cast(pa.large_string())
@@ -129,10 +142,10 @@ class Languages:
         """Language, cosine and whether it is rejected, of each text."""
         langs: list[str] = []
         scores, rejected = np.zeros(len(texts)), np.ones(len(texts), bool)
-        for at in range(0, len(texts), _TEXTS_AT_ONCE):
-            counts = gram_counts(texts.slice(at, _TEXTS_AT_ONCE))
+        for piece in pieces(texts):
+            counts = gram_counts(piece)
             rows = vectors(counts, self.idf)
-            some = slice(at, at + len(rows))
+            some = slice(len(langs), len(langs) + len(rows))
             known = rows.any(axis=1)
             if not self.langs:
                 langs += [UNDECIDED] * len(rows)
@@ -228,19 +241,15 @@ def predicted(text: Column, model: Languages) -> Column:
     with score 0 and rejected.
     """
 
-    def batches(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def batches(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            parts = [
-                model.predict(pa.array(batch[at : at + _TEXTS_AT_ONCE], pa.large_string(), from_pandas=True))
-                for at in range(0, len(batch), _TEXTS_AT_ONCE)
-            ]
-            langs = [x for part in parts for x in part[0]]
-            scores, rejected = (np.concatenate([part[i] for part in parts] or [[]]) for i in (1, 2))
-            yield pd.DataFrame({"lang_pred": langs, "score": scores, "rejected": rejected})
+            langs, scores, rejected = model.predict(batch)
+            columns = [pa.array(langs, pa.string()), pa.array(scores), pa.array(rejected)]
+            yield pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "rejected"])
         give_back_memory()
 
-    batches.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(batches, "lang_pred string, score double, rejected boolean")(text)
+    batches.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(batches, "lang_pred string, score double, rejected boolean")(text)
 
 
 def identified(

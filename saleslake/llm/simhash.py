@@ -18,7 +18,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -31,8 +30,10 @@ from saleslake.llm.shared import free_name, power_of_two, store
 
 HASH_SEED = 42
 SLICES = 64
-SLICE_FINGERPRINTS = 1 << 23
+FINGERPRINTS_A_SLICE_MORE = 1 << 17
+SLICE_FINGERPRINTS = 1 << 25
 CHUNK_VARIANTS = 1 << 22
+_OWNERS_AT_ONCE = 1 << 18
 _COUNTED_AT_ONCE = 1 << 18
 
 
@@ -70,13 +71,13 @@ def fingerprint(text: Column, shingle: int = 4) -> Column:
     than a shingle make one shingle of all; no words, or a null text, make zero.
     """
 
-    def batches(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def batches(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pd.Series([fingerprint_of(t, shingle) for t in batch], dtype="int64")
+            yield pa.array((fingerprint_of(t.as_py(), shingle) for t in batch), pa.int64(), size=len(batch))
         give_back_memory()
 
-    batches.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(batches, LongType())(text)
+    batches.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(batches, LongType())(text)
 
 
 def ball(radius: int) -> np.ndarray:
@@ -119,6 +120,20 @@ def _colliding(variants: np.ndarray, owners: np.ndarray, max_bits: int):
     return owners[near], head[near]
 
 
+def copies_of(n_masks: int, slices: int) -> float:
+    """To how many slices a fingerprint goes: those that some of its variants are dealt to."""
+    return slices * -math.expm1(n_masks * math.log1p(-1 / slices))
+
+
+def slices_for(n: int, n_masks: int) -> int:
+    """Slices for ``n`` fingerprints, doubled as they double, and enough that a slice holds
+    ``SLICE_FINGERPRINTS`` at most (8 bytes each)."""
+    slices = max(SLICES, power_of_two(min(n, SLICE_FINGERPRINTS) / FINGERPRINTS_A_SLICE_MORE))
+    while n * copies_of(n_masks, slices) / slices > SLICE_FINGERPRINTS:
+        slices *= 2
+    return slices
+
+
 def similar_fingerprints(distinct: DataFrame, name: str, n: int, max_bits: int = 4) -> DataFrame:
     """Links (a, b) with the components of all pairs at most ``max_bits`` (even) bits apart.
 
@@ -128,8 +143,7 @@ def similar_fingerprints(distinct: DataFrame, name: str, n: int, max_bits: int =
     if max_bits % 2:
         raise ValueError("max_bits must be even: half of it is the radius of the variants")
     masks = ball(max_bits // 2)
-    crowded = n > SLICE_FINGERPRINTS
-    slices = power_of_two(n * len(masks) / SLICE_FINGERPRINTS) if crowded else SLICES
+    slices = slices_for(n, len(masks))
     bits = int(math.log2(slices))
     chunks = power_of_two(max(n, 1) * len(masks) / slices / CHUNK_VARIANTS)
     all_bits = bits + int(math.log2(chunks))
@@ -140,17 +154,18 @@ def similar_fingerprints(distinct: DataFrame, name: str, n: int, max_bits: int =
         order = np.argsort(mask_slice, kind="stable")
         sorted_masks = masks[order]
         starts = np.searchsorted(mask_slice[order], np.arange((1 << all_bits) + 1))
-        own = _slice_of(owners, all_bits)
+        own = _slice_of(owners, all_bits).astype(np.int32)
         found: list[tuple[np.ndarray, np.ndarray]] = []
         for chunk in range(1 << (all_bits - bits)):
-            wanted = own ^ (key[0].as_py() | (chunk << bits))
-            begin, counts = starts[wanted], starts[wanted + 1] - starts[wanted]
-            total = int(counts.sum())
-            within = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
-            who = np.repeat(owners, counts)
-            a, b = _colliding(
-                who ^ sorted_masks[np.repeat(begin, counts) + within], who, max_bits
-            )
+            variants, of = [], []
+            for at in range(0, len(owners), _OWNERS_AT_ONCE):
+                some = owners[at : at + _OWNERS_AT_ONCE]
+                wanted = own[at : at + _OWNERS_AT_ONCE] ^ (key[0].as_py() | (chunk << bits))
+                begin, counts = starts[wanted], starts[wanted + 1] - starts[wanted]
+                within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+                of.append(np.repeat(some, counts))
+                variants.append(of[-1] ^ sorted_masks[np.repeat(begin, counts) + within])
+            a, b = _colliding(np.concatenate(variants), np.concatenate(of), max_bits)
             if len(a):
                 found.append(spanning_links(a, b))
         if not found:

@@ -25,8 +25,8 @@ _SIMPLE = (
     r"^(?P<letters>[A-Za-z\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}\x{00F8}-\x{024F}]*)"
     r"(?P<marks>[.,;:!?*#$%&()\-]*)$"
 )
-TEXT_BYTES_AT_ONCE = 6 << 20
-KNOWN_STRINGS = 150_000
+TEXT_BYTES_AT_ONCE = 4 << 20
+KNOWN_STRINGS = 50_000
 _GATHERED_AT_ONCE = 1 << 18
 
 

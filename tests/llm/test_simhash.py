@@ -74,9 +74,28 @@ def test_empty_table(spark):
     assert simhash.keep_one_of_group(none).count() == 0
 
 
-@pytest.mark.parametrize(("slice_fingerprints", "chunk"), [(1 << 23, 1 << 22), (1 << 23, 1 << 13), (256, 1 << 12)])
-def test_no_link_is_lost_and_none_is_false(spark, monkeypatch, slice_fingerprints, chunk):
+def test_slices_grow_by_steps_and_stay_in_the_budget():
+    masks = len(simhash.ball(2))
+    copies = lambda n: simhash.copies_of(masks, simhash.slices_for(n, masks))
+    assert copies(1) == copies(8_388_608) == pytest.approx(64)
+    assert copies(8_388_609) == pytest.approx(128) and copies(13_800_000) == pytest.approx(128)
+    assert copies(1 << 25) < 256 and copies((1 << 25) + 1) < 900
+    # 30 GB of the given documents hold about 13.8 million: 8 bytes a copy, four times 30 GB at most
+    assert 13_800_000 * 8 * copies(13_800_000) < 0.5 * 30e9
+    slices = simhash.slices_for(13_800_000, masks)
+    linear = set(simhash._slice_of(simhash.ball(2), slices.bit_length() - 1).tolist())
+    assert len(linear) <= slices
+    for n in (10**8, 10**9, 10**10):
+        slices = simhash.slices_for(n, masks)
+        assert n * copies(n) / slices <= simhash.SLICE_FINGERPRINTS and copies(n) <= masks
+
+
+@pytest.mark.parametrize(
+    ("slice_fingerprints", "chunk", "owners"), [(1 << 25, 1 << 22, 1 << 18), (1 << 25, 1 << 13, 100), (256, 1 << 12, 64)]
+)
+def test_no_link_is_lost_and_none_is_false(spark, monkeypatch, slice_fingerprints, chunk, owners):
     monkeypatch.setattr(simhash, "SLICE_FINGERPRINTS", slice_fingerprints)
+    monkeypatch.setattr(simhash, "_OWNERS_AT_ONCE", owners)
     monkeypatch.setattr(simhash, "CHUNK_VARIANTS", chunk)
     rng = random.Random(5)
     values = {rng.getrandbits(64) for _ in range(60)} | {0, (1 << 64) - 1}
