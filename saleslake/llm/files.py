@@ -14,8 +14,18 @@ import pyarrow as pa
 from pyarrow import fs
 
 
+# Schemes of Hadoop's file systems, and pyarrow's for the same stores.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def spelled(uri: str) -> str:
+    """An address as pyarrow spells it: Hadoop has names of its own for some stores."""
+    scheme, mark, rest = uri.partition("://")
+    return SCHEMES.get(scheme.lower(), scheme) + mark + rest
+
+
 def store_of(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(spelled(uri))
 
 
 def attempt_name(stem: str) -> str:

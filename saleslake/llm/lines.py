@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslake.llm.shared import WORD_RUN, free_name, whole_text
+from saleslake.llm.shared import WORD_RUN, free_name, named, whole_text
 
 WINDOW = 3
 _TRIMMED = " \t\x0b\x0c\r"
@@ -31,7 +31,7 @@ def _lines(text: Column) -> Column:
 def windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(h1, h2, id, h, at) of every window; h tells apart texts of the same id."""
     lines = docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("h"), _lines(whole_text(text_col)).alias("x")
+        named(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("h"), _lines(whole_text(text_col)).alias("x")
     )
     line = lambda i, k: F.get("x", i + k).s
     keys = F.transform(
@@ -69,13 +69,16 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     gone = later_windows(docs, id_col, text_col).groupBy("id", "h").agg(F.collect_set("at").alias("at"))
     name = free_name(docs, "lines")
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(whole_text(text_col)).alias("text_h"))
+    keyed = docs.select(F.struct(*map(named, docs.columns)).alias("row"), F.xxhash64(whole_text(text_col)).alias("text_h"))
     # two plain equalities: ids are given a stand-in for null, so that the join can sort and split
-    ids = lambda c: (c.isNull().alias("no_id"), F.coalesce(c, F.lit(0)).alias("some_id"))
-    left = keyed.select("row", "text_h", *ids(F.col(f"row.{id_col}")))
+    other = F.lit("0").cast(docs.schema[id_col].dataType)
+    ids = lambda c: (c.isNull().alias("no_id"), F.coalesce(c, other).alias("some_id"))
+    row = lambda c: F.col("row").getField(c)
+    whole = F.coalesce(row(text_col), F.lit(""))
+    left = keyed.select("row", "text_h", *ids(row(id_col)))
     right = gone.select(F.col("h").alias("text_h"), "at", *ids(F.col("id")))
     joined = left.join(right, ["text_h", "no_id", "some_id"], "left").select(
-        "row", "at", _lines(whole_text(f"row.{text_col}")).alias("x"), F.split(whole_text(f"row.{text_col}"), "\n").alias("all")
+        "row", "at", _lines(whole).alias("x"), F.split(whole, "\n").alias("all")
     )
     covered = F.array_distinct(F.flatten(F.transform("at", lambda a: F.transform(
         F.sequence(a, a + WINDOW - 1), lambda i: F.get("x", i).i))))
@@ -86,7 +89,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         ),
         "\n",
     )
-    text = F.when(F.col("at").isNull(), F.col(f"row.{text_col}")).otherwise(left_over)
+    text = F.when(F.col("at").isNull(), row(text_col)).otherwise(left_over)
     removed = F.coalesce(F.size(F.col("covered")), F.lit(0))
     removed = F.when(F.col("at").isNull(), 0).otherwise(removed)
     cut = cut.withColumn("new", text).withColumn(
@@ -98,7 +101,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             return F.col("new").alias(c)
         if c == size_col:
             kind = docs.schema[c].dataType
-            return F.when(F.col("at").isNull(), F.col(f"row.{c}")).otherwise(F.length("new")).cast(kind).alias(c)
-        return F.col(f"row.`{c}`").alias(c)
+            return F.when(F.col("at").isNull(), row(c)).otherwise(F.length("new")).cast(kind).alias(c)
+        return row(c).alias(c)
 
     return cut.select(*(column(c) for c in docs.columns), F.col("told").alias(name))

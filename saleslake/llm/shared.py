@@ -36,7 +36,7 @@ def tokenizer_file(name: str) -> str:
 
 def whole_text(name: str = "text") -> Column:
     """The text of a row; null counts as empty."""
-    return F.coalesce(F.col(name), F.lit(""))
+    return F.coalesce(named(name), F.lit(""))
 
 
 def word_list(text: Column) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql.types import LongType
 
 from saleslake.llm.components import connected_components, spanning_links
 from saleslake.llm.files import give_back_memory
-from saleslake.llm.shared import free_name, power_of_two, store
+from saleslake.llm.shared import free_name, named, power_of_two, store
 
 HASH_SEED = 42
 SLICES = 64
@@ -201,7 +201,7 @@ def simhash_groups(
     No rows give no rows; repeated rows stay.
     """
     prints = store(
-        docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("f")),
+        docs.select(named(id_col).alias("id"), fingerprint(named(text_col), shingle).alias("f")),
         "fingerprints",
     )
     distinct = store(prints.groupBy("f").agg(F.min("id").alias("least")), "distinct")
@@ -226,17 +226,18 @@ def keep_one_of_group(
     Rows with a null id stay only when no row of their group has an id.
     """
     groups = simhash_groups(docs, id_col, text_col, shingle, max_bits)
-    heads = groups.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
+    heads = groups.where(named(id_col) == F.col("component_id")).select(named(id_col)).distinct()
     f, other = free_name(docs, "fingerprint"), free_name(docs, "head_id")
-    named = docs.where(F.col(id_col).isNotNull())
-    kept = named.join(heads, id_col).select(*docs.columns)
+    columns = [named(c) for c in docs.columns]
+    with_id = docs.where(named(id_col).isNotNull())
+    kept = with_id.join(heads, id_col).select(*columns)
     kept = kept.dropDuplicates([id_col])
     nameless = groups.where(F.col("component_id").isNull()).select(F.col("fingerprint").alias(other))
     alone = (
-        docs.where(F.col(id_col).isNull())
-        .withColumn(f, fingerprint(F.col(text_col), shingle))
+        docs.where(named(id_col).isNull())
+        .withColumn(f, fingerprint(named(text_col), shingle))
         .join(nameless.distinct(), F.col(f) == F.col(other), "left_semi")
-        .select(*docs.columns)
+        .select(*columns)
         .dropDuplicates([text_col])
     )
     return kept.unionByName(alone)

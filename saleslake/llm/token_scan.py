@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from saleslake.llm.files import attempt_name, give_back_memory, read_range, store_of
 from saleslake.llm.shared import store
@@ -32,6 +33,7 @@ def write_flat_files(
 
     (file, bytes) of the files, and (file, number, id): which document is where. Null texts are
     empty; strings of special tokens are ordinary text, so that a separator is never inside one.
+    Ids of any simple type; a token id that does not fit into ``width`` bytes is an error.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,6 +44,8 @@ def write_flat_files(
         with target.open_output_stream(f"{root}/{name}", compression=None) as out:
             for some in grouped(batches, 1):
                 ids, _ = encode(some.column(1).combine_chunks(), tokenizer, end_id, plain_specials=True)
+                if ids.max(initial=0) >> (8 * width):
+                    raise ValueError(f"id {ids.max()} does not fit into {width} bytes")
                 out.write(ids.astype(WIDTHS[width]).tobytes())
                 size += width * len(ids)
                 n = some.num_rows
@@ -54,7 +58,7 @@ def write_flat_files(
         yield pa.record_batch(last)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    some_type = pa.string() if kind == "string" else pa.int64()
+    some_type = to_arrow_type(docs.schema[id_col].dataType)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     written = store(rows.mapInArrow(write, f"file string, number long, id {kind}, bytes long"), "flat")
     files = written.where("number < 0").select("file", "bytes")
