@@ -94,8 +94,11 @@ def table_report(
         )
         for check, name in names.items()
     ]
-    status = F.when(F.col("failures") == 0, PASS).otherwise(FAIL)
-    return totals.select(F.inline(F.array(*lines))).withColumn("status", status)
+    return with_status(totals.select(F.inline(F.array(*lines))))
+
+
+def with_status(failures: DataFrame) -> DataFrame:
+    return failures.withColumn("status", F.when(F.col("failures") == 0, PASS).otherwise(FAIL))
 
 
 def union_reports(reports: Sequence[DataFrame]) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.functions.stamp import as_utc, with_loaded_at
+from saleslake.functions.stamp import with_loaded_at
 from saleslake.operators.quality import (
     BRONZE_DEFAULT,
     FAIL,
@@ -19,8 +19,9 @@ from saleslake.operators.quality import (
     freshness,
     table_report,
     union_reports,
+    with_status,
 )
-from saleslake.operators.upsert import merge_batch, rows_replaced, within_key_range
+from saleslake.operators.upsert import rows_replaced, within_key_range
 from saleslake.plans import models
 from saleslake.schemas import CONTRACT, FEEDS, KEY
 from saleslake.session import fit_to_input, frame_bytes, write_out
@@ -29,14 +30,19 @@ from saleslake.sinks.names import table_name
 from saleslake.sinks.replaced import ReplacedTable
 from saleslake.sinks.warehouse import SAMPLE_ROWS, first_rows
 from saleslake.sources import files
-from saleslake.sources.landing import latest_file, manifest, pending_files, read_landing, read_latest
+from saleslake.sources.landing import (
+    FILE_COLUMNS,
+    latest_file,
+    manifest,
+    pending_files,
+    read_landing,
+    read_latest,
+)
 from saleslake.sources.registry import Registry, Source
 
-# How far the clocks of the store and of the driver may differ.
-CLOCK_MARGIN = timedelta(days=1)
 LAYERS = ("silver", "gold")
 _FEED_OF = {"dim_customer": "customer", "dim_employee": "employee", "dim_product": "product"}
-_READ_TO = "saleslake.read_to_batch"
+_READ = "saleslake.read_batches"
 _BUCKETS = "saleslake.buckets"
 _FACT_VERSION = "saleslake.fact_version"
 
@@ -114,7 +120,7 @@ def ingest_latest(
     """Append the newest landing object; None when bronze holds it already."""
     newest = latest_file(lake.spark, root, prefix, suffix)
     listed = manifest(lake.spark, root, prefix, suffix).where(F.col("path") == newest["path"])
-    return _ingest(lake, listed, feed or prefix, run_ts, multi_line)
+    return load_files(lake, listed, feed or prefix, run_ts, multi_line)
 
 
 def ingest_pending(
@@ -128,29 +134,56 @@ def ingest_pending(
 ) -> str | None:
     """Append every landing object of the format that bronze does not hold yet."""
     listed = manifest(lake.spark, root, prefix, f".{fmt}")
-    return _ingest(lake, listed, feed or prefix, run_ts, multi_line, fmt)
+    return load_files(lake, listed, feed or prefix, run_ts, multi_line, fmt)
 
 
-def _ingest(
-    lake: Lake, listed: DataFrame, feed: str, run_ts: datetime, multi_line: bool, fmt: str = "json"
+def load_files(
+    lake: Lake,
+    listed: DataFrame,
+    feed: str,
+    run_ts: datetime,
+    multi_line: bool = False,
+    fmt: str = "json",
+    max_files: int | None = None,
 ) -> str | None:
+    """Append the listed files that no batch of bronze was loaded from, in batches of at most
+    ``max_files``; return the last batch, None when there was nothing new.
+
+    Bronze itself is not read: its files table tells what is loaded. A file without a record is
+    loaded once like any other.
+    """
     table = lake.table("bronze", feed)
-    oldest, newest = listed.agg(F.min("received_at"), F.max("received_at")).first()
-    if oldest is None:
-        return None
-    if newest.astimezone() > as_utc(run_ts) + CLOCK_MARGIN:
-        # Which partitions can hold a file is told from the two times.
-        raise ValueError(f"a run at {run_ts} cannot load a file received at {newest}")
-    loaded = bronze.files_loaded_since(lake.spark.table(table), oldest.astimezone() - CLOCK_MARGIN)
+    pending = pending_files(listed, bronze.loaded_files(lake.spark, table))
     # File names only, as many as Spark's own file index keeps on the driver to read them.
-    found = pending_files(listed, loaded).select("path", "received_at").collect()
-    if not found:
-        return None
-    paths = [row["path"] for row in found]
+    found = pending.select(*FILE_COLUMNS).orderBy("received_at", "path").collect()
+    batch = None
+    for at in range(0, len(found), max_files or max(len(found), 1)):
+        batch = _load(lake, found[at : at + max_files] if max_files else found, feed, run_ts, multi_line, fmt)
+    return batch
+
+
+def _load(lake: Lake, found: list[Row], feed: str, run_ts: datetime, multi_line: bool, fmt: str) -> str:
     source = "\n".join(sorted(f"{row['path']} {row['received_at']}" for row in found))
-    # An array in one object is read by one task; spread its rows before they are written.
-    rows = read_landing(lake.spark, paths, FEEDS[feed], fmt, multi_line).hint("rebalance")
-    return bronze.append_batch(rows, table, run_ts, source)
+    sizes = {row["path"]: row["n_bytes"] for row in found}
+    rows = read_landing(lake.spark, list(sizes), FEEDS[feed], fmt, multi_line, sizes)
+    if multi_line:
+        # A small object is read by one task; spread its rows before they are written.
+        rows = rows.hint("rebalance")
+    files = [(row["source_file"], row["received_at"]) for row in found]
+    counted = {_line(check): condition for check, condition in _row_checks(feed).items()}
+    return bronze.append_batch(rows, lake.table("bronze", feed), run_ts, source, files, counted)
+
+
+def _row_checks(feed: str) -> dict[Check, Column]:
+    """The checks of bronze that each row passes or fails by itself."""
+    if feed != "sales":
+        return {}
+    checks = {Check("not_null", name): F.col(name).isNull() for name in CONTRACT["raw_sales"].not_null}
+    return checks | {Check("positive", "amount_paid"): F.col("amount_paid") <= 0}
+
+
+def _line(check: Check) -> str:
+    return f"{check.name} {check.column}"
 
 
 def latest_sample(lake: Lake, root: str, prefix: str, run_ts: datetime, n: int = SAMPLE_ROWS) -> DataFrame:
@@ -166,26 +199,79 @@ def latest_sample(lake: Lake, root: str, prefix: str, run_ts: datetime, n: int =
 # --- silver ---------------------------------------------------------------------------
 
 
-def _new_rows(lake: Lake, target: ReplacedTable, feed: str) -> tuple[DataFrame, str] | None:
-    """Bronze rows of the runs the target has not read, and the last of those runs."""
+@dataclass(frozen=True)
+class Changes:
+    """What bronze has for a target that it has not read, and what it has lost."""
+
+    new: list[str]
+    undone: set[int]
+    read: set[int]
+    left: list[str]
+
+    def properties(self) -> dict[str, str]:
+        return {_READ: bronze.as_ranges(self.read)}
+
+
+def _changes(lake: Lake, target: ReplacedTable, feed: str) -> Changes | None:
+    """The batches that the target has not read, in whatever order they came, and those of its
+    batches that were undone; None when there are neither."""
     table = lake.table("bronze", feed)
-    last = bronze.newest_batch(lake.spark, table)
-    read_to = target.properties().get(_READ_TO, "")
-    if last is None or last <= read_to:
+    held = bronze.batches(lake.spark, table)
+    read = bronze.from_ranges(target.properties().get(_READ, ""))
+    undone = bronze.undone_batches(lake.spark, table) & read
+    new = sorted(held[n] for n in set(held) - read)
+    if not new and not undone:
         return None
-    runs = bronze.batches_between(lake.spark, table, read_to, last)
-    rows = lake.spark.table(table).where(F.col(bronze.BATCH).isin(runs))
+    return Changes(new, undone, (read | set(held)) - undone, sorted(held.values()))
+
+
+def _bronze_rows(lake: Lake, feed: str, names: list[str]) -> DataFrame:
+    rows = lake.spark.table(lake.table("bronze", feed)).where(F.col(bronze.BATCH).isin(names))
     fit_to_input(lake.spark, frame_bytes(rows))
-    return rows, last
+    return rows.withColumn(models.SOURCE, F.col(bronze.BATCH))
+
+
+def _winners(lake: Lake, target: ReplacedTable, feed: str, found: Changes, newest) -> tuple[DataFrame, DataFrame, str]:
+    """Written out: the newest row of every key that changes, and the target's rows of these keys.
+
+    Keys change that a new batch brings, and those whose row came from a batch that was undone:
+    these are found again in the bronze rows that are left, and are gone where there are none.
+    A batch of a run that comes late loses against rows of later runs.
+    """
+    staged = f"{target.work}/batch"
+    batch = write_out(newest(_bronze_rows(lake, feed, found.new)), f"{staged}/new")
+    fit_to_input(lake.spark, _stored_bytes(target))
+    keys, of = batch.select(KEY), target.read()
+    candidates = batch
+    if found.undone:
+        number = bronze.number_of(F.col(models.SOURCE))
+        lost = of.where(number.isin(sorted(found.undone))).select(KEY)
+        lost = write_out(lost, f"{staged}/lost")
+        again = rows_replaced(within_key_range(_bronze_rows(lake, feed, found.left), lost, KEY), lost, KEY)
+        candidates = candidates.unionByName(newest(again))
+        keys = keys.unionByName(lost).distinct()
+    replaced = write_out(rows_replaced(within_key_range(of, keys, KEY), keys, KEY), f"{staged}/replaced")
+    standing = replaced
+    if found.undone:
+        standing = replaced.where(~bronze.number_of(F.col(models.SOURCE)).isin(sorted(found.undone)))
+    winners = newest(candidates.select(*batch.columns).unionByName(standing.select(*batch.columns)))
+    return write_out(winners, f"{staged}/winners"), replaced, staged
+
+
+def _stored_bytes(target: ReplacedTable) -> int:
+    """The size of the current version; files are told by the catalog's partitions."""
+    return frame_bytes(target.read().where(F.col(target.partition_by).isNotNull()))
 
 
 def _upsert(
-    lake: Lake, target: ReplacedTable, batch: DataFrame, parts: list[str], properties: dict[str, str]
+    lake: Lake, target: ReplacedTable, winners: DataFrame, replaced: DataFrame, parts: list[str], properties: dict[str, str]
 ) -> int:
-    """Write the given partitions of the target again, with the batch merged in."""
+    """Write the given partitions of the target again, with the replaced rows exchanged for the winners."""
     current = target.read().where(F.col(target.partition_by).isin(parts))
-    fit_to_input(lake.spark, frame_bytes(current) + frame_bytes(batch))
-    return target.publish(merge_batch(current, batch, KEY), replaced=parts, properties=properties)
+    fit_to_input(lake.spark, frame_bytes(current) + frame_bytes(winners))
+    keys = winners.select(KEY).unionByName(replaced.select(KEY))
+    untouched = current.join(keys, KEY, "left_anti")
+    return target.publish(untouched.unionByName(winners), replaced=parts, properties=properties)
 
 
 def _values(rows: DataFrame, column: str) -> list[str]:
@@ -194,58 +280,54 @@ def _values(rows: DataFrame, column: str) -> list[str]:
 
 
 def build_dimension(lake: Lake, model: str) -> int:
-    """Upsert the new rows of a dimension; return its version."""
-    target = lake.silver(model)
+    """Upsert the new rows of a dimension and take back what was undone; return its version."""
+    target, feed = lake.silver(model), _FEED_OF[model]
     target.recover()
-    new = _new_rows(lake, target, _FEED_OF[model])
-    if new is None:
+    found = _changes(lake, target, feed)
+    if found is None:
         return target.version()
-    rows, last = new
-    properties = {_READ_TO: last, _BUCKETS: str(lake.buckets)}
-    batch = models.with_bucket(models.dimension(rows, model, newest_by=(bronze.BATCH,)), lake.buckets)
+    properties = {**found.properties(), _BUCKETS: str(lake.buckets)}
+
+    def newest(rows: DataFrame) -> DataFrame:
+        return models.with_bucket(models.dimension(rows, model, newest_by=(models.SOURCE,)), lake.buckets)
+
     if not target.exists():
-        return target.publish(batch, properties=properties)
+        return target.publish(newest(_bronze_rows(lake, feed, found.new)), properties=properties)
     if target.properties()[_BUCKETS] != str(lake.buckets):
         raise ValueError(f"{target.name} has {target.properties()[_BUCKETS]} buckets, not {lake.buckets}")
-    staged = f"{target.work}/batch"
-    batch = write_out(batch, staged)
-    version = _upsert(lake, target, batch, _values(batch, models.BUCKET), properties)
+    winners, replaced, staged = _winners(lake, target, feed, found, newest)
+    parts = _values(winners.select(models.BUCKET).unionByName(replaced.select(models.BUCKET)), models.BUCKET)
+    version = _upsert(lake, target, winners, replaced, parts, properties)
     files.delete(lake.spark, staged)
     return version
 
 
 def build_fact(lake: Lake) -> int:
-    """Upsert the new sales; only periods that gain, lose or change a sale are written."""
+    """Upsert the new sales and take back what was undone; only periods that gain, lose or change
+    a sale are written."""
     target = lake.silver("fact_sales")
     target.recover()
-    new = _new_rows(lake, target, "sales")
-    if new is None:
+    found = _changes(lake, target, "sales")
+    if found is None:
         return target.version()
-    rows, last = new
-    read_to = {_READ_TO: last}
-    batch = models.with_period(models.fact_sales(rows, newest_by=(bronze.BATCH,)), lake.period)
+
+    def newest(rows: DataFrame) -> DataFrame:
+        return models.with_period(models.fact_sales(rows, newest_by=(models.SOURCE,)), lake.period)
+
     if not target.exists():
-        return target.publish(batch, properties=read_to)
+        return target.publish(newest(_bronze_rows(lake, "sales", found.new)), properties=found.properties())
     version = target.version() + 1
-    staged = f"{target.work}/batch"
-    batch = write_out(batch, staged)
-    fit_to_input(lake.spark, _fact_bytes(target))
-    replaced = rows_replaced(within_key_range(target.read(), batch, KEY), batch, KEY)
+    winners, replaced, staged = _winners(lake, target, "sales", found, newest)
     place = [F.to_date("transaction_date").alias(models.DAY), models.PERIOD]
-    touched = batch.select(*place).unionByName(replaced.select(*place)).distinct()
+    touched = winners.select(*place).unionByName(replaced.select(*place)).distinct()
     # added to those of a run that died: it may have replaced some of these rows already
     touched.write.mode("append").parquet(_touched_path(lake, version))
     touched = lake.spark.read.schema(touched.schema).parquet(_touched_path(lake, version))
-    _upsert(lake, target, batch, _values(touched, models.PERIOD), read_to)
+    _upsert(lake, target, winners, replaced, _values(touched, models.PERIOD), found.properties())
     files.delete(lake.spark, staged)
     return version
 
 
-def _fact_bytes(fact: ReplacedTable) -> int:
-    """The size of the current version; files are told by the catalog's partitions."""
-    return frame_bytes(fact.read().where(F.col(models.PERIOD).isNotNull()))
-
-
 def _touched_path(lake: Lake, version: int) -> str:
     """Days whose sales changed with a version of the fact; gold reads them later."""
     return lake.path("work", "fact_sales", "touched", f"v{version}")
@@ -279,7 +361,7 @@ def build_gold(lake: Lake) -> int:
     if built == version:
         return gold.version()
     if not gold.exists():
-        fit_to_input(lake.spark, _fact_bytes(fact))
+        fit_to_input(lake.spark, _stored_bytes(fact))
         rows = models.daily_sales_summary(fact.read(), one_scan=False)
     else:
         paths = [_touched_path(lake, v) for v in range(built + 1, version + 1)]
@@ -333,10 +415,33 @@ def contract_report(
     return union_reports(reports)
 
 
+def bronze_report(lake: Lake) -> DataFrame:
+    """The checks of raw_sales, summed from what was counted while its batches were written.
+
+    Only batches that were not counted (appended by other means, or whose run died before its
+    counts were written) are read.
+    """
+    table, checks = lake.table("bronze", "sales"), _row_checks("sales")
+    known = bronze.counts(lake.spark, table)
+    total = known.groupBy("counted").agg(F.sum("n").alias("n"))
+    counted = {row[0] for row in known.where(F.col("counted") == bronze.ROWS).select(bronze.BATCH).collect()}
+    others = [name for name in bronze.batches(lake.spark, table).values() if name not in counted]
+    if others:
+        rows = lake.spark.table(table).where(F.col(bronze.BATCH).isin(others))
+        seen = rows.agg(*(F.count_if(condition).alias(_line(check)) for check, condition in checks.items()))
+        total = total.unionByName(seen.unpivot([], seen.columns, "counted", "n"))
+    lines = [(_line(check), check.name, "raw_sales", check.column) for check in checks]
+    report = lake.spark.createDataFrame(lines, "counted string, check_name string, table_name string, column_name string")
+    failures = report.join(total, "counted", "left").groupBy("check_name", "table_name", "column_name").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("failures")
+    )
+    return with_status(failures)
+
+
 def check(lake: Lake) -> DataFrame:
     """The report over the lake's own tables. Every check of a missing table fails."""
     known = lake.registry()
-    tables = {"raw_sales": known.read(lake.spark, "layer_bronze", "raw_sales")}
+    tables = {}
     missing = {}
     for model in (*models.DIMENSIONS, "fact_sales"):
         if lake.silver(model).exists():
@@ -346,13 +451,14 @@ def check(lake: Lake) -> DataFrame:
             columns = models.DIMENSIONS.get(model, models.FACT_COLUMNS)
             none = F.lit(None).cast("string")
             missing[model] = lake.spark.range(0).select(*(none.alias(c) for c in columns))
-    report = contract_report(tables)
-    if not missing:
-        return report
-    absent = contract_report(missing).withColumns(
-        {"failures": F.lit(None).cast("long"), "status": F.lit(FAIL)}
-    )
-    return report.unionByName(absent)
+    reports = [bronze_report(lake)]
+    if tables:
+        reports.append(contract_report(tables))
+    if missing:
+        reports.append(
+            contract_report(missing).withColumns({"failures": F.lit(None).cast("long"), "status": F.lit(FAIL)})
+        )
+    return union_reports(reports)
 
 
 def freshness_line(lake: Lake, now: datetime) -> DataFrame:

@@ -30,13 +30,15 @@ PERIOD = "sales_period"
 BUCKET = "id_bucket"
 DAY = "sales_date"
 NO_PERIOD = "unknown"
+SOURCE = "source_batch"  # the batch of bronze that a stored row came from
 
 
 def dimension(rows: DataFrame, model: str, newest_by: Sequence[str] = ()) -> DataFrame:
-    """The newest attributes of every id."""
+    """The newest attributes of every id; the batch they came from stays with them."""
     columns = DIMENSIONS[model]
     extra = [name for name in newest_by if name not in columns]
-    return latest_per_key(rows.select(*columns, *extra), KEY, newest_by).select(*columns)
+    kept = [name for name in (*columns, *extra) if name in columns or name == SOURCE]
+    return latest_per_key(rows.select(*columns, *extra), KEY, newest_by).select(*kept)
 
 
 def with_bucket(rows: DataFrame, buckets: int) -> DataFrame:
@@ -56,11 +58,12 @@ FACT_TIE_BREAK = ("transaction_date", "product_id", "employee_id", "customer_id"
 
 
 def fact_sales(rows: DataFrame, newest_by: Sequence[str] = ("loaded_at",)) -> DataFrame:
-    """The newest version of every sale."""
+    """The newest version of every sale; the batch it came from stays with it."""
     order = (*newest_by, *(name for name in FACT_TIE_BREAK if name not in newest_by))
     extra = [name for name in newest_by if name not in FACT_COLUMNS]
     parsed = with_transaction_time(rows.select(*FACT_COLUMNS, *extra))
-    return latest_per_key(parsed, KEY, order).select(*FACT_COLUMNS)
+    kept = [name for name in (*FACT_COLUMNS, *extra) if name in FACT_COLUMNS or name == SOURCE]
+    return latest_per_key(parsed, KEY, order).select(*kept)
 
 
 def with_period(fact: DataFrame, pattern: str) -> DataFrame:

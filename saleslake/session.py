@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslake.sources.files import temporary_folder
+from saleslake.sources.files import qualified, temporary_folder
 
 SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
 _PARTITIONS = "spark.sql.shuffle.partitions"
@@ -69,15 +69,23 @@ def frame_bytes(frame: DataFrame) -> int:
     return int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def shared_by_executors(master: str, address: str) -> bool:
+    """Whether a folder is certain to be one for all executors."""
+    return not address.startswith("file:") or master == "local" or master.startswith("local[")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables, in the folder the cluster shares.
 
     It is removed when the application ends. The place is ``spark.checkpoint.dir``, or,
-    where that is not set, a folder of the warehouse, which executors share as well.
+    where that is not set, a folder of the warehouse. On a cluster a warehouse in the local
+    file system is refused, as executors may not share it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+        if not shared_by_executors(spark.sparkContext.master, qualified(spark, base)):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return temporary_folder(spark, f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
 
 

@@ -7,7 +7,7 @@ JSON array each. Dated folders, ``ingest_date=YYYY-MM-DD/part-*``, as written by
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -23,6 +23,19 @@ class NoLandingFile(LookupError):
     """There is no landing file for the prefix that was asked for."""
 
 
+FILE_COLUMNS = ("path", "source_file", "received_at", "n_bytes")
+
+
+def described(files: DataFrame) -> DataFrame:
+    """The columns of files listed as binary files: path, source_file, received_at, n_bytes."""
+    return files.select(
+        "path",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("received_at"),
+        F.col("length").alias("n_bytes"),
+    )
+
+
 def manifest(
     spark: SparkSession, root: str, prefix: str | None = None, suffix: str | None = ".json"
 ) -> DataFrame:
@@ -34,18 +47,8 @@ def manifest(
     bronze keeps. The scan lists files only; contents are not a column of the plan.
     """
     base = qualified(spark, root)
-    named = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select(
-            "path",
-            F.substr("path", F.lit(len(base) + 2)).alias("name"),
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("_metadata.file_modification_time").alias("received_at"),
-            F.col("length").alias("n_bytes"),
-        )
-    )
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    named = described(listed).withColumn("name", F.substr("path", F.lit(len(base) + 2)))
     if prefix is not None:
         named = named.where(F.col("name").startswith(f"{prefix}_"))
     if suffix is not None:
@@ -72,6 +75,7 @@ def read_landing(
     schema: T.StructType,
     fmt: str = "json",
     multi_line: bool = False,
+    sizes: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Rows of landing files with the given schema, their file and its arrival time.
 
@@ -96,32 +100,67 @@ def read_landing(
     raise ValueError(f"unsupported landing format: {fmt!r}")
 
 
-def json_records(texts: DataFrame, schema: T.StructType) -> DataFrame:
+_RECORDS = "map<string,array<map<string,string>>>"
+
+
+def json_records(texts: DataFrame, schema: T.StructType, lists: bool = True) -> DataFrame:
     """The records of texts (lines, or whole files) of one JSON value each.
 
-    A text between brackets is a list of just its values, so that a second value cannot be
-    passed over, as a reader that stops after the first one would do. A record is read as a map
-    of its attributes as they are written: those of the schema become columns, and the rest is
-    kept as JSON text, nested values as text in it.
+    A record is read as a map of its attributes as they are written: those of the schema become
+    columns, and the rest is kept as JSON text, nested values as text in it.
+
+    A reader stops after the first value of a text. So a text is read inside an object that ends
+    with the text's own hash, which nothing can stand in for: one pass gives the records and shows
+    that the text was read to its end. What cannot be read so (values that are no records, broken
+    texts) is taken apart value by value. Without ``lists`` a list is such a value too.
     """
+    marked = F.col("value").startswith("\ufeff")  # a byte order mark
+    whole = F.when(marked, F.substr("value", F.lit(2))).otherwise(F.col("value"))
+    listed = F.ltrim(whole).startswith("[") & F.lit(lists)
+    mark = F.xxhash64(whole).cast("string")
+    body = F.when(listed, whole).otherwise(F.concat(F.lit("["), whole, F.lit("]")))
+    framed = F.concat(F.lit('{"records":'), body, F.lit(',"end":[{"mark":"'), mark, F.lit('"}]}'))
+    files = with_received_at(texts) if "source_file" not in texts.columns else texts
+    files = files.select("source_file", "received_at", whole.alias("value"), listed.alias("listed"), mark.alias("mark"), F.from_json(framed, _RECORDS).alias("read"))
+    found = F.try_element_at("read", F.lit("records"))
+    end = F.try_element_at("read", F.lit("end"))
+    read = (
+        (F.size("read") == 2)
+        & (F.try_element_at(F.get(end, F.lit(0)), F.lit("mark")) == F.col("mark"))
+        & (F.col("listed") | (F.size(found) <= 1))
+    )
+    files = files.withColumn("done", F.coalesce(read, F.lit(False)))
+    # the others: a text between brackets is a list of just its values
     values = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>")
-    files = with_received_at(texts).withColumn("values", values)
+    files = files.withColumn("values", F.when(~F.col("done"), values))
     one = F.get("values", F.lit(0))
-    listed = F.when(F.ltrim(one).startswith("["), F.from_json(one, "array<string>"))
-    broken = F.col("values").isNull() | (F.size("values") > 1)
-    records = (
-        F.when(broken, F.array("value"))
-        .when(F.size("values") == 0, F.array().cast("array<string>"))
-        .otherwise(F.coalesce(listed, F.array(one)))
+    inner = F.when(F.ltrim(one).startswith("[") & F.lit(lists), F.from_json(one, "array<string>"))
+    broken = ~F.col("done") & (F.col("values").isNull() | (F.size("values") > 1))
+    nothing = F.array().cast("array<string>")
+    apart = (
+        F.when(F.col("done"), nothing)
+        .when(broken, F.array("value"))
+        .when(F.size("values") == 0, nothing)
+        .otherwise(F.transform(F.coalesce(inner, F.array(one)), lambda x: F.coalesce(x, F.lit("null"))))
     )
-    rows = files.select("source_file", "received_at", broken.alias("broken"), F.explode(records).alias("text"))
-    parsed = F.when(~F.col("broken"), F.from_json("text", "map<string,string>"))
-    rows = rows.withColumn("parsed", parsed)
-    corrupt = F.when(F.col("parsed").isNull(), F.coalesce("text", F.lit("null")))
+    maps = F.when(F.col("done"), found).otherwise(F.array().cast("array<map<string,string>>"))
+    pairs = F.arrays_zip(maps.alias("m"), apart.alias("t"))
+    # an outer one: for others the optimizer adds a filter that reads the text once more
+    rows = files.select(
+        "source_file", "received_at", "done", broken.alias("broken"), F.explode_outer(pairs).alias("pair")
+    ).where(F.col("pair").isNotNull())
+    alone = F.when(~F.col("done") & ~F.col("broken"), F.from_json("pair.t", "map<string,string>"))
+    rows = rows.select(
+        "source_file", "received_at", F.coalesce("pair.m", alone).alias("parsed"),
+        F.coalesce("pair.t", F.lit("null")).alias("text"),
+    )
+    corrupt = F.when(F.col("parsed").isNull(), F.col("text"))
     names = [field.name for field in schema]
+    columns = {name: F.try_element_at("parsed", F.lit(name)) for name in names}
+    known = reduce(Column.__add__, [value.isNotNull().cast("int") for value in columns.values()])
     rest = F.map_filter("parsed", lambda name, _: ~name.isin(names))
-    columns = [F.try_element_at("parsed", F.lit(name)).alias(name) for name in names]
-    other = F.when(F.size(rest) > 0, F.to_json(rest))
+    other = F.when(F.size("parsed") > known, F.when(F.size(rest) > 0, F.to_json(rest)))
+    columns = [value.alias(name) for name, value in columns.items()]
     return typed(rows.select(*columns, corrupt.alias(CORRUPT), other.alias(OTHER), "source_file", "received_at"), schema)
 
 
@@ -148,8 +187,6 @@ def read_latest(
 def pending_files(files: DataFrame, loaded: DataFrame) -> DataFrame:
     """Objects not loaded yet. An object replaced under its name is a new one.
 
-    ``loaded`` has ``source_file`` and ``received_at``, as bronze does. The comparison
-    is per file, not per row.
+    ``loaded`` has a row for each ``source_file`` and ``received_at``.
     """
-    done = loaded.select("source_file", "received_at").distinct()
-    return files.join(done, ["source_file", "received_at"], "left_anti")
+    return files.join(loaded, ["source_file", "received_at"], "left_anti")

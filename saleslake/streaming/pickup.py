@@ -1,29 +1,36 @@
-"""New files of a dated landing folder, each loaded once."""
+"""New files of a dated landing folder, each loaded once.
+
+The stream carries the names of files alone. What a piece names is compared with the files that
+bronze holds and then read once, as a batch. The stream's checkpoint spares the comparison of old
+names; what counts as loaded is told by bronze, so a lost checkpoint loses and repeats nothing,
+and files whose batch was taken back are loaded again.
+"""
 
 from __future__ import annotations
 
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from saleslake.functions.stamp import as_utc
-from saleslake.plans.lake import CLOCK_MARGIN, Lake
-from saleslake.schemas import FEEDS
+from saleslake.plans.lake import Lake, load_files
 from saleslake.sinks import bronze
-from saleslake.sources.landing import json_records
+from saleslake.sources.landing import FILE_COLUMNS, described, manifest
+
+MAX_FILES = 100_000
 
 
-def landing_stream(lake: Lake, feed: str, root: str, max_files: int) -> DataFrame:
-    """Rows of new landing files, with their file and its arrival time."""
-    texts = (
-        lake.spark.readStream.option("recursiveFileLookup", True)
+def landing_stream(lake: Lake, root: str, max_files: int) -> DataFrame:
+    """Names, arrival times and sizes of new landing files; no contents."""
+    files = (
+        lake.spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
         # No file is too old, seen from the newest one: a century stands for no limit.
         .option("maxFileAge", "36500d")
-        .text(root)
+        .load(root)
     )
-    return json_records(texts, FEEDS[feed])
+    return described(files).select(*FILE_COLUMNS)
 
 
 def pick_up(
@@ -31,53 +38,26 @@ def pick_up(
 ) -> None:
     """Append all files that arrived since the last call, then stop.
 
-    The stream's checkpoint, in the lake's own folder, remembers the files and numbers
-    the pieces. Files that bronze holds are left out of a piece that comes again, be it
-    after a failure before its commit or because the checkpoint was lost, so every file
-    is loaded once. A file that is gone before it was read is an error.
+    Also loaded are files that were taken back (undone, purged, or of a run that died) and are
+    still there as they were. Pieces have at most ``max_files`` files, whose names pass the
+    driver. A file that is gone before it was read is an error.
     """
-    table = lake.table("bronze", feed)
+    if not 0 < max_files <= MAX_FILES:
+        raise ValueError(f"max_files must be 1 to {MAX_FILES}")
+    back = bronze.files_taken_back(lake.spark, lake.table("bronze", feed))
+    if back is not None:
+        listed = manifest(lake.spark, root, suffix=None)
+        again = listed.join(back, ["source_file", "received_at"], "left_semi")
+        load_files(lake, again, feed, run_ts, max_files=max_files)
 
     def append(piece: DataFrame, number: int) -> None:
-        new = _not_loaded(lake, table, piece, run_ts)
-        if new is not None:
-            bronze.append_batch(new, table, run_ts, f"{root} {_files_of(new)}")
+        load_files(lake, piece, feed, run_ts)
 
     (
-        landing_stream(lake, feed, root, max_files)
+        landing_stream(lake, root, max_files)
         .writeStream.foreachBatch(append)
         .option("checkpointLocation", lake.path("checkpoints", feed))
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
-    # The stream wrote through a session of its own.
-    lake.spark.catalog.refreshTable(table)
-
-
-def _not_loaded(lake: Lake, table: str, piece: DataFrame, run_ts: datetime) -> DataFrame | None:
-    """The rows of a piece whose files bronze does not hold; None when there are none.
-
-    At most ``max_files`` names, those of the piece that bronze does hold, pass the driver.
-    """
-    at = F.unix_micros("received_at").alias("received_micros")
-    oldest = piece.agg(F.min("received_at")).first()[0]
-    if oldest is None:
-        return None
-    # a run's time may be behind that of its files, when it is made up for
-    since = min(oldest.astimezone(), as_utc(run_ts)) - CLOCK_MARGIN
-    done = bronze.files_loaded_since(lake.spark.table(table), since).select("source_file", at).distinct()
-    both = ["source_file", "received_micros"]
-    again = piece.select("source_file", at).distinct().join(done, both).collect()
-    if not again:
-        return piece
-    names = piece.sparkSession.createDataFrame(again, "source_file string, received_micros long")
-    new = piece.select("*", at).join(names, both, "left_anti").select(*piece.columns)
-    return None if new.isEmpty() else new
-
-
-def _files_of(rows: DataFrame) -> str:
-    """A digest of the files of a piece, at most ``max_files`` names."""
-    name = F.concat_ws(" ", "source_file", F.col("received_at").cast("string"))
-    names = rows.select(name.alias("name")).distinct()
-    return names.agg(F.md5(F.array_join(F.sort_array(F.collect_list("name")), "\n"))).first()[0]
