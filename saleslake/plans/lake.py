@@ -43,6 +43,7 @@ from saleslake.sources.registry import Registry, Source
 LAYERS = ("silver", "gold")
 _FEED_OF = {"dim_customer": "customer", "dim_employee": "employee", "dim_product": "product"}
 _READ = "saleslake.read_batches"
+_NEWEST_READ = "saleslake.newest_read_batch"
 _BUCKETS = "saleslake.buckets"
 _FACT_VERSION = "saleslake.fact_version"
 
@@ -131,9 +132,11 @@ def ingest_pending(
     feed: str | None = None,
     multi_line: bool = True,
     fmt: str = "json",
+    suffix: str | None = None,
 ) -> str | None:
-    """Append every landing object of the format that bronze does not hold yet."""
-    listed = manifest(lake.spark, root, prefix, f".{fmt}")
+    """Append every landing object of the format that bronze does not hold yet; its name ends
+    with the format's unless another ``suffix`` is given."""
+    listed = manifest(lake.spark, root, prefix, suffix or f".{fmt}")
     return load_files(lake, listed, feed or prefix, run_ts, multi_line, fmt)
 
 
@@ -201,15 +204,18 @@ def latest_sample(lake: Lake, root: str, prefix: str, run_ts: datetime, n: int =
 
 @dataclass(frozen=True)
 class Changes:
-    """What bronze has for a target that it has not read, and what it has lost."""
+    """What bronze has for a target that it has not read, and what it has lost. ``late`` tells
+    that a run was read which is later than a new one."""
 
     new: list[str]
     undone: set[int]
     read: set[int]
     left: list[str]
+    late: bool
+    newest: str
 
     def properties(self) -> dict[str, str]:
-        return {_READ: bronze.as_ranges(self.read)}
+        return {_READ: bronze.as_ranges(self.read), _NEWEST_READ: self.newest}
 
 
 def _changes(lake: Lake, target: ReplacedTable, feed: str) -> Changes | None:
@@ -217,12 +223,15 @@ def _changes(lake: Lake, target: ReplacedTable, feed: str) -> Changes | None:
     batches that were undone; None when there are neither."""
     table = lake.table("bronze", feed)
     held = bronze.batches(lake.spark, table)
-    read = bronze.from_ranges(target.properties().get(_READ, ""))
+    properties = target.properties()
+    read = bronze.from_ranges(properties.get(_READ, ""))
     undone = bronze.undone_batches(lake.spark, table) & read
     new = sorted(held[n] for n in set(held) - read)
     if not new and not undone:
         return None
-    return Changes(new, undone, (read | set(held)) - undone, sorted(held.values()))
+    newest_read = max(properties.get(_NEWEST_READ, ""), *(held[n] for n in set(held) & read), "")
+    late = bool(new) and new[0] < newest_read
+    return Changes(new, undone, (read | set(held)) - undone, sorted(held.values()), late, max([newest_read, *new]))
 
 
 def _bronze_rows(lake: Lake, feed: str, names: list[str]) -> DataFrame:
@@ -239,7 +248,8 @@ def _winners(lake: Lake, target: ReplacedTable, feed: str, found: Changes, newes
     A batch of a run that comes late loses against rows of later runs.
     """
     staged = f"{target.work}/batch"
-    batch = write_out(newest(_bronze_rows(lake, feed, found.new)), f"{staged}/new")
+    batch = newest(_bronze_rows(lake, feed, found.new))
+    batch = write_out(batch, f"{staged}/new")
     fit_to_input(lake.spark, _stored_bytes(target))
     keys, of = batch.select(KEY), target.read()
     candidates = batch
@@ -251,6 +261,8 @@ def _winners(lake: Lake, target: ReplacedTable, feed: str, found: Changes, newes
         candidates = candidates.unionByName(newest(again))
         keys = keys.unionByName(lost).distinct()
     replaced = write_out(rows_replaced(within_key_range(of, keys, KEY), keys, KEY), f"{staged}/replaced")
+    if not found.undone and not found.late:
+        return batch, replaced, staged
     standing = replaced
     if found.undone:
         standing = replaced.where(~bronze.number_of(F.col(models.SOURCE)).isin(sorted(found.undone)))
@@ -430,8 +442,10 @@ def bronze_report(lake: Lake) -> DataFrame:
         rows = lake.spark.table(table).where(F.col(bronze.BATCH).isin(others))
         seen = rows.agg(*(F.count_if(condition).alias(_line(check)) for check, condition in checks.items()))
         total = total.unionByName(seen.unpivot([], seen.columns, "counted", "n"))
+    names = ("counted", "check_name", "table_name", "column_name")
     lines = [(_line(check), check.name, "raw_sales", check.column) for check in checks]
-    report = lake.spark.createDataFrame(lines, "counted string, check_name string, table_name string, column_name string")
+    structs = [F.struct(*(F.lit(value).alias(name) for name, value in zip(names, line, strict=True))) for line in lines]
+    report = lake.spark.range(1).select(F.inline(F.array(*structs)))
     failures = report.join(total, "counted", "left").groupBy("check_name", "table_name", "column_name").agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("failures")
     )

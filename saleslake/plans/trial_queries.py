@@ -15,12 +15,12 @@ from saleslake.operators import quality
 from saleslake.operators.upsert import latest_per_key, merge_batch
 from saleslake.plans import lake as lakes
 from saleslake.plans import models, trial_tables as trial
-from saleslake.schemas import CONTRACT, FEEDS, OTHER
+from saleslake.schemas import CONTRACT, CORRUPT, FEEDS, OTHER
 from saleslake.session import work_dir, write_out
 from saleslake.sinks import bronze
 from saleslake.sinks.landing import DAY, purge_days, write_landing
 from saleslake.sinks.warehouse import first_rows
-from saleslake.sources.landing import manifest, read_landing
+from saleslake.sources.landing import SPLIT_BYTES, manifest, read_landing
 from saleslake.sources.seed import load_seed
 from saleslake.streaming.pickup import pick_up
 
@@ -31,6 +31,7 @@ NEXT_RUN_TS = RUN_TS + timedelta(hours=1)
 CUT = "1999-01-01"
 IDS_OF_OBJECT = 10_000
 NOW = "2024-01-31 12:00:00"
+NOTE = 'a "b" \\ } ] , {['
 
 
 def _shown(rows: DataFrame) -> DataFrame:
@@ -326,6 +327,74 @@ def reingest_after_undo(spark: SparkSession, sf: str) -> DataFrame:
     return _bronze_rows(lake)
 
 
+def _land_arrays(lake: lakes.Lake, rows: DataFrame) -> str:
+    """Objects of one JSON array each, of the sales whose ids are of a range."""
+    path = lake.path("landing", "sales_arrays")
+    ranged = rows.withColumn("part", F.floor(F.col("id") / IDS_OF_OBJECT))
+    arrays = ranged.groupBy("part").agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    return path
+
+
+def empty_object_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects of sales and one without a record, in two runs of ingest: files and rows of each batch."""
+    lake, now = _new_lake(spark), datetime.now(timezone.utc)
+    _land_arrays(lake, trial.landed_sales(spark, sf).drop("loaded_at"))
+    spark.range(1).select(F.lit("[]").alias("value")).write.text(lake.path("landing", "sales_none"))
+    for run in range(2):
+        lakes.ingest_pending(lake, lake.path("landing"), "sales", now + timedelta(hours=run), suffix=".txt")
+    table = lake.table("bronze", "sales")
+    files = bronze.loaded_files(spark, table).groupBy(bronze.BATCH).agg(F.count("*").alias("n_files"))
+    rows = spark.table(table).groupBy(bronze.BATCH).agg(F.count("*").alias("n_rows"), F.count_distinct("id").alias("n_ids"))
+    return files.join(rows, bronze.BATCH, "left").select("n_files", "n_rows", "n_ids")
+
+
+def arrays_in_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales in objects of one JSON array each, with brackets, quotes and backslashes in their
+    texts, read in blocks as large ones are."""
+    lake = _new_lake(spark)
+    sales = trial.landed_sales(spark, sf).drop("loaded_at").withColumn("note", F.lit(NOTE))
+    path = _land_arrays(lake, sales)
+    paths = [r["path"] for r in manifest(spark, path, suffix=".txt").select("path").collect()]
+    sizes = {path: SPLIT_BYTES + 1 for path in paths}
+    rows = read_landing(spark, paths, FEEDS["sales"], multi_line=True, sizes=sizes)
+    note = F.get_json_object(OTHER, "$.note").alias("note")
+    return _shown(rows.select(*models.FACT_COLUMNS, note, F.col(CORRUPT).isNull().alias("fits")))
+
+
+def pick_up_after_undo(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs, the second undone and then picked up again from the same files."""
+    lake = _new_lake(spark)
+    _land_and_pick_up(lake, sf, RUN_TS, first=True)
+    _land_and_pick_up(lake, sf, NEXT_RUN_TS, first=False)
+    bronze.undo_last_batch(spark, lake.table("bronze", "sales"))
+    pick_up(lake, "sales", lake.path("landing", "sales"), NEXT_RUN_TS)
+    return _bronze_rows(lake)
+
+
+def undo_reaches_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold after a second run was undone that silver and gold had read."""
+    lake = _new_lake(spark)
+    _land_and_pick_up(lake, sf, RUN_TS, first=True)
+    lakes.run(lake)
+    _land_and_pick_up(lake, sf, NEXT_RUN_TS, first=False)
+    lakes.run(lake)
+    bronze.undo_last_batch(spark, lake.table("bronze", "sales"))
+    lakes.run(lake)
+    return lake.gold().read()
+
+
+def late_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored fact where the run of the older sales came after that of the newer ones."""
+    lake = _new_lake(spark)
+    for run_ts, first in ((NEXT_RUN_TS, False), (RUN_TS, True)):
+        _land_and_pick_up(lake, sf, run_ts, first)
+        lakes.build_fact(lake)
+    day = F.to_date("transaction_date").alias("sales_date")
+    rows = lake.silver("fact_sales").read()
+    return _shown(rows.select("id", "customer_id", "employee_id", "product_id", "amount_paid", day))
+
+
 def bronze_undo(spark: SparkSession, sf: str) -> DataFrame:
     """Two load runs, the second of which is taken back."""
     lake = _new_lake(spark)
@@ -503,5 +572,10 @@ QUERIES: dict[str, Query] = {
         reingest_after_undo,
         checks_with_a_missing_table,
         lake_freshness,
+        empty_object_once,
+        arrays_in_blocks,
+        pick_up_after_undo,
+        undo_reaches_gold,
+        late_run,
     )
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from saleslake.plans.trial_queries import CUT, IDS_OF_OBJECT, NEXT_RUN_TS, NOW, RUN_TS
+from saleslake.plans.trial_queries import CUT, IDS_OF_OBJECT, NEXT_RUN_TS, NOTE, NOW, RUN_TS
 
 _RAW = """
 raw_sales AS (
@@ -207,7 +207,15 @@ SELECT check_name, table_name, column_name,
        CASE WHEN table_name NOT LIKE 'dim%' THEN failures END AS failures,
        CASE WHEN table_name NOT LIKE 'dim%' AND failures = 0 THEN 'pass' ELSE 'fail' END AS status
 FROM ({_report_lines()})""",
+    "empty_object_once": f"""WITH {_RAW}
+SELECT count(DISTINCT id // {IDS_OF_OBJECT}) + 1 AS n_files, count(*) AS n_rows, count(DISTINCT id) AS n_ids FROM raw_sales""",
+    "arrays_in_blocks": f"WITH {_RAW} SELECT {_LANDED}, '{NOTE}' AS note, TRUE AS fits FROM raw_sales",
+    "pick_up_after_undo": f"""WITH {_RAW} SELECT {_LANDED},
+  CASE WHEN loaded_at < TIMESTAMP '{CUT}' THEN {_FIRST} ELSE {_SECOND} END AS loaded_at FROM raw_sales""",
     "lake_freshness": f"""WITH {_RAW}
 SELECT max({_FIRST}) AS last_loaded_at, CAST(10800 AS BIGINT) AS age_seconds, 'warn' AS status
 FROM raw_sales WHERE loaded_at < TIMESTAMP '{CUT}'""",
 }
+# The second run of these is undone, or left out of gold; or comes first, but still counts as the later one.
+ORACLE_SQL["undo_reaches_gold"] = ORACLE_SQL["silver_without_gold"]
+ORACLE_SQL["late_run"] = ORACLE_SQL["lake_fact_sales"]

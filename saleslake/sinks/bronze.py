@@ -17,8 +17,9 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Collection, Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +39,7 @@ _STAMPS = (
 )
 FILE = "source_file STRING, received_at TIMESTAMP"
 _COUNT = "counted STRING, n BIGINT"
+_ARROW = {"STRING": pa.string(), "BIGINT": pa.int64(), "TIMESTAMP": pa.timestamp("us", "UTC")}
 
 
 def run_stamp(run_ts: datetime) -> str:
@@ -99,7 +101,10 @@ def _beside(table: str, what: str) -> str:
 def _write_beside(spark: SparkSession, table: str, what: str, batch: str, columns: str, rows: Collection[tuple]) -> None:
     name = _beside(table, what)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {BATCH} STRING) USING parquet PARTITIONED BY ({BATCH})")
-    frame = spark.createDataFrame(list(rows), columns.lower()).coalesce(1)
+    names, kinds = zip(*(column.split() for column in columns.split(", ")), strict=True)
+    # a local table: no tasks are needed to make it
+    local = pa.table([pa.array(values, _ARROW[kind]) for values, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+    frame = spark.createDataFrame(local).coalesce(1)
     spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({BATCH} = '{batch}') SELECT * FROM {{frame}}", frame=frame)
 
 
@@ -129,7 +134,8 @@ def append_batch(
     former = own.first()
     new = former[BATCH] if former else f"{stamp}-{_next_number(spark, table):09d}-{mark}"
     if files is not None:
-        _write_beside(spark, table, "files", new, FILE, files)
+        # instants: what Spark hands out as the driver's clock readings
+        _write_beside(spark, table, "files", new, FILE, [(name, at.astimezone(timezone.utc)) for name, at in files])
     if OTHER not in rows.columns:
         rows = rows.withColumn(OTHER, F.lit(None).cast("string"))
     columns = [name for name in spark.table(table).columns if name != BATCH]
@@ -150,7 +156,8 @@ def _of_live_batches(spark: SparkSession, table: str, what: str, columns: str) -
     """The rows beside a table that belong to batches which the catalog lists."""
     name = _beside(table, what)
     if not spark.catalog.tableExists(name):
-        return spark.createDataFrame([], f"{columns.lower()}, {BATCH} string")
+        empty = (column.split() for column in f"{columns}, {BATCH} STRING".split(", "))
+        return spark.range(0).select(*(F.lit(None).cast(kind).alias(column) for column, kind in empty))
     return spark.table(name).join(_batches(spark, table), BATCH, "left_semi")
 
 

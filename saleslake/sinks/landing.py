@@ -19,19 +19,28 @@ def write_landing(rows: DataFrame, root: str, day: date | str | None = None, fmt
     Without ``day`` the rows carry their own ``ingest_date`` column. Rows of one day
     are brought together first, so that a wide job does not leave one small file per
     task and day; adaptive execution splits a day that is large.
+
+    A write that fails leaves what was there: new files are put beside the former ones by the
+    job's commit, and only then do the former go. A driver that dies between the two leaves both;
+    the day's next write removes them.
     """
     if fmt not in ("json", "csv"):
         raise ValueError(f"unsupported landing format: {fmt!r}")
+    spark = rows.sparkSession
     if day is not None:
         # the folder itself, so that a day without rows replaces what was there too
-        writer, path = rows.drop(DAY).write, f"{root.rstrip('/')}/{DAY}={day}"
+        path = f"{root.rstrip('/')}/{DAY}={day}"
+        former = files.files_in(spark, path)
+        writer = rows.drop(DAY).write.mode("append")
     else:
         by_day = rows.hint("rebalance", DAY).write.partitionBy(DAY)
-        writer, path = by_day.option("partitionOverwriteMode", "dynamic"), root
-    writer = writer.mode("overwrite").format(fmt)
+        # staged by the job and put in place by its commit
+        writer, path, former = by_day.option("partitionOverwriteMode", "dynamic").mode("overwrite"), root, []
+    writer = writer.format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.save(path)
+    files.delete_all(spark, former)
 
 
 def undo_latest_object(spark: SparkSession, root: str, prefix: str) -> str:
@@ -54,10 +63,8 @@ def purge_objects(spark: SparkSession, root: str, prefix: str, confirm: bool = F
     """Remove every named object of the prefix, whatever its suffix; return how many."""
     if not confirm:
         raise PermissionError(f"purging {prefix}_* under {root} needs confirm=True")
-    removed = 0
-    for row in manifest(spark, root, prefix, suffix=None).select("path").toLocalIterator():
-        removed += files.delete(spark, row["path"])
-    return removed
+    paths = [row["path"] for row in manifest(spark, root, prefix, suffix=None).select("path").collect()]
+    return files.delete_all(spark, paths)
 
 
 def purge_days(spark: SparkSession, root: str, confirm: bool = False) -> bool:

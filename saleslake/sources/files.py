@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
+_DELETED_AT_ONCE = 16
+
 
 def _resolve(spark: SparkSession, uri: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
@@ -29,6 +34,23 @@ def delete(spark: SparkSession, uri: str) -> bool:
     return fs.delete(path, True)
 
 
+def files_in(spark: SparkSession, uri: str) -> list[str]:
+    """The data files of one folder, by their full addresses; none where there is no folder."""
+    path, fs = _resolve(spark, uri)
+    if not fs.exists(path):
+        return []
+    listed = [status.getPath() for status in fs.listStatus(path) if status.isFile()]
+    return [found.toString() for found in listed if not found.getName().startswith(("_", "."))]
+
+
+def delete_all(spark: SparkSession, uris: Sequence[str]) -> int:
+    """Remove files, several at a time; how many were there."""
+    if not uris:
+        return 0
+    with ThreadPoolExecutor(max_workers=_DELETED_AT_ONCE) as pool:
+        return sum(pool.map(lambda uri: delete(spark, uri), uris))
+
+
 def qualified(spark: SparkSession, uri: str) -> str:
     """The full address of a file or folder, as listings spell it."""
     path, fs = _resolve(spark, uri)

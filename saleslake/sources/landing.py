@@ -16,9 +16,13 @@ from pyspark.sql import types as T
 
 from saleslake.functions.stamp import with_received_at
 from saleslake.schemas import CORRUPT, OTHER, with_corrupt
+from saleslake.sources.arrays import array_values
 from saleslake.sources.files import qualified
 
 
+SPLIT_BYTES = 64 << 20
+
+
 class NoLandingFile(LookupError):
     """There is no landing file for the prefix that was asked for."""
 
@@ -86,12 +90,22 @@ def read_landing(
 
     Without ``multi_line``, a line holds a record or an array of records. With it, a
     file holds one array or record, over any number of lines. The whole text of a line or
-    file that holds anything else is kept in ``_corrupt_record``.
+    file that holds anything else is kept in ``_corrupt_record``. With the files' ``sizes`` an
+    array of more than ``SPLIT_BYTES`` is read by many tasks (:mod:`saleslake.sources.arrays`);
+    of one that is broken only the values around the break are corrupt.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("recursiveFileLookup", True)
+    if fmt == "json" and multi_line:
+        large = [path for path in paths if (sizes or {}).get(path, 0) > SPLIT_BYTES]
+        small = [path for path in paths if path not in set(large)]
+        found, plain = array_values(spark, large) if large else (None, [])
+        parts = [json_records(found, schema, lists=False)] if found is not None else []
+        if small or plain or not parts:
+            parts.append(json_records(reader.text(small + plain or large, wholetext=True), schema))
+        return reduce(DataFrame.unionByName, parts)
     if fmt == "json":
-        return json_records(reader.text(paths, wholetext=multi_line), schema)
+        return json_records(reader.text(paths), schema)
     if fmt == "csv":
         rows = reader.schema(with_corrupt(schema)).csv(
             paths, header=True, enforceSchema=False, multiLine=multi_line, columnNameOfCorruptRecord=CORRUPT
@@ -116,12 +130,14 @@ def json_records(texts: DataFrame, schema: T.StructType, lists: bool = True) ->
     """
     marked = F.col("value").startswith("\ufeff")  # a byte order mark
     whole = F.when(marked, F.substr("value", F.lit(2))).otherwise(F.col("value"))
-    listed = F.ltrim(whole).startswith("[") & F.lit(lists)
+    listed = whole.rlike(r"^[ \t\r\n]*\[") & F.lit(lists)
     mark = F.xxhash64(whole).cast("string")
     body = F.when(listed, whole).otherwise(F.concat(F.lit("["), whole, F.lit("]")))
     framed = F.concat(F.lit('{"records":'), body, F.lit(',"end":[{"mark":"'), mark, F.lit('"}]}'))
     files = with_received_at(texts) if "source_file" not in texts.columns else texts
-    files = files.select("source_file", "received_at", whole.alias("value"), listed.alias("listed"), mark.alias("mark"), F.from_json(framed, _RECORDS).alias("read"))
+    files = files.select(
+        "source_file", "received_at", whole.alias("value"), listed.alias("listed"), mark.alias("mark"), framed.alias("framed")
+    ).withColumn("read", F.from_json("framed", _RECORDS))
     found = F.try_element_at("read", F.lit("records"))
     end = F.try_element_at("read", F.lit("end"))
     read = (
@@ -130,18 +146,18 @@ def json_records(texts: DataFrame, schema: T.StructType, lists: bool = True) ->
         & (F.col("listed") | (F.size(found) <= 1))
     )
     files = files.withColumn("done", F.coalesce(read, F.lit(False)))
-    # the others: a text between brackets is a list of just its values
-    values = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>")
-    files = files.withColumn("values", F.when(~F.col("done"), values))
-    one = F.get("values", F.lit(0))
-    inner = F.when(F.ltrim(one).startswith("[") & F.lit(lists), F.from_json(one, "array<string>"))
-    broken = ~F.col("done") & (F.col("values").isNull() | (F.size("values") > 1))
-    nothing = F.array().cast("array<string>")
+    # the others, value by value
+    files = files.withColumn("values", F.when(~F.col("done"), F.from_json("framed", "map<string,array<string>>")))
+    single = F.try_element_at("values", F.lit("records"))
+    ended = F.get(F.try_element_at("values", F.lit("end")), F.lit(0)) == F.concat(
+        F.lit('{"mark":"'), F.col("mark"), F.lit('"}')
+    )
+    whole_read = (F.size("values") == 2) & ended & (F.col("listed") | (F.size(single) <= 1))
+    broken = ~F.col("done") & ~F.coalesce(whole_read, F.lit(False))
     apart = (
-        F.when(F.col("done"), nothing)
+        F.when(F.col("done"), F.array().cast("array<string>"))
         .when(broken, F.array("value"))
-        .when(F.size("values") == 0, nothing)
-        .otherwise(F.transform(F.coalesce(inner, F.array(one)), lambda x: F.coalesce(x, F.lit("null"))))
+        .otherwise(F.transform(single, lambda x: F.coalesce(x, F.lit("null"))))
     )
     maps = F.when(F.col("done"), found).otherwise(F.array().cast("array<map<string,string>>"))
     pairs = F.arrays_zip(maps.alias("m"), apart.alias("t"))
@@ -164,6 +180,14 @@ def json_records(texts: DataFrame, schema: T.StructType, lists: bool = True) ->
     return typed(rows.select(*columns, corrupt.alias(CORRUPT), other.alias(OTHER), "source_file", "received_at"), schema)
 
 
+def _cast(text: Column, kind: T.DataType) -> Column:
+    """Text as a value; a whole number may be written with a point and zeros."""
+    value = text.try_cast(kind)
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(value, F.regexp_replace(text, r"\.0+$", "").try_cast(kind))
+    return value
+
+
 def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns read as text, cast to their types.
 
@@ -171,7 +195,7 @@ def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     the text of the whole array to each of its rows. Casting afterwards keeps the text
     of the bad element alone.
     """
-    cast = {field.name: F.col(field.name).try_cast(field.dataType) for field in schema}
+    cast = {field.name: _cast(F.col(field.name), field.dataType) for field in schema}
     misfits = [F.col(name).isNotNull() & value.isNull() for name, value in cast.items()]
     text = F.when(reduce(Column.__or__, misfits), F.to_json(F.struct(*cast)))
     return rows.withColumns({CORRUPT: F.coalesce(CORRUPT, text), **cast})

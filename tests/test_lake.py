@@ -201,6 +201,19 @@ def test_day_is_replaced_and_others_stay(spark, tmp_path):
     assert [r.id for r in spark.read.json(root).collect()] == [1]
 
 
+@pytest.mark.parametrize("day", ["2024-07-20", None])
+def test_a_write_that_fails_leaves_the_day(spark, tmp_path, day):
+    root = str(tmp_path / "days")
+    rows = spark.createDataFrame([(i, "2024-07-20") for i in range(5)], "id long, ingest_date string")
+    landing.write_landing(rows, root, day)
+    failing = rows.withColumn("id", F.when(F.col("id") == 4, F.raise_error(F.lit("bad row"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="bad row"):
+        landing.write_landing(failing, root, day)
+    assert sorted(r.id for r in spark.read.json(root).collect()) == [0, 1, 2, 3, 4]
+    landing.write_landing(rows.where("id < 2"), root, day)
+    assert sorted(r.id for r in spark.read.json(root).collect()) == [0, 1]
+
+
 def test_undo_and_purge_objects(spark, named):
     root = str(named)
     assert landing.undo_latest_object(spark, root, "sales").endswith("sales_dir/x.json")
