@@ -7,13 +7,16 @@ weights of a state sum to one. b is that of h's count: of the training words rea
 of about that count, the share that no other occurrence explains (leave one out). The root's
 arcs are the smoothed word shares of ``base``.
 
-The state after a word depends on the text alone, so a block of texts is traversed at once: the
-weights on each word's path are looked up, then summed left to right.
-
-The model is never in one place. Texts are read in blocks of bounded size; a block asks once for
-each of its distinct n-grams, by 64-bit hash, sending its own training counts along; the
+The whole automaton is never in one place. Texts are read in blocks of bounded size; a block asks
+once for each of its distinct n-grams, by 64-bit hash, sending its own training counts along; the
 requests, dealt evenly by hash, are summed where they meet, and the totals travel back to the
-blocks that asked. Blocks wait as files in the folder that all executors share.
+blocks that asked. From them each block makes the part of the automaton that its texts can reach:
+states, sorted arcs, failure arcs and their weights. Many texts then go through it side by side,
+each carrying its state from word to word. A state is told by at most ``order`` - 1 words, so a
+long text goes in segments, each of which first reads that many words before it, unweighted.
+Blocks wait as files in the folder that all executors share.
+
+N-grams of equal hash would be counted as one: with d distinct ones, some d * d / 2**65 pairs.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ ORDER = 2
 SMOOTHING = 0.1
 BLOCK_BYTES = 32 << 20  # text of a block
 BUCKETS = 48
+SEGMENT = 256  # words of a text that one traverser reads
 _KEY_BYTES = 6
 _SPECIAL = np.array([xxhash.xxh64_intdigest(b"<%d>" % i, 7) for i in range(2)], np.uint64)  # begin, end
 
@@ -209,21 +213,18 @@ def _totals(key: tuple, rows: pa.Table) -> pa.Table:
     )
 
 
-def _paths(rows: pa.Table, order: int) -> tuple[_Block, list[tuple[np.ndarray, np.ndarray]]]:
-    """A block and, for each n, the totals at each token of the n-gram that ends there and of the
-    state before it (the (n-1)-gram that ends one token earlier); -1 where there is none."""
+def _answered(rows: pa.Table, order: int) -> tuple[_Block, list[tuple[np.ndarray, np.ndarray]]]:
+    """A block and, for each n, the totals of its distinct n-grams and which one ends at a token."""
     block = _load(rows.column("block")[0].as_py())
     rows = rows.sort_by([("n", "ascending"), ("part", "ascending")])
     n_of = rows.column("n").to_numpy()
-    out, last = [], None
-    for n, keys, where, real in block.grams(order):
+    out = []
+    for n, keys, where, _ in block.grams(order):
         data = [t.as_py() for t in rows.column("totals").filter(pa.array(n_of == n))]
         totals = np.frombuffer(b"".join(data), np.int64)
         if len(totals) != len(keys):
             raise ValueError("answers do not match the requests of a block")
-        here = np.where(real, totals[where], -1)
-        out.append((here, None if last is None else np.r_[-1, last[:-1]]))
-        last = here
+        out.append((totals, where))
     return block, out
 
 
@@ -235,12 +236,15 @@ def _singles(order: int):
     """Of training tokens by n and count of the state: how many, and how many seen just there."""
 
     def singles(key: tuple, rows: pa.Table) -> pa.Table:
-        block, paths = _paths(rows, order)
+        block, grams = _answered(rows, order)
         kept = []
-        for n, (here, state) in enumerate(paths[1:], 2):
-            own = block.train & (here >= 0) & (state >= 2)
-            bucket = _bucket(state[own])
-            once = np.bincount(bucket, weights=here[own] == 1, minlength=BUCKETS)
+        for n in range(2, order + 1):
+            (states, state_at), (totals, at) = grams[n - 2 : n]
+            own = np.flatnonzero(block.train & (at >= 0))
+            count = states[state_at[own - 1]]
+            own, count = own[count >= 2], count[count >= 2]
+            bucket = _bucket(count)
+            once = np.bincount(bucket, weights=totals[at[own]] == 1, minlength=BUCKETS)
             every = np.bincount(bucket, minlength=BUCKETS)
             kept += [(n, b, int(every[b]), int(once[b])) for b in np.flatnonzero(every)]
         give_back_memory()
@@ -264,29 +268,111 @@ def _backoffs(rows: list, order: int) -> np.ndarray:
     return out
 
 
+class _Automaton:
+    """The states and arcs that the texts of a block can reach.
+
+    State 0 is the root. Letters are the block's distinct words. The root has an arc for every
+    letter, one of a word that training lacks leads back to it; the arcs of the other states are
+    sorted by (state, letter).
+    """
+
+    def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]], tokens: int, kinds: int, backoffs: np.ndarray):
+        order = len(grams)
+        totals, self.letters = grams[0]
+        sizes = [len(totals) for totals, _ in grams[:-1]]
+        first = np.r_[1, 1 + np.cumsum(sizes, dtype=np.int64)]  # state of the first n-gram of n = 1, 2, ...
+        self.n_letters = len(totals)
+        self.failure = np.zeros(first[-1], np.int64)
+        self.failure_weight = np.zeros(first[-1])
+        weight = (totals + SMOOTHING) / (tokens + SMOOTHING * (kinds + 1))
+        self.root_weight = np.log10(weight)
+        self.root_next = np.where(totals > 0, first[0] + np.arange(len(totals)), 0) if order > 1 else np.zeros(len(totals), np.int64)
+        arcs, weights, nexts = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
+        for n in range(2, order + 1):
+            (states, state_at), (totals, at) = grams[n - 2 : n]
+            backoff = backoffs[n][_bucket(states)]
+            self.failure_weight[first[n - 2] : first[n - 1]] = np.log10(backoff)
+            place = np.zeros(len(totals), np.int64)  # one place where each n-gram ends
+            place[at[at >= 0]] = np.flatnonzero(at >= 0)
+            state, suffix = state_at[place - 1], state_at[place]
+            weight = (1 - backoff[state]) * totals / np.maximum(states[state], 1) + backoff[state] * weight[suffix]
+            to = first[n - 2] + suffix
+            if n < order:
+                self.failure[first[n - 1] : first[n]] = to
+                to = first[n - 1] + np.arange(len(totals))
+            seen = totals > 0
+            arcs.append(((first[n - 2] + state) * self.n_letters + self.letters[place])[seen])
+            weights.append(np.log10(weight[seen]))
+            nexts.append(to[seen])
+        arcs = np.concatenate(arcs)
+        by = np.argsort(arcs)
+        self.arcs, self.weights, self.nexts = arcs[by], np.concatenate(weights)[by], np.concatenate(nexts)[by]
+
+    def read(self, states: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after one letter each, and the weights of the failure arcs and the arc taken."""
+        states, to, gained = states.copy(), np.zeros(len(states), np.int64), np.zeros(len(states))
+        at_root = [np.flatnonzero(states == 0)]
+        going = np.flatnonzero(states)
+        while len(going):
+            arc = states[going] * self.n_letters + letters[going]
+            found = np.minimum(np.searchsorted(self.arcs, arc), max(len(self.arcs) - 1, 0))
+            hit = self.arcs[found] == arc if len(self.arcs) else np.zeros(len(going), bool)
+            taken, found = going[hit], found[hit]
+            gained[taken] += self.weights[found]
+            to[taken] = self.nexts[found]
+            going = going[~hit]
+            gained[going] += self.failure_weight[states[going]]
+            states[going] = self.failure[states[going]]
+            at_root.append(going[states[going] == 0])
+            going = going[states[going] != 0]
+        at_root = np.concatenate(at_root)
+        gained[at_root] += self.root_weight[letters[at_root]]
+        to[at_root] = self.root_next[letters[at_root]]
+        return to, gained
+
+    def scores(self, block: _Block, order: int) -> np.ndarray:
+        """Log10 probability of each text: traversers read one word each, step by step."""
+        pieces = -(-block.sizes // SEGMENT)
+        text = np.repeat(np.arange(len(pieces)), pieces)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        length = np.minimum(block.sizes[text] - number * SEGMENT, SEGMENT)
+        by = np.argsort(-length, kind="stable")  # those that still read are the first ones
+        text, length = text[by], length[by]
+        start = block.starts[text] + number[by] * SEGMENT
+        states, total = np.zeros(len(text), np.int64), np.zeros(len(text))
+        for back in range(order - 1, 0, -1):
+            ready = np.flatnonzero(start - back >= block.starts[text])
+            states[ready], _ = self.read(states[ready], self.letters[start[ready] - back])
+        alive = np.searchsorted(-length, -np.arange(1, SEGMENT + 1), side="right")
+        for step in range(SEGMENT):
+            n = alive[step]
+            if not n:
+                break
+            at = start[:n] + step
+            states[:n], gained = self.read(states[:n], self.letters[at])
+            total[:n] += np.where(block.place[at] > 0, gained, 0)  # the begin mark has no weight
+        return np.bincount(text, weights=total, minlength=len(pieces))
+
+
 def _scores(order: int, tokens: int, kinds: int, backoffs: np.ndarray):
     def scores(key: tuple, rows: pa.Table) -> pa.Table:
-        block, paths = _paths(rows, order)
-        count = paths[0][0]
+        block, grams = _answered(rows, order)
+        automaton = _Automaton(grams, tokens, kinds, backoffs)
+        counts = grams[0][0]
+        del grams
         read = block.place > 0  # the begin mark is not read
-        share = (np.maximum(count, 0) + SMOOTHING) / (tokens + SMOOTHING * (kinds + 1))
-        base = np.log10(share)
-        for n, (here, state) in enumerate(paths[1:], 2):
-            known = (here >= 0) & (state > 0)
-            b = backoffs[n][_bucket(state)]
-            arc = (1 - b) * np.maximum(here, 0) / np.maximum(state, 1) + b * share
-            share = np.where(known, arc, share)
-        sums = lambda x: np.add.reduceat(np.where(read, x, 0), block.starts)
-        give_back_memory()
-        return pa.table(
+        sums = lambda x: np.add.reduceat(np.where(read, x[automaton.letters], 0), block.starts)
+        out = pa.table(
             {
                 "block": pa.array([key[0].as_py()]),
-                "base": pa.array([sums(base).tolist()], pa.list_(pa.float64())),
-                "score": pa.array([sums(np.log10(share)).tolist()], pa.list_(pa.float64())),
-                "known": pa.array([sums((count > 0).astype(np.int64)).tolist()], pa.list_(pa.int64())),
+                "base": pa.array([sums(automaton.root_weight).tolist()], pa.list_(pa.float64())),
+                "score": pa.array([automaton.scores(block, order).tolist()], pa.list_(pa.float64())),
+                "known": pa.array([sums((counts > 0).astype(np.int64)).tolist()], pa.list_(pa.int64())),
                 "n": pa.array([(block.sizes - 1).tolist()], pa.list_(pa.int64())),
             }
         )
+        give_back_memory()
+        return out
 
     return scores
 
@@ -308,14 +394,15 @@ def scored(
     )
     parts = power_of_two(max(16, 2 * rows.rdd.getNumPartitions()))
     blocks = store(_blocks(rows, work_dir(spark, "llm-blocks")), "blocks")
-    requests = _requests(blocks.repartition(max(1, blocks.count())), order, parts.bit_length() - 1)
+    n_blocks = max(1, blocks.count())
+    requests = _requests(blocks.repartition(n_blocks), order, parts.bit_length() - 1)
     answered = requests.repartition(parts, "n", "part").groupBy("n", "part").applyInArrow(
         _totals, "block string, n int, part int, totals binary, tokens long, kinds long"
     )
     answers = store(answered, "answers")
     tokens, kinds = answers.agg(F.sum("tokens"), F.sum("kinds")).first()
     tokens, kinds = tokens or 0, kinds or 0
-    own = answers.where("block IS NOT NULL").select("block", "n", "part", "totals")
+    own = answers.where("block IS NOT NULL").select("block", "n", "part", "totals").repartition(n_blocks, "block")
     seen = own.groupBy("block").applyInArrow(_singles(order), "n int, bucket int, tokens long, once long")
     seen = seen.groupBy("n", "bucket").agg(F.sum("tokens").alias("tokens"), F.sum("once").alias("once")).collect()
     lists = own.groupBy("block").applyInArrow(

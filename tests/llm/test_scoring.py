@@ -6,6 +6,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from saleslake.llm import scoring
@@ -86,6 +87,51 @@ def test_odd_rows(spark, monkeypatch, order, block):
     assert_equal(scoring.scored(frame.repartition(3), order=order, folds=4), plain(ODD, order, 4))
 
 
+def automaton_of(texts, order):
+    """The automaton of one block whose texts are all for training, and the block."""
+    hashes, index, sizes = scoring._tokens(pa.array(texts))
+    block = scoring._Block(hashes, index, sizes, np.ones(len(texts), bool))
+    grams = [(block.counts(keys, where), where) for _, keys, where, _ in block.grams(order)]
+    words = grams[0][0]
+    begin = grams[0][1][block.starts[0]]
+    tokens = int(words.sum() - words[begin])
+    backoffs = np.full((order + 1, scoring.BUCKETS), 0.25)
+    return scoring._Automaton(grams, tokens, len(words) - 1, backoffs), block
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_weights_of_a_state_and_failure_arcs(order):
+    automaton, block = automaton_of(["a b c a b d", "b c b c a", "a b c"], order)
+    # failure arcs shorten a state until the root
+    states = np.arange(1, len(automaton.failure))
+    assert (automaton.failure[states] < states).all()
+    # every state that goes on: its letters' probabilities sum to one, but for unknown words and the begin mark
+    begin = automaton.letters[block.starts[0]]
+    letters = np.delete(np.arange(automaton.n_letters), begin)
+    sources = np.unique(automaton.arcs // automaton.n_letters)
+    assert len(sources) > order
+    spare = 0.1 / (sum(block.sizes - 1) + 0.1 * (len(letters) + 1))
+    for state in [0, *sources]:
+        _, weight = automaton.read(np.full(len(letters), state), letters)
+        passes = 0
+        at = state
+        while at:
+            passes, at = passes + 1, automaton.failure[at]
+        assert (10**weight).sum() == pytest.approx(1 - spare * 0.25**passes)
+
+
+def test_segments_carry_the_state(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(list("abcde"), n)) for n in (0, 1, 7, 8, 9, 40, 333)]
+    for order in (1, 2, 3, 4):
+        automaton, block = automaton_of(texts, order)
+        whole = automaton.scores(block, order)
+        for size in (1, 3, 8):
+            monkeypatch.setattr(scoring, "SEGMENT", size)
+            assert automaton.scores(block, order) == pytest.approx(whole, rel=1e-12)
+        monkeypatch.undo()
+
+
 def test_nothing_to_learn_from_and_empty_table(spark):
     held = [(i, "a b") for i in range(100) if brute.remainder(i, 10) == 0]
     frame = spark.createDataFrame(held, "doc_id long, text string")
