@@ -272,8 +272,8 @@ class _Automaton:
     """The states and arcs that the texts of a block can reach.
 
     State 0 is the root. Letters are the block's distinct words. The root has an arc for every
-    letter, one of a word that training lacks leads back to it; the arcs of the other states are
-    sorted by (state, letter).
+    letter, one of a word that training lacks leads back to it; the arcs of the other states lie
+    by the hash of (state, letter), so that few are looked at to find one.
     """
 
     def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]], tokens: int, kinds: int, backoffs: np.ndarray):
@@ -287,13 +287,15 @@ class _Automaton:
         weight = (totals + SMOOTHING) / (tokens + SMOOTHING * (kinds + 1))
         self.root_weight = np.log10(weight)
         self.root_next = np.where(totals > 0, first[0] + np.arange(len(totals)), 0) if order > 1 else np.zeros(len(totals), np.int64)
-        arcs, weights, nexts = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
+        arcs, weights, nexts = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int32)]
         for n in range(2, order + 1):
             (states, state_at), (totals, at) = grams[n - 2 : n]
             backoff = backoffs[n][_bucket(states)]
             self.failure_weight[first[n - 2] : first[n - 1]] = np.log10(backoff)
-            place = np.zeros(len(totals), np.int64)  # one place where each n-gram ends
-            place[at[at >= 0]] = np.flatnonzero(at >= 0)
+            place = np.zeros(len(totals), np.int32)  # one place where each n-gram ends
+            real = np.flatnonzero(at >= 0).astype(np.int32)
+            place[at[real]] = real
+            del real
             state, suffix = state_at[place - 1], state_at[place]
             weight = (1 - backoff[state]) * totals / np.maximum(states[state], 1) + backoff[state] * weight[suffix]
             to = first[n - 2] + suffix
@@ -303,11 +305,31 @@ class _Automaton:
             seen = totals > 0
             arcs.append(((first[n - 2] + state) * self.n_letters + self.letters[place])[seen])
             weights.append(np.log10(weight[seen]))
-            nexts.append(to[seen])
+            nexts.append(to[seen].astype(np.int32))
         arcs = np.concatenate(arcs)
-        by = np.argsort(arcs)
+        self.shift = np.uint64(63 - len(arcs).bit_length())
+        slots = self._slot(arcs)
+        by = np.argsort(slots).astype(np.int32)
+        self.slots = np.searchsorted(slots[by], np.arange((1 << (64 - int(self.shift))) + 1)).astype(np.int32)
         self.arcs, self.weights, self.nexts = arcs[by], np.concatenate(weights)[by], np.concatenate(nexts)[by]
 
+    def _slot(self, arcs: np.ndarray) -> np.ndarray:
+        return ((arcs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int32)
+
+    def _find(self, arcs: np.ndarray) -> np.ndarray:
+        """The place of each arc; -1 where there is no such arc."""
+        slot = self._slot(arcs)
+        at, end = self.slots[slot], self.slots[slot + 1]
+        found = np.full(len(arcs), -1, np.int32)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            here = at[left]
+            hit = self.arcs[here] == arcs[left]
+            found[left[hit]] = here[hit]
+            at[left] += 1
+            left = left[~hit & (here + 1 < end[left])]
+        return found
+
     def read(self, states: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The states after one letter each, and the weights of the failure arcs and the arc taken."""
         states, to, gained = states.copy(), np.zeros(len(states), np.int64), np.zeros(len(states))
@@ -315,8 +337,8 @@ class _Automaton:
         going = np.flatnonzero(states)
         while len(going):
             arc = states[going] * self.n_letters + letters[going]
-            found = np.minimum(np.searchsorted(self.arcs, arc), max(len(self.arcs) - 1, 0))
-            hit = self.arcs[found] == arc if len(self.arcs) else np.zeros(len(going), bool)
+            found = self._find(arc)
+            hit = found >= 0
             taken, found = going[hit], found[hit]
             gained[taken] += self.weights[found]
             to[taken] = self.nexts[found]
@@ -360,6 +382,7 @@ def _scores(order: int, tokens: int, kinds: int, backoffs: np.ndarray):
         automaton = _Automaton(grams, tokens, kinds, backoffs)
         counts = grams[0][0]
         del grams
+        give_back_memory()
         read = block.place > 0  # the begin mark is not read
         sums = lambda x: np.add.reduceat(np.where(read, x[automaton.letters], 0), block.starts)
         out = pa.table(
