@@ -22,7 +22,7 @@ from saleslake.operators.quality import (
     with_status,
 )
 from saleslake.operators.upsert import rows_replaced, within_key_range
-from saleslake.plans import models
+from saleslake.plans import counting, models
 from saleslake.schemas import CONTRACT, FEEDS, KEY
 from saleslake.session import fit_to_input, frame_bytes, write_out
 from saleslake.sinks import bronze
@@ -45,7 +45,9 @@ _FEED_OF = {"dim_customer": "customer", "dim_employee": "employee", "dim_product
 _READ = "saleslake.read_batches"
 _NEWEST_READ = "saleslake.newest_read_batch"
 _BUCKETS = "saleslake.buckets"
-_FACT_VERSION = "saleslake.fact_version"
+_CHANGES = "saleslake.changes"  # how many change lists of the fact there are, or were counted
+_COUNTS = "saleslake.counts"  # numbers of the folders that hold the reference counts
+COUNTS_MERGED_AT = 16  # folders of reference counts after which they become one
 
 
 @dataclass(frozen=True)
@@ -90,8 +92,7 @@ class Lake:
             self.spark, self.table("silver", model), self.path("work", model), split_by, sort_by=KEY
         )
 
-    def gold(self) -> ReplacedTable:
-        name = "daily_sales_summary"
+    def gold(self, name: str = "daily_sales_summary") -> ReplacedTable:
         return ReplacedTable(self.spark, self.table("gold", name), self.path("work", name), sort_by=models.DAY)
 
     def registry(self) -> Registry:
@@ -276,14 +277,20 @@ def _stored_bytes(target: ReplacedTable) -> int:
 
 
 def _upsert(
-    lake: Lake, target: ReplacedTable, winners: DataFrame, replaced: DataFrame, parts: list[str], properties: dict[str, str]
+    lake: Lake,
+    target: ReplacedTable,
+    winners: DataFrame,
+    replaced: DataFrame,
+    parts: list[str],
+    properties: dict[str, str],
+    noted: dict[str, str] | None = None,
 ) -> int:
     """Write the given partitions of the target again, with the replaced rows exchanged for the winners."""
     current = target.read().where(F.col(target.partition_by).isin(parts))
     fit_to_input(lake.spark, frame_bytes(current) + frame_bytes(winners))
     keys = winners.select(KEY).unionByName(replaced.select(KEY))
     untouched = current.join(keys, KEY, "left_anti")
-    return target.publish(untouched.unionByName(winners), replaced=parts, properties=properties)
+    return target.publish(untouched.unionByName(winners), replaced=parts, properties=properties, noted=noted)
 
 
 def _values(rows: DataFrame, column: str) -> list[str]:
@@ -328,21 +335,19 @@ def build_fact(lake: Lake) -> int:
 
     if not target.exists():
         return target.publish(newest(_bronze_rows(lake, "sales", found.new)), properties=found.properties())
-    version = target.version() + 1
     winners, replaced, staged = _winners(lake, target, "sales", found, newest)
-    place = [F.to_date("transaction_date").alias(models.DAY), models.PERIOD]
-    touched = winners.select(*place).unionByName(replaced.select(*place)).distinct()
-    # added to those of a run that died: it may have replaced some of these rows already
-    touched.write.mode("append").parquet(_touched_path(lake, version))
-    touched = lake.spark.read.schema(touched.schema).parquet(_touched_path(lake, version))
-    _upsert(lake, target, winners, replaced, _values(touched, models.PERIOD), found.properties())
+    # Counts from the note on: the list of a run that dies before it is written again.
+    number = int(target.properties().get(_CHANGES, 0)) + 1
+    changes = write_out(counting.change_list(winners, replaced), _changes_path(lake, number))
+    periods = _values(changes, models.PERIOD)
+    version = _upsert(lake, target, winners, replaced, periods, found.properties(), {_CHANGES: str(number)})
     files.delete(lake.spark, staged)
     return version
 
 
-def _touched_path(lake: Lake, version: int) -> str:
-    """Days whose sales changed with a version of the fact; gold reads them later."""
-    return lake.path("work", "fact_sales", "touched", f"v{version}")
+def _changes_path(lake: Lake, number: int) -> str:
+    """Sales that came and went with a change of the fact; gold reads them later."""
+    return lake.path("work", "fact_sales", "changes", str(number))
 
 
 def build_silver(lake: Lake) -> None:
@@ -358,36 +363,92 @@ def build_silver(lake: Lake) -> None:
 
 
 def build_gold(lake: Lake) -> int:
-    """Sum the days again that changed since gold was last built; return gold's version.
+    """Count what changed in the fact since gold was last built; return gold's version.
 
-    Gold remembers which version of the fact it was built from, so days of a silver
-    run whose gold step failed are picked up by the next one.
+    The fact is read by the first build, and later only for days that lost their smallest or
+    largest amount. The state of the days remembers which changes it has counted, so those of
+    a silver run whose gold step failed are picked up by the next one.
     """
-    fact, gold = lake.silver("fact_sales"), lake.gold()
+    fact, state, gold = lake.silver("fact_sales"), lake.gold("daily_sales_state"), lake.gold()
     if not fact.exists():
         return gold.version()
-    fact.recover()
-    gold.recover()
-    version = fact.version()
-    built = int(gold.properties().get(_FACT_VERSION, 0))
-    if built == version:
+    for target in (fact, state, gold):
+        target.recover()
+    changes = int(fact.properties().get(_CHANGES, 0))
+    if not state.exists():
+        _first_state(lake, fact, state, changes)
+    elif int(state.properties()[_CHANGES]) != changes:
+        _next_state(lake, fact, state, changes)
+    counted = state.properties()[_CHANGES]
+    if gold.properties().get(_CHANGES) == counted:
         return gold.version()
-    if not gold.exists():
-        fit_to_input(lake.spark, _stored_bytes(fact))
-        rows = models.daily_sales_summary(fact.read(), one_scan=False)
+    return gold.publish(counting.summary(state.read()), properties={_CHANGES: counted})
+
+
+def _counts_path(lake: Lake, number: int) -> str:
+    """Reference counts of the changes up to one, from the one before that has a folder."""
+    return lake.path("work", "daily_sales_state", "counts", f"list={number}")
+
+
+def _read_counts(lake: Lake, numbers: list[int]) -> DataFrame:
+    base = lake.path("work", "daily_sales_state", "counts")
+    counts = lake.spark.read.schema(counting.REFERENCE_SCHEMA).option("basePath", base)
+    return counts.parquet(*(_counts_path(lake, n) for n in numbers)).drop("list")
+
+
+def _write_counts(lake: Lake, counts: DataFrame, number: int) -> DataFrame:
+    rows = counts.hint("rebalance", models.PERIOD).sortWithinPartitions(models.PERIOD, models.DAY)
+    rows.write.mode("overwrite").partitionBy(models.PERIOD).parquet(_counts_path(lake, number))
+    return _read_counts(lake, [number])
+
+
+def _first_state(lake: Lake, fact: ReplacedTable, state: ReplacedTable, changes: int) -> None:
+    fit_to_input(lake.spark, _stored_bytes(fact))
+    counts = _write_counts(lake, counting.reference_counts(counting.signed(fact.read(), 1)), changes)
+    rows = counting.first_state(fact.read(), counts)
+    state.publish(rows, properties={_CHANGES: str(changes), _COUNTS: str(changes)})
+
+
+def _next_state(lake: Lake, fact: ReplacedTable, state: ReplacedTable, changes: int) -> None:
+    known = state.properties()
+    numbers = [int(n) for n in known[_COUNTS].split(",")]
+    lists = range(int(known[_CHANGES]) + 1, changes + 1)
+    listed = lake.spark.read.parquet(*(_changes_path(lake, n) for n in lists))
+    fit_to_input(lake.spark, frame_bytes(listed))
+    counts = _read_counts(lake, numbers)
+    more = _write_counts(lake, counting.reference_counts(listed), changes)
+    of_periods = counts.where(F.col(models.PERIOD).isin(_values(listed, models.PERIOD)))
+    days = counting.next_state(state.read(), listed, of_periods, more)
+    work = lake.path("work", "daily_sales_state", "next")
+    days = write_out(days, work)
+    lost = _values(days.where("lost"), models.PERIOD)
+    if lost:
+        days = counting.with_extremes(days, fact.read().where(F.col(models.PERIOD).isin(lost)))
     else:
-        paths = [_touched_path(lake, v) for v in range(built + 1, version + 1)]
-        touched = lake.spark.read.parquet(*paths)
-        changed = fact.read().where(F.col(models.PERIOD).isin(_values(touched, models.PERIOD)))
-        fit_to_input(lake.spark, frame_bytes(changed))
-        rows = models.refreshed_summary(gold.read(), changed, touched, one_scan=False)
-    return gold.publish(rows, properties={_FACT_VERSION: str(version)})
+        days = days.drop("lost")
+    # Noted with what is staged: a change that a run which dies has staged must not be counted again.
+    state.publish(days, noted={_CHANGES: str(changes), _COUNTS: ",".join(map(str, [*numbers, changes]))})
+    files.delete(lake.spark, work)
 
 
 def expire(lake: Lake) -> None:
-    """Remove the change lists that gold has read."""
-    for version in range(1, int(lake.gold().properties().get(_FACT_VERSION, 0)) + 1):
-        files.delete(lake.spark, _touched_path(lake, version))
+    """Remove the change lists that gold has counted; make one of many folders of reference counts."""
+    state = lake.gold("daily_sales_state")
+    if not state.exists():
+        return
+    known = state.properties()
+    for number in range(1, int(known[_CHANGES]) + 1):
+        files.delete(lake.spark, _changes_path(lake, number))
+    numbers = [int(n) for n in known[_COUNTS].split(",")]
+    if len(numbers) >= COUNTS_MERGED_AT:
+        counts = _read_counts(lake, numbers)
+        fit_to_input(lake.spark, frame_bytes(counts))
+        # a number of its own, below all later ones and unlike those it replaces
+        merged = -numbers[-1]
+        _write_counts(lake, counting.merged_counts(counts), merged)
+        state.note({_COUNTS: str(merged)})
+        for number in numbers:
+            files.delete(lake.spark, _counts_path(lake, number))
 
 
 def run(lake: Lake, layers: Collection[str] = LAYERS) -> None:

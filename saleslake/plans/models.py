@@ -101,16 +101,6 @@ def daily_sales_summary(fact: DataFrame, one_scan: bool = True) -> DataFrame:
     return reduce(lambda days, count: days.join(by_day.agg(count), DAY), counts, by_day.agg(*measures))
 
 
-def refreshed_summary(
-    gold: DataFrame, fact: DataFrame, touched: DataFrame, one_scan: bool = True
-) -> DataFrame:
-    """Gold with the touched days summed again from the fact; a day without sales disappears."""
-    days = touched.select(DAY).distinct()
-    of_day = fact.withColumn(DAY, F.to_date("transaction_date"))
-    again = daily_sales_summary(of_day.join(days, DAY, "left_semi").drop(DAY), one_scan)
-    return gold.join(days, DAY, "left_anti").unionByName(again)
-
-
 def sales_enriched(
     fact: DataFrame, customers: DataFrame, employees: DataFrame, products: DataFrame
 ) -> DataFrame:

@@ -384,6 +384,16 @@ def undo_reaches_gold(spark: SparkSession, sf: str) -> DataFrame:
     return lake.gold().read()
 
 
+def gold_counted_on(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold after a second run was built, undone, loaded again and built again: counted on three times."""
+    lake = _lake_of_two_runs(spark, sf)
+    bronze.undo_last_batch(spark, lake.table("bronze", "sales"))
+    lakes.run(lake)
+    pick_up(lake, "sales", lake.path("landing", "sales"), NEXT_RUN_TS)
+    lakes.run(lake)
+    return lake.gold().read()
+
+
 def late_run(spark: SparkSession, sf: str) -> DataFrame:
     """The stored fact where the run of the older sales came after that of the newer ones."""
     lake = _new_lake(spark)
@@ -576,6 +586,7 @@ QUERIES: dict[str, Query] = {
         arrays_in_blocks,
         pick_up_after_undo,
         undo_reaches_gold,
+        gold_counted_on,
         late_run,
     )
 }

@@ -218,4 +218,5 @@ FROM raw_sales WHERE loaded_at < TIMESTAMP '{CUT}'""",
 }
 # The second run of these is undone, or left out of gold; or comes first, but still counts as the later one.
 ORACLE_SQL["undo_reaches_gold"] = ORACLE_SQL["silver_without_gold"]
+ORACLE_SQL["gold_counted_on"] = ORACLE_SQL["lake_daily_sales"]
 ORACLE_SQL["late_run"] = ORACLE_SQL["lake_fact_sales"]

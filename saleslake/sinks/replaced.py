@@ -59,11 +59,13 @@ class ReplacedTable:
         rows: DataFrame,
         replaced: Collection[str] | None = None,
         properties: Mapping[str, str] | None = None,
+        noted: Mapping[str, str] | None = None,
     ) -> int:
         """Make ``rows`` the contents and return the new version.
 
         With ``replaced``, the rows are the new contents of those partitions only; every
-        other partition is neither read nor written.
+        other partition is neither read nor written. ``noted`` are properties that hold from the
+        moment on from which the change will be completed, even if this run dies.
         """
         current = self.version()
         if current == 0:
@@ -75,7 +77,7 @@ class ReplacedTable:
             values = None if replaced is None else [(value,) for value in replaced]
             named = self.spark.createDataFrame(values or [], "value string")
             write_out(named, f"{staged}/replaced")
-            self._set({_STAGED: "partitions" if replaced is not None else "table"})
+            self._set({**(noted or {}), _STAGED: "partitions" if replaced is not None else "table"})
             self._put_in_place()
         self._set({**(properties or {}), _VERSION: str(current + 1), _STAGED: ""})
         files.delete(self.spark, f"{self.work}/staged")
@@ -87,6 +89,10 @@ class ReplacedTable:
             self._put_in_place()
             self._set({_STAGED: ""})
 
+    def note(self, properties: Mapping[str, str]) -> None:
+        """Set properties without a new version."""
+        self._set(properties)
+
     def _put_in_place(self) -> None:
         rows = self.spark.read.schema(self.read().schema).parquet(f"{self.work}/staged/rows")
         self._overwrite(rows)

@@ -617,6 +617,75 @@ def test_gold_catches_up_after_its_step_was_missed(spark, lake, clock):
     assert gold_of(lake) == [(date(2024, 7, 5), 1, 2.0), (date(2024, 7, 9), 1, 4.0)]
 
 
+def whole_gold(lake):
+    """Gold as it is, and as it would be summed from the fact."""
+    summed = models.daily_sales_summary(lake.silver("fact_sales").read())
+    return [sorted(tuple(r) for r in rows.collect()) for rows in (lake.gold().read().select(*summed.columns), summed)]
+
+
+def test_a_refresh_reads_the_fact_only_for_lost_extremes(spark, lake, clock, monkeypatch):
+    load(spark, lake, [sale(i, float(i), f"2024-0{5 + i % 2}-01") for i in range(1, 9)], next(clock))
+    lakes.run(lake)
+    read = []
+    real = ReplacedTable.read
+
+    def fact_read(self):
+        read.append(self.name)
+        return real(self)
+
+    def refresh(*records):
+        load(spark, lake, list(records), next(clock))
+        lakes.run(lake, layers=["silver"])
+        read.clear()
+        with monkeypatch.context() as patch:
+            patch.setattr(ReplacedTable, "read", fact_read)
+            lakes.build_gold(lake)
+        gold, summed = whole_gold(lake)
+        assert gold == summed
+        return [name for name in read if "fact_sales" in name]
+
+    # new ones, a new day, a sale between the extremes that moves, one sent again
+    assert not refresh(sale(20, 0.5, "2024-05-01"), sale(21, 4.0, "2024-08-01"), sale(3, 3.0, "2024-05-01"), sale(8, 8.0, "2024-05-01"))
+    assert refresh(sale(20, 5.0, "2024-06-01"))  # the smallest of a day moves
+
+
+@pytest.mark.parametrize("name", ["daily_sales_state", "daily_sales_summary"])
+@pytest.mark.parametrize("step", ["_overwrite", "_set"])
+def test_a_gold_step_that_dies_is_repeated(spark, lake, clock, monkeypatch, name, step):
+    load(spark, lake, [sale(1, 1.0), sale(2, 2.0), sale(3, 5.0, "2024-05-01")], next(clock))
+    lakes.run(lake)
+    load(spark, lake, [sale(1, 9.0), sale(4, 8.0, "2024-07-20")], next(clock))
+    lakes.run(lake, layers=["silver"])
+    real = getattr(ReplacedTable, step)
+
+    def die(self, *args):
+        if name in self.name and (step == "_overwrite" or "saleslake.version" in args[0]):
+            raise RuntimeError("driver lost")
+        return real(self, *args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ReplacedTable, step, die)
+        with pytest.raises(RuntimeError):
+            lakes.build_gold(lake)
+    load(spark, lake, [sale(3, 6.0, "2024-05-02")], next(clock))
+    lakes.run(lake)
+    gold, summed = whole_gold(lake)
+    assert gold == summed and len(gold) == 2
+
+
+def test_reference_counts_become_one(spark, lake, clock, monkeypatch):
+    monkeypatch.setattr(lakes, "COUNTS_MERGED_AT", 3)
+    seen = []
+    for i in range(6):
+        load(spark, lake, [sale(i % 4, float(i), f"2024-05-0{1 + i % 3}")], next(clock))
+        lakes.run(lake)
+        lakes.expire(lake)
+        seen.append(lake.gold("daily_sales_state").properties()["saleslake.counts"])
+        gold, summed = whole_gold(lake)
+        assert gold == summed
+    assert seen == ["0", "0,1", "-2", "-2,3", "-4", "-4,5"]
+
+
 @pytest.mark.parametrize("step", ["_overwrite", "_put_in_place", "_set"])
 def test_a_publish_that_dies_is_repeated(spark, lake, clock, monkeypatch, step):
     """Before the overwrite, between a moved partition and the next, and before the position is set."""
@@ -641,6 +710,8 @@ def test_a_publish_that_dies_is_repeated(spark, lake, clock, monkeypatch, step):
     lakes.run(lake)
     assert [(i, a) for i, _, a in fact_of(lake)] == [(1, 9.0), (2, 2.0), (3, 5.0), (4, 8.0)]
     assert gold_of(lake) == [(date(2024, 5, 1), 1, 5.0), (date(2024, 7, 20), 3, 19.0)]
+    gold, summed = whole_gold(lake)
+    assert gold == summed
     assert lake.silver("fact_sales").version() == 2
 
 
@@ -706,6 +777,8 @@ def test_many_runs_equal_one(spark, lake, clock):
         n, total = per_day.get(r["transaction_date"], (0, 0.0))
         per_day[r["transaction_date"]] = (n + 1, total + r["amount_paid"])
     assert gold_of(lake) == sorted((date.fromisoformat(d), n, t) for d, (n, t) in per_day.items())
+    gold, summed = whole_gold(lake)
+    assert gold == summed
     before = fact_of(lake)
     lakes.expire(lake)
     assert fact_of(lake) == before and gold_of(lake)
