@@ -26,6 +26,7 @@ _SIMPLE = (
     r"(?P<marks>[.,;:!?*#$%&()\-]*)$"
 )
 TEXT_BYTES_AT_ONCE = 4 << 20
+_ROWS_AT_ONCE = 200
 KNOWN_STRINGS = 150_000
 _GATHERED_AT_ONCE = 1 << 18
 
@@ -38,12 +39,12 @@ def _tokenizer(path: str, plain_specials: bool) -> Tokenizer:
 
 
 @lru_cache(maxsize=4)
-def _known(path: str, plain_specials: bool) -> dict[str, np.ndarray]:
-    """Ids of strings that a worker has met, up to ``KNOWN_STRINGS``."""
+def _known(path: str, plain_specials: bool) -> dict[str, bytes]:
+    """Ids of strings that a worker has met, up to ``KNOWN_STRINGS``, as 32-bit numbers."""
     return {}
 
 
-def _string_ids(path: str, plain_specials: bool, strings: list[str]) -> list[np.ndarray]:
+def _string_ids(path: str, plain_specials: bool, strings: list[str]) -> list[bytes]:
     known = _known(path, plain_specials)
     new = [s for s in strings if s not in known]
     made = dict(zip(new, _joined_ids(_tokenizer(path, plain_specials), new), strict=True))
@@ -56,34 +57,33 @@ def _string_ids(path: str, plain_specials: bool, strings: list[str]) -> list[np.
     return out
 
 
-def _joined_ids(tokenizer: Tokenizer, strings: list[str]) -> list[np.ndarray]:
+def _joined_ids(tokenizer: Tokenizer, strings: list[str]) -> list[bytes]:
     """The ids of each string, many to a call, with a break between them."""
     mark = tokenizer.encode(_BREAK, add_special_tokens=False).ids
-    out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(strings)
+    out = [b""] * len(strings)
     plain = [i for i, s in enumerate(strings) if s and _BREAK not in s]
     for i, s in enumerate(strings):
         if _BREAK in s:
-            out[i] = np.array(tokenizer.encode(s, add_special_tokens=False).ids, np.uint32)
+            out[i] = np.array(tokenizer.encode(s, add_special_tokens=False).ids, np.uint32).tobytes()
     if len(mark) != 1:
         for i in plain:
-            out[i] = np.array(tokenizer.encode(strings[i], add_special_tokens=False).ids, np.uint32)
+            out[i] = np.array(tokenizer.encode(strings[i], add_special_tokens=False).ids, np.uint32).tobytes()
         return out
     for at in range(0, len(plain), _JOINED):
         some = plain[at : at + _JOINED]
         text = f" {_BREAK} ".join(strings[i] for i in some)
         ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        ends = np.r_[np.flatnonzero(ids == mark[0]), len(ids)].tolist()
-        begin = 0
+        ends = (4 * np.r_[np.flatnonzero(ids == mark[0]), len(ids)]).tolist()
+        begin, blob = 0, ids.tobytes()
         for i, end in zip(some, ends, strict=True):
-            out[i] = ids[begin:end]
-            begin = end + 1
+            out[i] = blob[begin:end]
+            begin = end + 4
     return out
 
 
-def _ragged(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-    flat = np.concatenate(parts) if parts else np.empty(0, np.uint32)
-    return flat, np.r_[0, np.cumsum(lengths)]
+def _ragged(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    return np.frombuffer(b"".join(parts), np.uint32), np.r_[0, np.cumsum(lengths)]
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -127,34 +127,36 @@ def encode(
     Null texts count as empty. With ``plain_specials`` the strings of special tokens in a text
     are ordinary text.
     """
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
-    lines = pc.replace_substring(texts, "\n", " ")
+    lines = pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), "\n", " ")
     words = pc.split_pattern(lines, " ")
     sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = words.flatten().dictionary_encode()
+    del lines, words
     flat, offsets = _word_ids(coded.dictionary.cast(pa.string()), path, plain_specials)
-    index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     # the end id is one more word, placed after the words of each text
     flat, offsets = np.r_[flat, np.uint32(end_id)], np.r_[offsets, offsets[-1] + 1]
     ends = np.cumsum(sizes)
-    index = np.insert(index, ends, len(offsets) - 2)
-    lengths = offsets[index + 1] - offsets[index]
+    index = np.insert(coded.indices.to_numpy(zero_copy_only=False), ends, len(offsets) - 2)
+    del coded
+    starts, lengths = offsets[index], np.diff(offsets)[index]
+    del index
     upto = np.r_[0, np.cumsum(lengths)]
-    return gather(flat, offsets[index], lengths), upto[np.r_[0, ends + np.arange(1, len(ends) + 1)]]
+    return gather(flat, starts, lengths), upto[np.r_[0, ends + np.arange(1, len(ends) + 1)]]
 
 
 def grouped(batches, column: int):
-    """Record batches joined into tables of some tens of MB of text, whole rows."""
+    """Record batches taken apart into tables of a few MB of text, whole rows."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
+        for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            part = batch.slice(at, _ROWS_AT_ONCE)
             held.append(part)
             size += part.column(column).nbytes
             if size >= TEXT_BYTES_AT_ONCE:
                 yield pa.Table.from_batches(held).combine_chunks()
                 held, size = [], 0
+                give_back_memory()
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
     give_back_memory()
