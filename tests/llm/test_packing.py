@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from saleslake.llm import packing
+from saleslake.llm import packing, tokens
 from saleslake.llm.queries import QUERIES
 from saleslake.llm.shared import tokenizer_file
 from saleslake.llm.tokens import encode
@@ -86,3 +86,20 @@ def test_ids_are_those_of_the_tokenizer(texts):
     ids, starts = encode(pa.array(texts, pa.string()), PATH, 1)
     got = [ids[a:b].tolist() for a, b in zip(starts, starts[1:], strict=False)]
     assert got == [ids_of(t) for t in texts]
+
+
+def test_texts_are_grouped_by_bytes_in_whole_rows_and_order():
+    texts = ["", None, "x" * (tokens.TEXT_BYTES_AT_ONCE + 1), *(["y" * 30_000] * 700), ""]
+    rows = pa.record_batch({"id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    groups = list(tokens.grouped([rows.slice(0, 0), rows.slice(0, 5), rows.slice(5)], 1))
+    assert len(groups) > 1
+    assert [t for g in groups for t in g.column(1).to_pylist()] == texts
+    assert [i for g in groups for i in g.column(0).to_pylist()] == list(range(len(texts)))
+    assert list(tokens.grouped([], 1)) == []
+
+
+def test_known_strings_give_the_same_ids_again():
+    texts = ["Plain words, plain words.", None, "", "a\x1fb odd \x1f", "Größe (x) 3.5 plain"]
+    for _ in range(2):
+        ids, starts = encode(pa.array(texts), PATH, 1)
+        assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [ids_of(text) for text in texts]
