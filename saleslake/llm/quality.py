@@ -1,8 +1,9 @@
 """Quality rules: simple counts of a text, and how much it looks like trusted text.
 
-Every word gives two n-grams, its first and its last three characters, hashed into a fixed
-number of buckets. Trusted texts and the whole corpus each make a multinomial over the buckets;
-a document's score is the mean log of the ratio of the two over its n-grams. Markup, shouting and
+Every word gives two n-grams, hashed into a fixed number of buckets: its first three characters,
+and its last three with a class, by hash, of all that lies between. Trusted texts and the whole
+corpus each make a multinomial over the buckets; a document's score is the mean log of the ratio
+of the two over its n-grams. Markup, shouting and
 strings of signs give n-grams that trusted text lacks, and so do toxic words.
 
 The score's bound is a low quantile of trusted rows that the target model has not seen: half of
@@ -29,6 +30,7 @@ TRUSTED_ROWS = 20_000  # trusted documents that the target model is fitted on, a
 HELD_OUT_QUANTILE = 0.001
 NO_BOUND = float("-inf")
 HELD_OUT_ROWS = 10_000  # held-out trusted documents that the bound is taken from, at most
+MIDDLES = 4  # classes of what lies between a word's first and last three characters
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 WINDOW = 5
@@ -40,7 +42,10 @@ def _first(word: Column) -> Column:
 
 
 def _last(word: Column) -> Column:
-    return F.pmod(F.xxhash64(F.substring(word, -3, 3), F.lit("$")), F.lit(BUCKETS)).cast("int")
+    between = F.substring(word, F.lit(4), F.length(word) - 6)
+    # all characters count, but whole words would be too rare to have a weight
+    kind = F.when(F.length(word) > 6, F.pmod(F.xxhash64(between), F.lit(MIDDLES))).otherwise(-1)
+    return F.pmod(F.xxhash64(F.substring(word, -3, 3), F.lit("$"), kind), F.lit(BUCKETS)).cast("int")
 
 
 def trusted_sample(trusted: DataFrame, id_col: str, rows: int = TRUSTED_ROWS) -> DataFrame:

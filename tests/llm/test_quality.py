@@ -146,3 +146,12 @@ def test_sample_of_trusted_is_bounded_and_repeats(spark):
     first = quality.trusted_sample(ids, "doc_id", 50)
     again = quality.trusted_sample(ids.repartition(7), "doc_id", 50)
     assert first.count() == 50 and first.exceptAll(again).count() == 0
+
+
+def test_every_character_of_a_word_counts(spark):
+    word, letters = "abcdefghijklm", "0123456789"
+    words = [word, *(word[:i] + x + word[i + 1 :] for i in range(len(word)) for x in letters)]
+    frame = spark.createDataFrame([(x,) for x in words], "w string")
+    at = {r[0]: r[1:] for r in frame.select("w", quality._first(F.col("w")), quality._last(F.col("w"))).collect()}
+    for i in range(len(word)):
+        assert any(at[word[:i] + x + word[i + 1 :]] != at[word] for x in letters)
