@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saleslake.llm import language, lines, packing, quality, simhash
 from saleslake.llm.queries import trusted_ids
-from saleslake.llm.shared import store, table, tokenizer_file
+from saleslake.llm.shared import small_batches, store, table, tokenizer_file
 
 # tokenizers cannot be written in SQL; tests compare with a brute-force version
 ORACLE_SQL = None
@@ -55,6 +55,7 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), name)
+    with small_batches(spark):
+        for name, stage in STAGES[:-1]:
+            docs = store(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleslake.llm.shared import store
+from saleslake.llm.shared import small_batches, store
 from saleslake.llm.tokens import encode, grouped
 
 LENGTH = 2048
@@ -66,7 +66,8 @@ def pack(
     text is empty and has the end id alone. Repeated rows and null ids are packed like others;
     other columns of ``docs`` are not read. No rows give no rows.
     """
-    coded = store(encoded(docs, tokenizer, end_id, id_col, text_col), "tokens")
+    with small_batches(docs.sparkSession):
+        coded = store(encoded(docs, tokenizer, end_id, id_col, text_col), "tokens")
     # one row per input partition, whose number the driver knows anyhow
     totals = coded.groupBy("part").agg(F.sum("tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

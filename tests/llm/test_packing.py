@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from saleslake.llm import packing, tokens
 from saleslake.llm.queries import QUERIES
-from saleslake.llm.shared import tokenizer_file
+from saleslake.llm.shared import BATCH_BYTES, small_batches, tokenizer_file
 from saleslake.llm.tokens import encode
 
 PATH = tokenizer_file("word_bpe_49k.json")
@@ -103,3 +103,27 @@ def test_known_strings_give_the_same_ids_again():
     for _ in range(2):
         ids, starts = encode(pa.array(texts), PATH, 1)
         assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [ids_of(text) for text in texts]
+
+
+def test_worker_is_handed_a_few_mb_at_once(spark, monkeypatch):
+    setting, sizes = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    former = spark.conf.get(setting)
+    docs = spark.range(4000).coalesce(1).selectExpr("id AS doc_id", "repeat('abcd ', 800) AS text")
+
+    def measured(batches):
+        for batch in batches:
+            yield pa.record_batch({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    with small_batches(spark):
+        got = docs.mapInArrow(measured, "n long, size long").collect()
+    assert sum(r.n for r in got) == 4000 and max(r["size"] for r in got) < 2 * BATCH_BYTES
+
+    kept = packing.store
+
+    def noted(frame, name):
+        sizes.append(spark.conf.get(setting))
+        return kept(frame, name)
+
+    monkeypatch.setattr(packing, "store", noted)
+    packing.pack(docs.limit(3), PATH).count()
+    assert sizes == [str(BATCH_BYTES)] and spark.conf.get(setting) == former
