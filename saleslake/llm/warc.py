@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from saleslake.llm.files import attempt_name, give_back_memory, store_of
-from saleslake.llm.shared import store
+from saleslake.llm.shared import small_batches, store
 
 RANGES = 1 << 12
 SHARD_BYTES = 16 << 20  # payload bytes of a shard, about
@@ -209,7 +209,8 @@ def write_archives(
         .repartition(shards, "shard")
         .sortWithinPartitions("shard", "page", "digest", F.desc("role"), "url")
     )
-    written = store(ready.mapInArrow(_write(folder, file_bytes), _MANIFEST), "manifest")
+    with small_batches(pages.sparkSession):
+        written = store(ready.mapInArrow(_write(folder, file_bytes), _MANIFEST), "manifest")
     published = written.mapInArrow(_publish(folder), _MANIFEST)
     published.write.parquet(f"{folder}/manifest")
     return pages.sparkSession.read.schema(written.schema).parquet(f"{folder}/manifest")

@@ -10,6 +10,7 @@ import pytest
 
 from saleslake.llm import warc
 from saleslake.llm.queries import ORACLE_SQL, QUERIES
+from saleslake.llm.shared import BATCH_BYTES
 
 SCHEMA = "page_id long, url string, html string, digest int, shard string"
 LONG = "x é " * 500
@@ -98,3 +99,17 @@ def test_broken_archives_are_refused(tmp_path):
 def test_empty_table(spark, tmp_path):
     assert warc.write_archives(frame(spark).limit(0), str(tmp_path / "w")).count() == 0
     assert warc.read_archives(spark, str(tmp_path / "w")).count() == 0
+
+
+def test_writer_is_handed_a_few_mb_at_once(spark, tmp_path, monkeypatch):
+    setting, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+    former, kept = spark.conf.get(setting), warc.store
+
+    def noted(rows, name):
+        seen[name] = spark.conf.get(setting)
+        return kept(rows, name)
+
+    monkeypatch.setattr(warc, "store", noted)
+    manifest = warc.write_archives(frame(spark), str(tmp_path / "w"))
+    assert sum(r.records for r in manifest.collect()) == len(PAGES)
+    assert seen["manifest"] == str(BATCH_BYTES) and spark.conf.get(setting) == former
