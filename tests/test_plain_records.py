@@ -51,6 +51,12 @@ def test_plain_lines_read_like_others(spark, feed):
     assert by_schema == by_map
 
 
+def test_text_of_a_misfit_is_kept_as_written(spark):
+    for plain in (False, True):
+        _, rows = read(spark, ['{"id":"1","amount_paid":"x"}', SALE], FEEDS["sales"], plain)
+        assert {r[6] for r in rows} == {'{"id":"1","amount_paid":"x"}', None}
+
+
 def test_which_lines_are_plain(spark):
     texts, _ = read(spark, PLAIN + ODD, FEEDS["sales"], plain=True)
     found = landing._plain(texts, FEEDS["sales"])
