@@ -100,5 +100,6 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales as a landing file holds them, with the load time kept aside for splitting."""
+    # written once per order, not per line
     text = F.date_format("transaction_date", "yyyy-MM-dd'T'HH:mm:ss")
-    return raw_sales(spark, sf_dir).withColumn("transaction_date", text)
+    return with_header(lines(spark, sf_dir), headers(spark, sf_dir).withColumn("transaction_date", text))

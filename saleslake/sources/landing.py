@@ -122,18 +122,50 @@ def _let(value: Column, of: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), of), F.lit(0))
 
 
+def _as_written(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """Texts with ``written``, the attributes of one that is written as Spark writes a record with all
+    of them, and ``same``, whether it is.
+
+    What stands between commas is cast, and the record is written again from these values. If that
+    is the text, and its strings hold no escape, then the text is this record and nothing else,
+    however its values were found.
+    """
+    kept = ["source_file", "received_at", "value"]
+    fits, found, again, end = F.size("parts") == len(schema), [], [], ""
+    for at, field in enumerate(schema):
+        quote = '"' if isinstance(field.dataType, T.StringType) else ""
+        fits = fits & F.lit(isinstance(field.dataType, (T.LongType, T.DecimalType, T.StringType)))
+        begin = f'{"" if at else "{"}"{field.name}":{quote}'
+        part = F.substr(F.get("parts", F.lit(at)), F.lit(len(begin) + 1))
+        if quote or at + 1 == len(schema):
+            part = F.substring_index(part, quote or "}", 1)
+        found.append(part.alias(field.name))
+        again += [F.lit(f"{end}{begin}"), F.col(field.name).cast("string")]
+        end = f"{quote},"
+    texts = texts.select(*kept, F.split("value", ",").alias("parts"))
+    texts = texts.select(*kept, fits.alias("fits"), *found)
+    texts = texts.select(*kept, "fits", *(F.col(field.name).try_cast(field.dataType).alias(field.name) for field in schema))
+    same = F.col("fits") & (F.concat(*again, F.lit(f"{end[:-1]}}}")) == F.col("value"))
+    for field in schema:
+        if isinstance(field.dataType, T.StringType):
+            same = same & ~F.col(field.name).rlike(r"[\x00-\x1f\\]") & F.is_valid_utf8(field.name)
+    return texts.select(*kept, F.struct(*schema.names).alias("written"), F.coalesce(same, F.lit(False)).alias("same"))
+
+
 def _plain(files: DataFrame, schema: T.StructType) -> DataFrame:
     """Texts with ``plain``, their attributes as the schema has them, and ``is_plain``, whether that is all.
 
     A text is plain if its length is that of its braces, commas, names and values as Spark writes
     them, text in quotes and numbers without. Then it holds no blank, escape, null, second value or
     attribute of another name, and nothing beside the record. Texts that are not plain may be right.
+    Texts that were told to be the record without a JSON reader are plain too, and not read by one.
     """
+    files = _as_written(files, schema)
     # whole numbers as such; others as they are written, to be cast like those of other texts
     kinds = [field.dataType if isinstance(field.dataType, T.LongType) else T.StringType() for field in schema]
     fields = [T.StructField(field.name, kind, True) for field, kind in zip(schema, kinds, strict=True)]
-    read = F.from_json("value", T.StructType(fields), {"allowSingleQuotes": "false"})
-    files = files.select("source_file", "received_at", "value", read.alias("plain"))
+    read = F.from_json(F.when(~F.col("same"), F.col("value")), T.StructType(fields), {"allowSingleQuotes": "false"})
+    files = files.select("source_file", "received_at", "value", "written", "same", read.alias("plain"))
     text = F.col("value")
     size, fits, values = F.lit(1), F.octet_length(text) > 1, []
     for field in schema:
@@ -152,8 +184,8 @@ def _plain(files: DataFrame, schema: T.StructType) -> DataFrame:
             written = F.when(at[0], forms[0]).when(at[1], forms[1])
             fits = fits & (told.isNull() | (value.isNotNull() & written.isNotNull()))
         size = size + F.coalesce(F.octet_length(written.cast("string")) + F.lit(marks), F.lit(0))
-        values.append(value.alias(field.name))
-    is_plain = F.coalesce(fits & (F.octet_length(text) == size), F.lit(False))
+        values.append(F.when(F.col("same"), F.col("written")[field.name]).otherwise(value).alias(field.name))
+    is_plain = F.col("same") | F.coalesce(fits & (F.octet_length(text) == size), F.lit(False))
     return files.select("source_file", "received_at", "value", is_plain.alias("is_plain"), F.struct(*values).alias("plain"))
 
 
@@ -222,8 +254,10 @@ def json_records(texts: DataFrame, schema: T.StructType, lists: bool = True, pla
     files = _plain(files, schema) if plain else files.withColumn("is_plain", F.lit(False))
     is_plain, kept = F.col("is_plain"), ["plain"] if plain else []
     # an outer one: for others the optimizer adds a filter that reads the text once more
-    found = F.explode_outer(F.when(~is_plain, _apart(F.col("value"), lists))).alias("found")
-    rows = files.select("source_file", "received_at", "is_plain", *kept, found).where(is_plain | F.col("found").isNotNull())
+    apart = F.when(~is_plain, _apart(F.col("value"), lists)).alias("apart")
+    rows = files.select("source_file", "received_at", "is_plain", *kept, apart)
+    rows = rows.select("source_file", "received_at", "is_plain", *kept, F.explode_outer("apart").alias("found"))
+    rows = rows.where(is_plain | F.col("found").isNotNull())
     parsed = F.col("found.parsed")
     corrupt = F.when(parsed.isNull(), F.col("found.text"))
     written = {field.name: F.try_element_at(parsed, F.lit(field.name)) for field in schema}

@@ -75,3 +75,21 @@ def test_what_landing_writes_is_plain(spark, tmp_path):
     assert landing._plain(texts, FEEDS["sales"]).where("is_plain").count() == 50
     found = landing.read_landing(spark, str(tmp_path), FEEDS["sales"])
     assert sorted(map(str, found.select(*rows.columns).collect())) == sorted(map(str, rows.collect()))
+
+
+def test_lines_as_spark_writes_them_are_told_without_a_json_reader(spark):
+    """Before, a JSON reader read every line."""
+    told = [SALE, SALE.replace("2024", "ä漢"), SALE.replace("5.2500", "-0.1000").replace("2024-05-01", "")]
+    other = [
+        SALE.replace("2024", "a\\u0041"), SALE.replace("2024", "a,b"), SALE.replace("2024", "a\tb"), SALE.replace("2024", 'a"b'),
+        SALE.replace("5.2500", "5.25"), SALE.replace('"id":1', '"id":01'), SALE.replace('"id":1', '"id":+1'), SALE.replace('"id":1', '"id": 1'),
+        SALE.replace("5.2500", '"5.2500"'), SALE.replace('"id":1', '"id":"1"'), SALE.replace('"id"', '"ID"'), SALE.replace('"', "'"),
+    ]
+    lines = [*told, *other, *PLAIN[1:], *ODD]
+    texts, rows = read(spark, lines, FEEDS["sales"], plain=True)
+    found = landing._as_written(texts, FEEDS["sales"]).where("same").collect()
+    assert {int(r["source_file"]) for r in found} == set(range(len(told)))
+    assert rows == read(spark, lines, FEEDS["sales"], plain=False)[1]
+    broken = spark.sql("""SELECT decode(unhex(hex('%s')), 'UTF-8') value, 'f' source_file, timestamp'2024-01-01' received_at
+        UNION ALL SELECT cast(concat(cast('%s' AS binary), unhex('FF227D')) AS string), 'g', timestamp'2024-01-01'""" % (SALE, SALE[:-2]))
+    assert [r["source_file"] for r in landing._as_written(broken, FEEDS["sales"]).where("same").collect()] == ["f"]
