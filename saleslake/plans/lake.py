@@ -246,13 +246,21 @@ def _winners(lake: Lake, target: ReplacedTable, feed: str, found: Changes, newes
 
     Keys change that a new batch brings, and those whose row came from a batch that was undone:
     these are found again in the bronze rows that are left, and are gone where there are none.
-    A batch of a run that comes late loses against rows of later runs.
+    A batch of a run that comes late loses against rows of later runs; without an undo these keys
+    do not change.
     """
     staged = f"{target.work}/batch"
     batch = newest(_bronze_rows(lake, feed, found.new))
     batch = write_out(batch, f"{staged}/new")
     fit_to_input(lake.spark, _stored_bytes(target))
     keys, of = batch.select(KEY), target.read()
+    if found.late and not found.undone:
+        # rows of two batches are ranked by the batches alone
+        met = within_key_range(of, keys, KEY).join(batch.select(KEY, F.col(models.SOURCE).alias("brought_by")), KEY)
+        met = met.withColumn("stays", F.col(models.SOURCE) > F.col("brought_by")).select(*of.columns, "stays")
+        met = write_out(met, f"{staged}/replaced")
+        winners = batch.join(met.where("stays").select(KEY), KEY, "left_anti").select(*batch.columns)
+        return write_out(winners, f"{staged}/winners"), met.where(~F.col("stays")).drop("stays"), staged
     candidates = batch
     if found.undone:
         number = bronze.number_of(F.col(models.SOURCE))
@@ -262,11 +270,9 @@ def _winners(lake: Lake, target: ReplacedTable, feed: str, found: Changes, newes
         candidates = candidates.unionByName(newest(again))
         keys = keys.unionByName(lost).distinct()
     replaced = write_out(rows_replaced(within_key_range(of, keys, KEY), keys, KEY), f"{staged}/replaced")
-    if not found.undone and not found.late:
+    if not found.undone:
         return batch, replaced, staged
-    standing = replaced
-    if found.undone:
-        standing = replaced.where(~bronze.number_of(F.col(models.SOURCE)).isin(sorted(found.undone)))
+    standing = replaced.where(~bronze.number_of(F.col(models.SOURCE)).isin(sorted(found.undone)))
     winners = newest(candidates.select(*batch.columns).unionByName(standing.select(*batch.columns)))
     return write_out(winners, f"{staged}/winners"), replaced, staged
 

@@ -598,6 +598,22 @@ def test_a_late_run_is_read_once_and_loses_against_later_runs(spark, lake, clock
     assert lake.silver("fact_sales").version() == version
 
 
+def test_a_late_run_rewrites_only_periods_that_it_changes(spark, lake, clock):
+    """Before, the periods of all its keys were written again and their sales counted anew."""
+    early, late = next(clock), next(clock)
+    load(spark, lake, [sale(1, 5.0, "2024-05-01"), sale(2, 6.0, "2024-06-01")], late)
+    lakes.run(lake)
+    load(spark, lake, [sale(1, 1.0, "2024-04-01"), sale(2, 2.0, "2024-06-01"), sale(3, 3.0, "2024-07-19")], early)
+    lakes.run(lake)
+    changes = spark.read.parquet(lakes._changes_path(lake, 1))
+    assert [(str(r.sales_date), r.sign) for r in changes.collect()] == [("2024-07-19", 1)]
+    assert [(i, a) for i, _, a in fact_of(lake)] == [(1, 5.0), (2, 6.0), (3, 3.0)]
+    load(spark, lake, [sale(1, 9.0, "2024-04-01")], early - timedelta(hours=1))  # nothing of it counts
+    lakes.run(lake)
+    assert [(i, a) for i, _, a in fact_of(lake)] == [(1, 5.0), (2, 6.0), (3, 3.0)]
+    assert [r[0] for r in gold_of(lake)] == [date(2024, 5, 1), date(2024, 6, 1), date(2024, 7, 19)]
+
+
 def test_nothing_new_makes_no_version(spark, lake, clock):
     load(spark, lake, [sale(1)], next(clock))
     lakes.run(lake)
