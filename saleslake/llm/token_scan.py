@@ -65,6 +65,11 @@ def write_flat_files(
     return files, written.where("number >= 0").select("file", "number", "id")
 
 
+def placed_lengths(places: DataFrame, lengths: DataFrame) -> DataFrame:
+    """The places with the lengths of their documents, neither of them sent through the driver."""
+    return places.join(lengths.hint("merge"), ["file", "number"])
+
+
 def document_lengths(files: DataFrame, end_id: int, width: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(file, number, tokens, closed) of every document in ``files`` (file, bytes).
 
@@ -109,7 +114,9 @@ def document_lengths(files: DataFrame, end_id: int, width: int = 2, block_bytes:
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"),
         F.coalesce(F.max("last").over(before), F.lit(-1)).alias("before"),
     )
-    placed = found.join(heads, ["file", "block"])
+    # Both sides of the joins grow with the documents, and files that compress well look small: without
+    # the hint one side is sent through the driver.
+    placed = found.join(heads.hint("merge"), ["file", "block"])
     inner = placed.select("file", "base", "before", "ends", F.posexplode("ends").alias("i", "end"))
     begin = F.coalesce(F.get("ends", F.col("i") - 1), F.col("before"))
     closed = inner.select(

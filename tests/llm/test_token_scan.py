@@ -67,3 +67,14 @@ def test_a_part_of_a_token_is_refused(spark, tmp_path):
     files = spark.createDataFrame([(str(tmp_path / "odd"), 3)], "file string, bytes long")
     with pytest.raises(Exception, match="part of a token"):
         token_scan.document_lengths(files, 9).count()
+
+
+def test_what_grows_with_the_documents_is_not_sent_through_the_driver(spark):
+    """Before, places and blocks were broadcast, as their files compress well: 547 MB of 1.5 million documents."""
+    found = QUERIES["op4_token_counts"](spark, brute.SF)
+    assert found.count() == len(brute.rows("documents", "doc_id"))
+    for plan in (found, found.groupBy().count()):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert text.count("SortMergeJoin") == 2
+        # the files alone, a row for each
+        assert text.count("BroadcastHashJoin") <= 1
